@@ -52,13 +52,15 @@ def _contains(variant: Column, wanted: object) -> Column:
     if isinstance(wanted, list):
         test = _kind(variant).startswith("ARRAY")
         for value in wanted:
-            test = test & F.exists(
-                _elements(variant), lambda element, value=value: F.coalesce(_contains(element, value), F.lit(False))
-            )
+            test = test & _some_element_contains(variant, value)
         return test
     return _equals(variant, wanted)
 
 
+def _some_element_contains(variant: Column, wanted: object) -> Column:
+    return F.exists(_elements(variant), lambda element: F.coalesce(_contains(element, wanted), F.lit(False)))
+
+
 def _equals(variant: Column, wanted: object) -> Column:
     kind = _kind(variant)
     if wanted is None:

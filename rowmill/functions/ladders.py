@@ -69,13 +69,13 @@ def infer_types(df: DataFrame, ladder: str = "sqlite", columns: list[str] | None
     """
     names = list(columns or df.columns)
     rungs = _rungs(ladder)
-    fits = [
-        F.coalesce(F.bool_and(F.coalesce(test(_source(df, name, ladder)), F.lit(True))), F.lit(True)).alias(
-            f"c{i}_{kind}"
-        )
-        for i, name in enumerate(names)
-        for kind, test in rungs
-    ]
+    fits = []
+    for i, name in enumerate(names):
+        value = _source(df, name, ladder)
+        for kind, test in rungs:
+            # bool_and passes over the nulls; a column of nulls only fits every rung
+            fits_all = F.bool_and(F.when(value.isNotNull(), test(value)))
+            fits.append(F.coalesce(fits_all, F.lit(True)).alias(f"c{i}_{kind}"))
     verdicts = []
     for i, name in enumerate(names):
         kind = F.lit("string")

@@ -61,10 +61,16 @@ def over_view(df: DataFrame, sql: str, params: Params = None) -> DataFrame:
         df.sparkSession.catalog.dropTempView(view)
 
 
-def recent(df: DataFrame, ts: str, interval: str, anchor: Column | None = None) -> DataFrame:
+def recent(df: DataFrame, ts: str, interval: str, anchor: Column | DataFrame | None = None) -> DataFrame:
     """Rows whose ``ts`` lies after ``anchor`` minus ``interval`` (``'7 days'``); the anchor is now when absent.
 
-    A scalar subquery such as ``df.agg(F.max(ts)).scalar()`` serves as an anchor taken from the data.
+    An anchor taken from data is a one-row DataFrame, such as ``df.agg(F.max(ts))``. It becomes a scalar subquery that
+    yields the start itself, so that the scan can use the comparison to skip row groups.
     """
-    start = (F.current_timestamp() if anchor is None else anchor) - F.expr(f"INTERVAL {interval}")
-    return df.where(F.col(ts) > start.cast(df.schema[ts].dataType))
+    span = F.expr(f"INTERVAL {interval}")
+    kind = df.schema[ts].dataType
+    if isinstance(anchor, DataFrame):
+        start = anchor.select((F.col(anchor.columns[0]) - span).cast(kind)).scalar()
+    else:
+        start = ((F.current_timestamp() if anchor is None else anchor) - span).cast(kind)
+    return df.where(F.col(ts) > start)

@@ -11,10 +11,12 @@ One writer at a time per table: a change that finds the table moved since it sta
 from __future__ import annotations
 
 import json
+import posixpath
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -183,7 +185,8 @@ def vacuum(table: str, spark: SparkSession | None = None) -> int:
     spark = spark or SparkSession.active()
     target = _describe(spark, table)
     files = _Files(spark)
-    live = {files.parent(name) for name in spark.table(table).inputFiles()} | {files.name(target.location)}
+    live = {posixpath.dirname(unquote(urlparse(name).path)) for name in spark.table(table).inputFiles()}
+    live.add(files.plain(target.location))
     removed = 0
     for folder in files.snapshots(target.root):
         stale = [leaf for leaf in files.leaves(folder) if leaf not in live]
@@ -250,15 +253,10 @@ def _change(
             return 0
         rows = rows.where(_any([_same_partition(target, part) for part in touched]))
     counted = Observation()
-    observed = marked(rows).observe(
-        counted, F.coalesce(F.sum(_HITS), F.lit(0)).alias("hits"), F.count(F.lit(1)).alias("rows")
-    )
+    observed = marked(rows).observe(counted, F.coalesce(F.sum(_HITS), F.lit(0)).alias("hits"))
     folder = f"{target.root}{_SNAPSHOT}{uuid.uuid4().hex}"
     result(observed).write.format(target.provider).partitionBy(*target.partitions).save(folder)
-    # a predicate that is always true leaves an empty plan without the metric: every row was a hit
-    hits = counted.get.get("hits")
-    if hits is None:
-        hits = rows.count()
+    hits = counted.get["hits"]
     if hits == 0:
         _Files(spark).delete(folder)
     else:
@@ -367,16 +365,11 @@ class _Files:
         path, fs = self._fs(name)
         fs.delete(path, True)
 
-    def name(self, name: str) -> str:
+    def plain(self, name: str) -> str:
+        """The path part of a folder name, without scheme and host."""
         path, fs = self._fs(name)
         return fs.makeQualified(path).toUri().getPath()
 
-    def parent(self, file: str) -> str:
-        uri = self._path(file.rsplit("/", 1)[0]) if "%" not in file else self._path(
-            self._path(file).getFileSystem(self._conf).makeQualified(self._path(file)).getParent().toString()
-        )
-        return uri.toUri().getPath()
-
     def snapshots(self, root: str) -> list[str]:
         path, fs = self._fs(root)
         return [

@@ -14,9 +14,9 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: Colum
     are added in another order than the rows.
 
     A plain window sorts all rows of a key in one task. Here the rows are range-partitioned by keys and order, so a
-    hot key (or a hot moment of it) spreads over many partitions; each piece has its own window, and the totals of
-    the pieces before it, at most one per partition and key, are added. The pieces are checkpointed because both
-    branches must see the same range bounds, also when an executor is lost between them.
+    hot key (or a hot moment of it) spreads over many pieces, and each piece of a key is a window of its own. What
+    comes before a piece, the pre-aggregated sums of the earlier ones, joins its window as a row that sorts first.
+    The pieces are checkpointed because both uses must see the same range bounds, also when an executor is lost.
     """
     ensure_checkpoint_dir(df.sparkSession)
     pieces = (
@@ -25,23 +25,12 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: Colum
         .withColumn("__piece", F.spark_partition_id())
         .checkpoint()
     )
-    before = W.partitionBy(*keys).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
+    earlier = W.partitionBy(*keys).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
+    before = (
         pieces.groupBy("__piece", *keys)
         .agg(F.sum("__value").alias("__total"))
-        .select(
-            F.col("__piece").alias("__p"),
-            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-            F.sum("__total").over(before).alias("__before"),
-        )
-    )
-    same = F.col("__piece") == F.col("__p")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    inside = W.partitionBy("__piece", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    total = F.coalesce(F.col("__inside") + F.col("__before"), "__inside", "__before")
-    return (
-        pieces.withColumn("__inside", F.sum("__value").over(inside))
-        .join(offsets, same, "left")
-        .select(*df.columns, total.alias(name))
+        .select("__piece", *keys, F.sum("__total").over(earlier).alias("__value"), F.lit(0).alias("__is_row"))
     )
+    rows = pieces.withColumn("__is_row", F.lit(1)).unionByName(before, allowMissingColumns=True)
+    upto = W.partitionBy("__piece", *keys).orderBy("__is_row", *order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return rows.withColumn(name, F.sum("__value").over(upto)).where("__is_row = 1").select(*df.columns, name)
