@@ -39,8 +39,11 @@ def _elements(variant: Column) -> Column:
 
 
 def _member(variant: Column, name: str) -> Column:
-    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-    return F.try_variant_get(variant, f"$['{quoted}']", "variant")
+    if name and "'" not in name and "?" not in name:
+        return F.try_variant_get(variant, f"$['{name}']", "variant")
+    # a name that extraction paths cannot spell
+    members = F.try_variant_get(variant, "$", "map<string,variant>")
+    return F.try_element_at(members, F.lit(name))
 
 
 def _contains(variant: Column, wanted: object) -> Column:

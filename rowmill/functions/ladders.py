@@ -133,7 +133,8 @@ def _source(df: DataFrame, name: str, ladder: str) -> Column:
         return column
     if isinstance(df.schema[name].dataType, T.VariantType):
         return column
-    return F.coalesce(F.try_parse_json(column), F.parse_json(F.to_json(F.to_variant_object(column))))
+    as_string = F.try_variant_get(F.to_variant_object(F.struct(column.alias("text"))), "$.text", "variant")
+    return F.coalesce(F.try_parse_json(column), as_string)
 
 
 def _text_value(text: Column, kind: str) -> Column:

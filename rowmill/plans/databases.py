@@ -111,7 +111,9 @@ def insert_jdbc(spark: SparkSession, folder: str) -> DataFrame:
 )
 def scan_sqlite(spark: SparkSession, folder: str) -> DataFrame:
     path = sqlite_copy(spark, folder, "orders")
-    return read_sqlite(spark, path, "orders", num_partitions=8).where("o_orderkey > 100 AND o_orderstatus <> 'P'")
+    return read_sqlite(
+        spark, path, "orders", where="o_orderkey > ? AND o_orderstatus <> ?", params=[100, "P"], num_partitions=8
+    )
 
 
 @query(

@@ -1,8 +1,9 @@
 """SQLite files as a Spark data source.
 
 Reading: ``path`` is one database file, a folder of them or a pattern, on a file system that the driver and every
-executor mount under the same path. Each file is split into ranges of row ids, one task per range, and pushed filters
-become the WHERE text of the task's query.
+executor mount under the same path. Each file is split into ranges of row ids, one task per range. The columns and the
+condition that SQLite should apply are given to the read. Filters are not pushed by Spark on its own: in Spark 4.1 a
+Python source with pushed filters keeps those of one query for the next query over the same DataFrame.
 
 Writing: a folder of database files, one per task, each holding the table. One SQLite file takes one writer at a
 time, so a single file could only be written through a single task. A task builds its file under a temporary name and
@@ -14,11 +15,12 @@ from __future__ import annotations
 
 import datetime
 import glob
+import json
 import os
 import sqlite3
 import sys
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote, urlparse
 
@@ -29,16 +31,7 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
-    EqualTo,
-    Filter,
-    GreaterThan,
-    GreaterThanOrEqual,
-    In,
     InputPartition,
-    IsNotNull,
-    IsNull,
-    LessThan,
-    LessThanOrEqual,
     WriterCommitMessage,
 )
 
@@ -49,12 +42,9 @@ FILE_PATTERNS = ("*.db", "*.sqlite", "*.sqlite3")
 ROWS_PER_PARTITION = 1_000_000
 FETCH_ROWS = 20_000
 
-_COMPARISONS = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
-
 
 def use_sqlite(spark: SparkSession) -> None:
-    """Make ``spark.read.format("sqlite")`` available, with filter pushdown."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    """Make ``spark.read.format("sqlite")`` available."""
     spark.dataSource.register(SqliteDataSource)
 
 
@@ -63,16 +53,21 @@ def read_sqlite(
     path: str,
     table: str,
     columns: list[str] | None = None,
+    where: str | None = None,
+    params: list | None = None,
     typing: str = "declared",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Lazy scan of ``table``; ``columns`` limits what is read from the file.
+    """Lazy scan of ``table``; only ``columns``, and rows for which ``where`` is true, leave the file.
 
+    ``where`` is a condition in SQLite's own SQL, with ``?`` for each of ``params`` (numbers and text).
     ``typing="declared"`` takes the declared column types and fails on a value that does not fit its column;
     ``typing="text"`` reads every value as text, for the typing jobs.
     """
     use_sqlite(spark)
     reader = spark.read.format("sqlite").option("path", path).option("table", table).option("typing", typing)
+    if where is not None:
+        reader = reader.option("where", where).option("params", json.dumps(list(params or [])))
     if num_partitions:
         reader = reader.option("numPartitions", str(num_partitions))
     if columns:
@@ -131,30 +126,8 @@ class SqliteReader(DataSourceReader):
         self.text_only = options.get("typing", "declared") == "text"
         self.rows_per_partition = int(options.get("rowsPerPartition", ROWS_PER_PARTITION))
         self.num_partitions = int(options.get("numPartitions", 0))
-        self.conditions: list[str] = []
-        self.values: list = []
-
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        """Let SQLite skip rows; every filter is also handed back, so Spark checks what arrives."""
-        for item in filters:
-            if not self.text_only:
-                self._push(item)
-            yield item
-
-    def _push(self, item: Filter) -> None:
-        comparable = {n for n, t in self.columns if isinstance(t, (T.LongType, T.DoubleType, T.StringType))}
-        name = item.attribute[0] if len(getattr(item, "attribute", ())) == 1 else None
-        if name not in comparable:
-            return
-        column = identifier(name)
-        if isinstance(item, (IsNull, IsNotNull)):
-            self.conditions.append(f"{column} IS {'NOT ' if isinstance(item, IsNotNull) else ''}NULL")
-        elif isinstance(item, In) and all(_bindable(v) for v in item.value):
-            self.conditions.append(f"{column} COLLATE BINARY IN ({', '.join('?' * len(item.value))})")
-            self.values.extend(item.value)
-        elif type(item) in _COMPARISONS and _bindable(item.value):
-            self.conditions.append(f"{column} COLLATE BINARY {_COMPARISONS[type(item)]} ?")
-            self.values.append(item.value)
+        self.where = options.get("where")
+        self.params = json.loads(options.get("params", "[]"))
 
     def partitions(self) -> list[RowidRange]:
         files = database_files(self.path)
@@ -180,7 +153,10 @@ class SqliteReader(DataSourceReader):
         return [RowidRange(path, rowid, start, start + step) for start in range(low, high + 1, step)]
 
     def read(self, partition: RowidRange) -> Iterator[pa.RecordBatch]:
-        conditions, values = list(self.conditions), list(self.values)
+        conditions, values = [], []
+        if self.where:
+            conditions.append(f"({self.where})")
+            values += self.params
         if partition.rowid:
             # the upper end may lie past the largest integer SQLite can bind
             conditions.append(f"{partition.rowid} BETWEEN ? AND ?")
@@ -383,10 +359,6 @@ def _cells(column: pa.Array) -> list:
     return column.to_pylist()
 
 
-def _bindable(value: object) -> bool:
-    return isinstance(value, (int, float, str)) and not isinstance(value, bool)
-
-
 def _as_flag(cell: object) -> bool:
     if cell in (0, 1):
         return bool(cell)
