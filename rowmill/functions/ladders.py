@@ -1,6 +1,6 @@
 """Typing jobs: find the narrowest column type that fits every value, then cast.
 
-Three ladders, one aggregate pass each (partial aggregation, one row out, no shuffle of the data):
+Three ladders, one aggregate pass each (combined per task, then one row per column; the data is not shuffled):
 
 - ``sqlite``  bigint, double, string
 - ``mssql``   int, bigint, double, boolean, string
@@ -35,31 +35,13 @@ POSTGRES_TYPES = {
     "BOOLEAN": "boolean",
 }
 
-
-def _is_whole(kind: str):
-    def fits(text: Column) -> Column:
-        return text.rlike(_WHOLE) & text.try_cast(kind).isNotNull()
-
-    return fits
-
-
-def _is_fraction(text: Column) -> Column:
-    return text.rlike(_FRACTION)
-
-
-def _is_boolean(text: Column) -> Column:
-    return F.lower(text).isin("true", "false")
-
-
-_TEXT_RUNGS = {
-    "sqlite": [("bigint", _is_whole("bigint")), ("double", _is_fraction)],
-    "mssql": [
-        ("int", _is_whole("int")),
-        ("bigint", _is_whole("bigint")),
-        ("double", _is_fraction),
-        ("boolean", _is_boolean),
-    ],
+# For each ladder, the column type by the highest rank among its values. Ranks are those of _text_rank and _json_rank.
+_TYPES_BY_RANK = {
+    "sqlite": ["bigint", "bigint", "double", "string", "string"],
+    "mssql": ["int", "bigint", "double", "string", "string"],
+    "input": ["bigint", "double", "string"],
 }
+_BOOLEAN_RANK = 3
 
 
 def infer_types(df: DataFrame, ladder: str = "sqlite", columns: list[str] | None = None) -> DataFrame:
@@ -67,22 +49,23 @@ def infer_types(df: DataFrame, ladder: str = "sqlite", columns: list[str] | None
 
     A column without non-null values gets the first type of the ladder.
     """
+    if ladder not in _TYPES_BY_RANK:
+        raise ValueError(f"unknown ladder {ladder!r}, expected one of {sorted(_TYPES_BY_RANK)}")
     names = list(columns or df.columns)
-    rungs = _rungs(ladder)
-    fits = []
-    for i, name in enumerate(names):
-        value = _source(df, name, ladder)
-        for kind, test in rungs:
-            # bool_and passes over the nulls; a column of nulls only fits every rung
-            fits_all = F.bool_and(F.when(value.isNotNull(), test(value)))
-            fits.append(F.coalesce(fits_all, F.lit(True)).alias(f"c{i}_{kind}"))
-    verdicts = []
-    for i, name in enumerate(names):
-        kind = F.lit("string")
-        for rung, _ in reversed(rungs):
-            kind = F.when(F.col(f"c{i}_{rung}"), F.lit(rung)).otherwise(kind)
-        verdicts.append(F.struct(F.lit(name).alias("column_name"), kind.alias("type")))
-    return df.agg(*fits).select(F.inline(F.array(*verdicts)))
+    values = F.array(*[_source(df, name, ladder) for name in names])
+    # One small expression over (column, value) rows instead of one per column: its generated code stays compilable
+    # however many columns there are, and min and max are combined before the few groups are shuffled.
+    cells = df.select(F.posexplode(values).alias("column", "value"))
+    rank = (_json_rank if ladder == "input" else _text_rank)(F.col("value"))
+    every_column = df.sparkSession.range(len(names)).select(F.col("id").cast("int"), F.lit(None).cast("int"))
+    ranks = cells.select("column", rank.alias("rank")).union(every_column)
+    ends = ranks.groupBy("column").agg(F.min("rank").alias("low"), F.coalesce(F.max("rank"), F.lit(0)).alias("high"))
+    kind = F.get(F.array(*[F.lit(kind) for kind in _TYPES_BY_RANK[ladder]]), F.col("high"))
+    if ladder == "mssql":
+        flags_only = (F.col("low") == _BOOLEAN_RANK) & (F.col("high") == _BOOLEAN_RANK)
+        kind = F.when(flags_only, F.lit("boolean")).otherwise(kind)
+    name = F.get(F.array(*[F.lit(name) for name in names]), F.col("column"))
+    return ends.select(name.alias("column_name"), kind.alias("type"))
 
 
 def apply_types(df: DataFrame, types: DataFrame | dict[str, str], ladder: str = "sqlite") -> DataFrame:
@@ -111,17 +94,6 @@ def map_types(df: DataFrame, declared: dict[str, str]) -> DataFrame:
     )
 
 
-def _rungs(ladder: str):
-    if ladder == "input":
-        return [
-            ("bigint", lambda json: _json_kind(json).isin("null", "whole")),
-            ("double", lambda json: _json_kind(json).isin("null", "whole", "fraction")),
-        ]
-    if ladder not in _TEXT_RUNGS:
-        raise ValueError(f"unknown ladder {ladder!r}, expected sqlite, mssql or input")
-    return _TEXT_RUNGS[ladder]
-
-
 def _quote(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -141,14 +113,38 @@ def _text_value(text: Column, kind: str) -> Column:
     return text if kind == "string" else text.cast(kind)
 
 
-def _json_kind(value: Column) -> Column:
-    """null, whole, fraction or text; booleans count as whole numbers, objects and arrays as text."""
+def _text_rank(text: Column) -> Column:
+    """0 fits int, 1 fits bigint, 2 is another number, 3 is true or false, 4 is other text; NULL for NULL.
+
+    The range of a whole number is judged by its length or by a cast that it fits for sure: a failed ``try_cast``
+    costs as much as a hundred that succeed.
+    """
+    digits = F.length(text)
+    whole = (
+        F.when(digits < 10, 0)
+        .when(digits < 19, _width_rank(text.try_cast("bigint")))
+        .when(digits < 38, _width_rank(text.try_cast("decimal(38,0)")))
+        .otherwise(_width_rank(text.try_cast("bigint")))
+    )
+    return (
+        F.when(text.rlike(_WHOLE), whole)
+        .when(text.rlike(_FRACTION), 2)
+        .when(F.lower(text).isin("true", "false"), _BOOLEAN_RANK)
+        .when(text.isNotNull(), 4)
+    )
+
+
+def _width_rank(number: Column) -> Column:
+    return F.when(number.between(-(2**31), 2**31 - 1), 0).when(number.between(-(2**63), 2**63 - 1), 1).otherwise(2)
+
+
+def _json_rank(value: Column) -> Column:
+    """0 is whole (or true, false), 1 another number, 2 text, object or array; NULL for NULL and JSON null."""
     kind = F.schema_of_variant(value)
     return (
-        F.when(value.isNull() | (kind == "VOID"), F.lit("null"))
-        .when(kind.isin("BIGINT", "BOOLEAN"), F.lit("whole"))
-        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.lit("fraction"))
-        .otherwise(F.lit("text"))
+        F.when(kind.isin("BIGINT", "BOOLEAN"), 0)
+        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), 1)
+        .when(kind != "VOID", 2)
     )
 
 
