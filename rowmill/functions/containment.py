@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -23,58 +24,59 @@ def json_contains(document: Column | str, literal: str) -> Column:
     """
     wanted = json.loads(literal, parse_float=Decimal)
     variant = F.col(document) if isinstance(document, str) else document
-    test = _contains(variant, wanted)
+    test = _contains(variant, "$", wanted)
     if not isinstance(wanted, (dict, list)):
-        test = test | F.exists(_elements(variant), lambda element: _contains(element, wanted))
-    return F.when(variant.isNotNull(), F.coalesce(test, F.lit(False)))
+        test = test | _some_element_contains(variant, "$", wanted)
+    return F.when(variant.isNotNull(), test)
 
 
-def _kind(variant: Column) -> Column:
-    return F.schema_of_variant(variant)
+def _get(variant: Column, path: str, kind: str) -> Column:
+    return F.try_variant_get(variant, path, kind)
 
 
-def _elements(variant: Column) -> Column:
-    empty = F.array().cast("array<variant>")
-    return F.coalesce(F.try_variant_get(variant, "$", "array<variant>"), empty)
+def _kind(variant: Column, path: str) -> Column:
+    return F.schema_of_variant(variant if path == "$" else _get(variant, path, "variant"))
 
 
-def _member(variant: Column, name: str) -> Column:
-    if name and "'" not in name and "?" not in name:
-        return F.try_variant_get(variant, f"$['{name}']", "variant")
-    # a name that extraction paths cannot spell
-    members = F.try_variant_get(variant, "$", "map<string,variant>")
-    return F.try_element_at(members, F.lit(name))
-
-
-def _contains(variant: Column, wanted: object) -> Column:
+def _contains(variant: Column, path: str, wanted: object) -> Column:
+    """Never NULL. The value at ``path`` is compared in place; only what may match is looked at more closely."""
     if isinstance(wanted, dict):
-        test = _kind(variant).startswith("OBJECT")
-        for name, value in wanted.items():
-            test = test & F.coalesce(_contains(_member(variant, name), value), F.lit(False))
-        return test
+        if not wanted:
+            return F.coalesce(_kind(variant, path).startswith("OBJECT"), F.lit(False))
+        return reduce(lambda a, b: a & b, [_member_contains(variant, path, *member) for member in wanted.items()])
     if isinstance(wanted, list):
-        test = _kind(variant).startswith("ARRAY")
-        for value in wanted:
-            test = test & _some_element_contains(variant, value)
-        return test
-    return _equals(variant, wanted)
+        if not wanted:
+            return _get(variant, path, "array<variant>").isNotNull()
+        return reduce(lambda a, b: a & b, [_some_element_contains(variant, path, value) for value in wanted])
+    return F.coalesce(_equals(variant, path, wanted), F.lit(False))
+
+
+def _member_contains(variant: Column, path: str, name: str, wanted: object) -> Column:
+    if name and "'" not in name and "?" not in name:
+        return _contains(variant, f"{path}['{name}']", wanted)
+    # a name that extraction paths cannot spell
+    members = _get(variant, path, "map<string,variant>")
+    return _contains(F.try_element_at(members, F.lit(name)), "$", wanted)
 
 
-def _some_element_contains(variant: Column, wanted: object) -> Column:
-    return F.exists(_elements(variant), lambda element: F.coalesce(_contains(element, wanted), F.lit(False)))
+def _some_element_contains(variant: Column, path: str, wanted: object) -> Column:
+    elements = _get(variant, path, "array<variant>")
+    return F.coalesce(F.exists(elements, lambda element: _contains(element, "$", wanted)), F.lit(False))
 
 
-def _equals(variant: Column, wanted: object) -> Column:
-    kind = _kind(variant)
+def _equals(variant: Column, path: str, wanted: object) -> Column:
+    """Equal value first, which is cheap but converts between kinds, then the same kind."""
     if wanted is None:
-        return kind == "VOID"
+        return _get(variant, path, "string").isNull() & (_kind(variant, path) == "VOID")
     if isinstance(wanted, bool):
-        return (kind == "BOOLEAN") & (F.try_variant_get(variant, "$", "boolean") == F.lit(wanted))
+        return (_get(variant, path, "boolean") == F.lit(wanted)) & (_kind(variant, path) == "BOOLEAN")
     if isinstance(wanted, str):
-        return (kind == "STRING") & (F.try_variant_get(variant, "$", "string") == F.lit(wanted))
+        return (_get(variant, path, "string") == F.lit(wanted)) & (_kind(variant, path) == "STRING")
+    equal = _get(variant, path, "double") == F.lit(float(wanted))
+    kind = _kind(variant, path)
     fraction = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
-    as_double = F.try_variant_get(variant, "$", "double") == F.lit(float(wanted))
     if wanted == int(wanted) and _BIGINT_MIN <= wanted <= _BIGINT_MAX:
-        as_long = F.try_variant_get(variant, "$", "bigint") == F.lit(int(wanted))
-        return F.when(kind == "BIGINT", as_long).otherwise(fraction & as_double)
-    return fraction & as_double
+        # doubles do not tell large whole numbers apart
+        whole = (kind == "BIGINT") & (_get(variant, path, "bigint") == F.lit(int(wanted)))
+        return equal & (whole | fraction)
+    return equal & fraction

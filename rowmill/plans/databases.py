@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import apply_types, infer_types
 from ..shared import run_folder
 from ..sources import (
     copy_table,
@@ -104,6 +105,23 @@ def insert_jdbc(spark: SparkSession, folder: str) -> DataFrame:
     return stored.selectExpr("*", f"CAST({written} AS BIGINT) AS n_changed")
 
 
+@query(
+    "insert_jdbc_again",
+    """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+        (SELECT count(*) FROM customer WHERE c_acctbal >= 0) AS n_changed FROM customer""",
+)
+def insert_jdbc_again(spark: SparkSession, folder: str) -> DataFrame:
+    """An append that an earlier run left half done: the rows already there are not written twice."""
+    options, table = jdbc_options(spark), f"customer_{uuid.uuid4().hex[:12]}"
+    customer = load(spark, folder, "customer")
+    split = {"column": "c_custkey", "num_partitions": 4}
+    write_table(
+        customer.where("c_acctbal < 0"), {**options, "createTableColumnTypes": _TEXT_COLUMNS["customer"]}, table
+    )
+    written = write_table(customer, options, table, ["c_custkey"], split)
+    return read_table(spark, options, table, split).selectExpr("*", f"CAST({written} AS BIGINT) AS n_changed")
+
+
 @query(
     "scan_sqlite",
     """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
@@ -116,6 +134,16 @@ def scan_sqlite(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "scan_sqlite_inferred",
+    """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+)
+def scan_sqlite_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """Every value read as text, the column types found from the values."""
+    text = read_sqlite(spark, sqlite_copy(spark, folder, "customer"), "customer", typing="text")
+    return apply_types(text, infer_types(text, "sqlite"))
+
+
 @query(
     "copy_table",
     """SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders WHERE o_totalprice > 50000) AS n_changed

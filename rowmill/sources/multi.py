@@ -12,7 +12,10 @@ from . import jdbc, sqlite
 
 
 def read_source(spark: SparkSession, options: dict[str, str], table: str, partition: dict | None = None) -> DataFrame:
-    """One table of one connection; the ``format`` option picks the source (``jdbc`` when absent, or ``sqlite``)."""
+    """One table of one connection; the ``format`` option picks the source (``jdbc`` when absent, or ``sqlite``).
+
+    ``partition`` splits a JDBC scan; without it one task reads the table. SQLite files are always split.
+    """
     kind = options.get("format", "jdbc")
     if kind == "sqlite":
         return sqlite.read_sqlite(spark, options["path"], table)
@@ -52,13 +55,14 @@ def read_all(
     where: str | Column | None = None,
     params: Params = None,
     tag: str = "source",
+    partition: dict | None = None,
 ) -> DataFrame:
     """The same table and filter on every connection, one result with the connection's name in ``tag``.
 
     Columns are matched by name; one that a connection lacks is NULL for its rows.
     """
     parts = [
-        select(read_source(spark, options, table), where=where, params=params).withColumn(tag, F.lit(name))
+        select(read_source(spark, options, table, partition), where=where, params=params).withColumn(tag, F.lit(name))
         for name, options in sources
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
