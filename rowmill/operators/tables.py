@@ -5,7 +5,10 @@ point the table at it; readers that already started keep the old files. A partit
 partition: only those that hold a matching row are rewritten. Partition a table by what its changes filter on.
 
 Counts come out of the writing job itself (an observed metric in its last stage), not out of a second scan.
-One writer at a time per table: a change that finds the table moved since it started is refused.
+One writer at a time per table: a change that finds the table moved since it started is refused. The swap of an
+unpartitioned table is one catalog call; a partitioned one takes a call per rewritten partition.
+
+``DROP TABLE`` removes the current snapshot at most. To use the name again, remove the table's folder as well.
 """
 
 from __future__ import annotations
@@ -93,9 +96,9 @@ def update(
         expression = F.expr(value) if isinstance(value, str) else value if isinstance(value, Column) else F.lit(value)
         new[column] = expression.cast(df.schema[column].dataType)
 
-    def assigned(rows: DataFrame, hit: Column) -> list[Column]:
+    def assigned(hit: Column) -> list[Column]:
         # one select, so that every expression sees the old row
-        return [F.when(hit, new[c]).otherwise(F.col(_name(c))).alias(c) if c in new else F.col(_name(c)) for c in df.columns]
+        return [_assigned(c, hit, new) for c in df.columns]
 
     return _change(
         spark,
@@ -103,7 +106,8 @@ def update(
         matching=lambda rows: filter_rows(rows, where, params),
         moved={p: new[p] for p in target.partitions if p in new},
         marked=lambda rows: _marked(rows, where, params),
-        result=lambda rows: rows.select(*assigned(rows, F.col(_HITS) > 0)),
+        result=lambda rows: rows.select(*assigned(F.col(_HITS) > 0)),
+        look_first=where is not None,
     )
 
 
@@ -122,6 +126,7 @@ def delete(
         moved={},
         marked=lambda rows: _marked(rows, where, params),
         result=lambda rows: rows.where(F.col(_HITS) == 0).drop(_HITS),
+        look_first=where is not None,
     )
 
 
@@ -166,9 +171,7 @@ def execute_many(
     counted = F.coalesce("__sets", F.lit(0)) if kind == "update" else hit.cast("long")
 
     def updated(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            *[F.when(hit, new[c]).otherwise(F.col(_name(c))).alias(c) if c in new else F.col(_name(c)) for c in df.columns]
-        )
+        return rows.select(*[_assigned(c, hit, new) for c in df.columns])
 
     return _change(
         spark,
@@ -227,6 +230,11 @@ def _create(spark: SparkSession, table: str, df: DataFrame, partition_by: Sequen
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{partitioned}{at}")
 
 
+def _assigned(column: str, hit: Column, new: dict[str, Column]) -> Column:
+    old = F.col(_name(column))
+    return F.when(hit, new[column]).otherwise(old).alias(column) if column in new else old
+
+
 def _marked(rows: DataFrame, where: str | Column | None, params: Params) -> DataFrame:
     """All rows, with 1 in the hit column where the predicate is true and 0 where it is false or NULL."""
     if where is None:
@@ -244,14 +252,23 @@ def _change(
     moved: dict[str, Column],
     marked: Callable[[DataFrame], DataFrame],
     result: Callable[[DataFrame], DataFrame],
+    look_first: bool = False,
 ) -> int:
+    """Write the changed snapshot, point the table at it and return the number of hits.
+
+    ``matching`` gives the rows concerned in a form whose filter reaches the scan, ``marked`` all rows with the number
+    of hits in a column, ``result`` the rows to keep from those, ``moved`` new values of partition columns. With
+    ``look_first`` an unpartitioned table without a match is found by a filtered scan and not rewritten.
+    """
     rows = spark.table(target.name)
     touched = []
     if target.partitions:
         touched = _touched(matching(rows), target, moved)
         if not touched:
             return 0
-        rows = rows.where(_any([_same_partition(target, part) for part in touched]))
+        rows = rows.where(_in_partitions(target, touched))
+    elif look_first and matching(rows).isEmpty():
+        return 0
     counted = Observation()
     observed = marked(rows).observe(counted, F.coalesce(F.sum(_HITS), F.lit(0)).alias("hits"))
     folder = f"{target.root}{_SNAPSHOT}{uuid.uuid4().hex}"
@@ -278,11 +295,24 @@ def _touched(hits: DataFrame, target: _Target, moved: dict[str, Column]) -> list
     return now.distinct().select("*", F.array(*texts).alias("__texts")).collect()
 
 
-def _same_partition(target: _Target, part) -> Column:
-    return reduce(
-        lambda a, b: a & b,
-        [F.col(_name(p)).isNull() if part[p] is None else F.col(_name(p)) == F.lit(part[p]) for p in target.partitions],
-    )
+def _in_partitions(target: _Target, touched: list) -> Column:
+    """A filter on partition columns only, so that nothing else is listed or read."""
+    if len(target.partitions) == 1:
+        column = target.partitions[0]
+        values = [part[column] for part in touched if part[column] is not None]
+        inside = F.col(_name(column)).isin(values) if values else F.lit(False)
+        return inside | F.col(_name(column)).isNull() if len(values) < len(touched) else inside
+
+    def same(part) -> Column:
+        return reduce(
+            lambda a, b: a & b,
+            [
+                F.col(_name(p)).isNull() if part[p] is None else F.col(_name(p)) == F.lit(part[p])
+                for p in target.partitions
+            ],
+        )
+
+    return _any([same(part) for part in touched])
 
 
 def _any(conditions: list[Column]) -> Column:

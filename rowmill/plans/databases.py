@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import apply_types, infer_types
+from ..operators import execute
 from ..shared import run_folder
 from ..sources import (
     copy_table,
@@ -173,6 +174,23 @@ def read_all_(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "report_sources",
+    """SELECT n_name, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS turnover
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
+)
+def report_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """A join over tables of two connections and a parquet table."""
+    tables = {
+        "orders": read_sqlite(
+            spark, sqlite_copy(spark, folder, "orders"), "orders", ["o_custkey", "o_totalprice"], num_partitions=8
+        ),
+        "customer": read_sqlite(spark, sqlite_copy(spark, folder, "customer"), "customer", ["c_custkey", "c_nationkey"]),
+        "nation": load(spark, folder, "nation"),
+    }
+    return execute(spark, ORACLES["report_sources"], tables=tables)
+
+
 @query(
     "sql_dump",
     """SELECT 'INSERT INTO part (p_partkey, p_name, p_brand, p_type, p_size, p_retailprice) VALUES ('

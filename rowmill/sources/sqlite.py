@@ -7,8 +7,8 @@ Python source with pushed filters keeps those of one query for the next query ov
 
 Writing: a folder of database files, one per task, each holding the table. One SQLite file takes one writer at a
 time, so a single file could only be written through a single task. A task builds its file under a temporary name and
-the commit on the driver gives the files of successful attempts their final names; lost and repeated attempts leave
-nothing behind that a reader would see.
+the commit on the driver gives the files of successful attempts their final names, one after the other, and removes
+those that lost and repeated attempts left. Readers only see final names.
 """
 
 from __future__ import annotations
@@ -198,10 +198,11 @@ class SqliteWriter(DataSourceArrowWriter):
         self.columns = [(field.name, sqlite_type(field.dataType)) for field in schema]
         self.folder = local_path(options["path"])
         self.table = options["table"]
+        self.job = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFile:
         os.makedirs(self.folder, exist_ok=True)
-        path = os.path.join(self.folder, f"_attempt-{uuid.uuid4().hex}")
+        path = self._new_file()
         connection = None
         try:
             for batch in iterator:
@@ -220,6 +221,9 @@ class SqliteWriter(DataSourceArrowWriter):
                 os.remove(path)
             raise
 
+    def _new_file(self) -> str:
+        return os.path.join(self.folder, f"_attempt-{self.job}-{uuid.uuid4().hex}")
+
     def _create(self, path: str) -> sqlite3.Connection:
         connection = sqlite3.connect(path)
         connection.execute("PRAGMA journal_mode = OFF")
@@ -236,18 +240,21 @@ class SqliteWriter(DataSourceArrowWriter):
         if not written and not _existing_files(self.folder):
             # keep the schema of an empty result
             os.makedirs(self.folder, exist_ok=True)
-            empty = os.path.join(self.folder, f"_attempt-{uuid.uuid4().hex}")
+            empty = self._new_file()
             connection = self._create(empty)
             connection.commit()
             connection.close()
             written = [empty]
         for path in written:
             os.replace(path, path.replace("_attempt-", "part-") + ".db")
+        self._remove_attempts()
 
     def abort(self, messages: list[WrittenFile | None]) -> None:
-        for message in messages:
-            if message is not None and message.path and os.path.exists(message.path):
-                os.remove(message.path)
+        self._remove_attempts()
+
+    def _remove_attempts(self) -> None:
+        for path in glob.glob(os.path.join(glob.escape(self.folder), f"_attempt-{self.job}-*")):
+            os.remove(path)
 
 
 def local_path(path: str) -> str:
@@ -258,7 +265,7 @@ def local_path(path: str) -> str:
 
 
 def _existing_files(folder: str) -> list[str]:
-    return sorted(f for pattern in FILE_PATTERNS for f in glob.glob(os.path.join(folder, pattern)))
+    return sorted(f for pattern in FILE_PATTERNS for f in glob.glob(os.path.join(glob.escape(folder), pattern)))
 
 
 def database_files(path: str) -> list[str]:

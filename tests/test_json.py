@@ -12,12 +12,14 @@ DOCUMENTS = [
     "[1, 2, 3]", '["x", {"k": 69}]', "69", '"text"', "true", "null", '{"odd key\'s": {"dot.ted": 5}}',
     '{"big": 9007199254740993}', '{"big": 9007199254740992}', '{"k": 99999999999999999999}', '{"k": [69]}',
     '{"a": {"b": [{"c": 1}, {"c": 2, "d": [5, 6]}]}}', '{"k": "it\'s"}',
+    '{"a]b": 1, "q\\"uote": 2, "": 3, "what?": 4, "*": 5, "\\\\": 6, "it\'s \\"so\\"": 7}',
 ]
 LITERALS = [
     '{"k": 69}', '{"k": "69"}', '{"k": null}', "{}", '{"k": 69.5}', '{"k": true}', '{"a": {"b": {}}}',
     '{"a": {"b": {"c": 1}}}', '{"a": [2]}', '{"a": [{"b": 3}, 1]}', '{"a": [[2]]}', '{"a": []}', "[3, 1]", "[]",
     '[{"k": 69}]', "69", '"text"', "2", '"x"', "null", '{"odd key\'s": {"dot.ted": 5}}', '{"big": 9007199254740993}',
     '{"k": 99999999999999999999}', '{"k": [69]}', '{"a": {"b": [{"d": [6]}]}}', '{"k": "it\'s"}', '{"k": 69, "a": 1}',
+    '{"a]b": 1}', '{"q\\"uote": 2}', '{"": 3}', '{"what?": 4}', '{"*": 5}', '{"\\\\": 6}', '{"it\'s \\"so\\"": 7}', '{"what?": 5}',
 ]
 
 

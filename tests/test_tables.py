@@ -225,6 +225,24 @@ def test_bucketed_tables_are_refused(spark, table):
         delete(name, spark=spark)
 
 
+def test_only_touched_partitions_are_read(spark, parted, monkeypatch):
+    from rowmill.operators import tables
+
+    seen = []
+    real = tables._in_partitions
+
+    def spy(target, touched):
+        condition = real(target, touched)
+        plan = spark.table(parted).where(condition)._jdf.queryExecution().executedPlan().toString()
+        seen.append((len(touched), plan))
+        return condition
+
+    monkeypatch.setattr(tables, "_in_partitions", spy)
+    update(parted, {"id": "id + 100"}, "p = 1", spark=spark)
+    touched, plan = seen[0]
+    assert touched == 5 and "InMemoryFileIndex(5 paths)" in plan
+
+
 # --- batch changes ------------------------------------------------------------------------------------------------
 
 
