@@ -52,12 +52,14 @@ def _nulls(df: DataFrame, columns: list[str], key: list[str]) -> DataFrame:
 
 def _repeated(table: str | DataFrame, df: DataFrame, key: list[str]) -> list[DataFrame]:
     stored = df.sparkSession.table(table) if isinstance(table, str) else table
-    given = settle(df.dropna(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")))
+    given, small = settle(df.dropna(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")))
 
     def report(rows: DataFrame, constraint: str) -> DataFrame:
         return rows.select(
             F.lit(constraint).alias("constraint"), F.lit(", ".join(key)).alias("columns"), *key, "n_rows"
         )
 
-    present = stored.select(*key).join(given, key).distinct()
+    keys = stored.select(*key)
+    # against a broadcast side the table stays where it is; otherwise its keys are reduced before they are shuffled
+    present = keys.join(given, key).distinct() if small else keys.distinct().join(given, key)
     return [report(given.where("n_rows > 1"), "unique_in_batch"), report(present, "unique_in_table")]

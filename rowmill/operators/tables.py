@@ -160,7 +160,7 @@ def execute_many(
             raise ValueError("update needs an ordinal column, the order in which the sets apply")
     new_names = {_resolve(df, c): c for c in values}
     last = [F.max_by(F.struct(*values), ordinal).alias("__last")] if values else []
-    sets = settle(
+    sets, _ = settle(
         params_df.dropna(subset=list(key))
         .groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key)])
         .agg(F.count(F.lit(1)).alias("__sets"), *last)

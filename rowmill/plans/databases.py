@@ -176,8 +176,10 @@ def read_all_(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "report_sources",
-    """SELECT n_name, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS turnover
-    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
+    """WITH per_customer AS (
+        SELECT o_custkey, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS total FROM orders GROUP BY o_custkey)
+    SELECT n_name, CAST(sum(n) AS BIGINT) AS n_orders, CAST(sum(total) AS DOUBLE) AS turnover
+    FROM per_customer JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
 )
 def report_sources(spark: SparkSession, folder: str) -> DataFrame:
     """A join over tables of two connections and a parquet table."""

@@ -1,8 +1,8 @@
 """SQLite files as a Spark data source.
 
 Reading: ``path`` is one database file, a folder of them or a pattern, on a file system that the driver and every
-executor mount under the same path. Each file is split into ranges of row ids, one task per range. The columns and the
-condition that SQLite should apply are given to the read. Filters are not pushed by Spark on its own: in Spark 4.1 a
+executor mount under the same path. A large file is split into ranges of row ids, one task per range; small files are
+read several per task and not even opened for planning. The columns and the condition that SQLite should apply are given to the read. Filters are not pushed by Spark on its own: in Spark 4.1 a
 Python source with pushed filters keeps those of one query for the next query over the same DataFrame.
 
 Writing: a folder of database files, one per task, each holding the table. One SQLite file takes one writer at a
@@ -39,7 +39,7 @@ from pyspark.sql.datasource import (
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FILE_PATTERNS = ("*.db", "*.sqlite", "*.sqlite3")
-ROWS_PER_PARTITION = 1_000_000
+BYTES_PER_PARTITION = 64 << 20
 FETCH_ROWS = 20_000
 
 
@@ -109,8 +109,8 @@ class SqliteDataSource(DataSource):
 
 
 @dataclass
-class RowidRange(InputPartition):
-    """Rows of one file with low <= rowid < high; the whole table where there is no row id to split on."""
+class Piece:
+    """Rows of one file with low <= row id <= high; the whole table where there is no row id."""
 
     path: str
     rowid: str | None = None
@@ -118,23 +118,43 @@ class RowidRange(InputPartition):
     high: int | None = None
 
 
+@dataclass
+class Pieces(InputPartition):
+    """What one task reads."""
+
+    pieces: list[Piece]
+
+
 class SqliteReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict):
         self.columns = [(field.name, field.dataType) for field in schema]
         self.path = options["path"]
         self.table = options["table"]
         self.text_only = options.get("typing", "declared") == "text"
-        self.rows_per_partition = int(options.get("rowsPerPartition", ROWS_PER_PARTITION))
+        self.bytes_per_partition = int(options.get("bytesPerPartition", BYTES_PER_PARTITION))
         self.num_partitions = int(options.get("numPartitions", 0))
         self.where = options.get("where")
         self.params = json.loads(options.get("params", "[]"))
 
-    def partitions(self) -> list[RowidRange]:
+    def partitions(self) -> list[Pieces]:
         files = database_files(self.path)
-        wanted_per_file = -(-self.num_partitions // len(files))
-        return [part for path in files for part in self._split(path, wanted_per_file)]
-
-    def _split(self, path: str, wanted: int) -> list[RowidRange]:
+        if self.num_partitions:
+            per_file = -(-self.num_partitions // len(files))
+            return [Pieces([piece]) for path in files for piece in self._split(path, per_file)]
+        parts, packed, packed_bytes = [], [], 0
+        for path in files:
+            size = os.path.getsize(path)
+            if size > self.bytes_per_partition:
+                parts += [Pieces([piece]) for piece in self._split(path, -(-size // self.bytes_per_partition))]
+                continue
+            if packed and packed_bytes + size > self.bytes_per_partition:
+                parts.append(Pieces(packed))
+                packed, packed_bytes = [], 0
+            packed.append(Piece(path))
+            packed_bytes += size
+        return parts + [Pieces(packed)] if packed else parts
+
+    def _split(self, path: str, wanted: int) -> list[Piece]:
         with connect(path) as connection:
             taken = {name.lower() for name, _ in declared_columns(connection, self.table)}
             rowid = next((n for n in ("rowid", "_rowid_", "oid") if n not in taken), None)
@@ -145,25 +165,27 @@ class SqliteReader(DataSourceReader):
                 )
                 low, high = connection.execute(ends).fetchone() if rowid else (None, None)
             except sqlite3.OperationalError:  # a WITHOUT ROWID table
-                return [RowidRange(path)]
+                return [Piece(path)]
         if low is None or high is None:  # an empty table, or a view
-            return [RowidRange(path)]
-        pieces = wanted or -(-(high - low + 1) // self.rows_per_partition)
-        step = max(1, -(-(high - low + 1) // pieces))
-        return [RowidRange(path, rowid, start, start + step) for start in range(low, high + 1, step)]
+            return [Piece(path)]
+        step = -(-(high - low + 1) // wanted)
+        return [Piece(path, rowid, start, min(start + step - 1, high)) for start in range(low, high + 1, step)]
+
+    def read(self, partition: Pieces) -> Iterator[pa.RecordBatch]:
+        for piece in partition.pieces:
+            yield from self._read(piece)
 
-    def read(self, partition: RowidRange) -> Iterator[pa.RecordBatch]:
+    def _read(self, piece: Piece) -> Iterator[pa.RecordBatch]:
         conditions, values = [], []
         if self.where:
             conditions.append(f"({self.where})")
             values += self.params
-        if partition.rowid:
-            # the upper end may lie past the largest integer SQLite can bind
-            conditions.append(f"{partition.rowid} BETWEEN ? AND ?")
-            values += [partition.low, min(partition.high - 1, 2**63 - 1)]
+        if piece.rowid:
+            conditions.append(f"{piece.rowid} BETWEEN ? AND ?")
+            values += [piece.low, piece.high]
         names = ", ".join(identifier(name) for name, _ in self.columns)
         where = f" WHERE {' AND '.join(conditions)}" if conditions else ""
-        with connect(partition.path) as connection:
+        with connect(piece.path) as connection:
             cursor = connection.execute(f"SELECT {names} FROM {identifier(self.table)}{where}", values)
             while rows := cursor.fetchmany(FETCH_ROWS):
                 arrays = [self._array(i, cells) for i, cells in enumerate(zip(*rows))]

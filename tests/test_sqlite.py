@@ -165,3 +165,15 @@ def test_the_source_file_is_not_changed(spark, make):
     before = os.stat(path).st_mtime_ns
     read_sqlite(spark, path, "t").collect()
     assert os.stat(path).st_mtime_ns == before and not glob.glob(path + "-*")
+
+
+def test_small_files_share_tasks_and_large_files_are_split(spark, tmp_path):
+    path = str(tmp_path / "many")
+    df = spark.range(0, 20_000, 1, 10).selectExpr("id", "repeat('x', 20) AS s")
+    write_sqlite(df, path, "t")
+    size = os.path.getsize(glob.glob(path + "/*.db")[0])
+    use = spark.read.format("sqlite").option("path", path).option("table", "t")
+    for per_task, tasks in ((100 * size, [1]), (3 * size + size // 2, [4]), (size // 2, range(20, 31))):
+        read = use.option("bytesPerPartition", str(per_task)).load()
+        assert read.rdd.getNumPartitions() in tasks
+        assert read.count() == 20_000 and read.select("id").distinct().count() == 20_000
