@@ -88,7 +88,7 @@ def update(
     if not assignments:
         raise ValueError("no values to update")
     spark = spark or SparkSession.active()
-    target = _describe(spark, table)
+    target = _describe(spark, table, to_change=True)
     df = spark.table(table)
     new = {}
     for name, value in assignments.items():
@@ -121,7 +121,7 @@ def delete(
     spark = spark or SparkSession.active()
     return _change(
         spark,
-        _describe(spark, table),
+        _describe(spark, table, to_change=True),
         matching=lambda rows: filter_rows(rows, where, params),
         moved={},
         marked=lambda rows: _marked(rows, where, params),
@@ -150,7 +150,7 @@ def execute_many(
         raise ValueError(f"unknown kind {kind!r}, expected insert, update or delete")
     if not key:
         raise ValueError("a keyed change needs key columns")
-    target = _describe(spark, table)
+    target = _describe(spark, table, to_change=True)
     df = spark.table(table)
     values = [c for c in params_df.columns if c not in key and c != ordinal] if kind == "update" else []
     if kind == "update":
@@ -216,11 +216,16 @@ class _Target:
         return self.location.split(_SNAPSHOT)[0]
 
 
-def _describe(spark: SparkSession, table: str) -> _Target:
+def _describe(spark: SparkSession, table: str, to_change: bool = False) -> _Target:
     facts = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
-    if facts.get("bucket_columns"):
+    partitions = facts.get("partition_columns") or []
+    if to_change and "location" not in facts:
+        raise ValueError(f"{table} is no table with files of its own")
+    if to_change and facts.get("bucket_columns"):
         raise ValueError(f"{table} is bucketed; changing bucketed tables is not supported")
-    return _Target(table, facts["provider"], facts["location"], facts.get("partition_columns") or [])
+    if to_change and partitions and facts.get("partition_provider") != "Catalog":
+        raise ValueError(f"the partitions of {table} are not in the catalog, so they cannot be pointed elsewhere")
+    return _Target(table, facts.get("provider", ""), facts.get("location", ""), partitions)
 
 
 def _create(spark: SparkSession, table: str, df: DataFrame, partition_by: Sequence[str], location: str | None) -> None:
@@ -289,7 +294,13 @@ def _touched(hits: DataFrame, target: _Target, moved: dict[str, Column]) -> list
     now = hits.select(*[F.col(_name(p)) for p in target.partitions])
     if moved:
         now = now.unionAll(
-            hits.select(*[moved[p].alias(p) if p in moved else F.col(_name(p)) for p in target.partitions])
+            # empty text is stored in the partition of NULL
+            hits.select(
+                *[
+                    F.when(moved[p].cast("string") != "", moved[p]).alias(p) if p in moved else F.col(_name(p))
+                    for p in target.partitions
+                ]
+            )
         )
     texts = [F.col(_name(p)).cast("string") for p in target.partitions]
     return now.distinct().select("*", F.array(*texts).alias("__texts")).collect()

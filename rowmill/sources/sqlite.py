@@ -2,8 +2,9 @@
 
 Reading: ``path`` is one database file, a folder of them or a pattern, on a file system that the driver and every
 executor mount under the same path. A large file is split into ranges of row ids, one task per range; small files are
-read several per task and not even opened for planning. The columns and the condition that SQLite should apply are given to the read. Filters are not pushed by Spark on its own: in Spark 4.1 a
-Python source with pushed filters keeps those of one query for the next query over the same DataFrame.
+read several per task and not even opened for planning. The columns and the condition that SQLite should apply are
+given to the read. Filters are not pushed by Spark on its own: in Spark 4.1 a Python source with pushed filters keeps
+those of one query for the next query over the same DataFrame.
 
 Writing: a folder of database files, one per task, each holding the table. One SQLite file takes one writer at a
 time, so a single file could only be written through a single task. A task builds its file under a temporary name and

@@ -128,10 +128,10 @@ def test_failed_writer_loses_to_the_first(spark, letters, monkeypatch):
     real = tables._describe
     calls = []
 
-    def moved_meanwhile(session, name):
-        found = real(session, name)
+    def moved_meanwhile(session, name, **how):
+        found = real(session, name, **how)
         calls.append(name)
-        if len(calls) == 2:
+        if len(calls) == 2:  # the check just before the swap
             found.location += "/elsewhere"
         return found
 
@@ -218,11 +218,30 @@ def test_vacuum(spark, parted, tmp_path):
     assert vacuum(parted, spark) == 0
 
 
-def test_bucketed_tables_are_refused(spark, table):
+def test_moving_to_empty_text_keeps_the_rows_of_null(spark, parted):
+    # both lie in the partition of NULL
+    assert update(parted, {"q": "''"}, "q = 'a/b:c=%1'", spark=spark) == 8
+    expected = [(i, i % 4, None if i % 5 < 2 else f"a/b:c=%{i % 5}") for i in range(40)]
+    assert pairs(spark, parted) == expected
+
+
+def test_tables_that_cannot_be_changed(spark, table):
     name = table()
     spark.sql(f"CREATE TABLE {name} (id INT) USING parquet CLUSTERED BY (id) INTO 2 BUCKETS")
+    assert insert(name, spark.sql("SELECT 1 AS id")) == 1
     with pytest.raises(ValueError, match="bucketed"):
         delete(name, spark=spark)
+    spark.range(3).createOrReplaceTempView("just_a_view")
+    with pytest.raises(ValueError, match="no table"):
+        delete("just_a_view", spark=spark)
+    spark.conf.set("spark.sql.hive.manageFilesourcePartitions", "false")
+    try:
+        name = table()
+        spark.sql(f"CREATE TABLE {name} (id INT, p INT) USING parquet PARTITIONED BY (p)")
+    finally:
+        spark.conf.unset("spark.sql.hive.manageFilesourcePartitions")
+    with pytest.raises(ValueError, match="catalog"):
+        update(name, {"id": 1}, spark=spark)
 
 
 def test_only_touched_partitions_are_read(spark, parted, monkeypatch):
