@@ -14,7 +14,6 @@ those that lost and repeated attempts left. Readers only see final names.
 
 from __future__ import annotations
 
-import datetime
 import glob
 import json
 import os
@@ -197,11 +196,11 @@ class SqliteReader(DataSourceReader):
         if self.text_only:
             return pa.array([_as_text(cell) for cell in cells], pa.string())
         try:
-            if isinstance(data_type, T.DateType):
-                cells = [None if c is None else datetime.date.fromisoformat(c) for c in cells]
-            elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-                cells = [None if c is None else datetime.datetime.fromisoformat(c) for c in cells]
-            elif isinstance(data_type, T.BooleanType):
+            if isinstance(data_type, (T.DateType, T.TimestampNTZType)):
+                return pa.array(cells, pa.string()).cast(arrow_type(data_type))
+            if isinstance(data_type, T.TimestampType):
+                return pa.array(cells, pa.string()).cast(pa.timestamp("us")).cast(arrow_type(data_type))
+            if isinstance(data_type, T.BooleanType):
                 cells = [None if c is None else _as_flag(c) for c in cells]
             return pa.array(cells, arrow_type(data_type))
         except (pa.lib.ArrowException, TypeError, ValueError) as problem:
@@ -382,10 +381,11 @@ def sqlite_type(data_type: T.DataType) -> str:
 
 
 def _cells(column: pa.Array) -> list:
-    if pa.types.is_date(column.type):
-        return [None if v is None else v.isoformat() for v in column.to_pylist()]
+    """Values as SQLite takes them; dates and times become ISO text, times in UTC."""
     if pa.types.is_timestamp(column.type):
-        return [None if v is None else v.replace(tzinfo=None).isoformat(" ") for v in column.to_pylist()]
+        column = column.cast(pa.timestamp("us")).cast(pa.string())
+    elif pa.types.is_date(column.type):
+        column = column.cast(pa.string())
     return column.to_pylist()
 
 

@@ -124,6 +124,30 @@ def test_write_and_read_back(spark, tmp_path):
     assert read_sqlite(spark, path, "t").count() == 200
 
 
+def test_instants_are_stored_in_utc(spark, tmp_path):
+    path = str(tmp_path / "instants")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT 1L AS id, TIMESTAMP '2024-07-01 08:00:00' AS ts UNION ALL SELECT 2, NULL")
+        write_sqlite(df.coalesce(1), path, "t")
+        with sqlite3.connect(glob.glob(path + "/*.db")[0]) as db:
+            assert [r[0] for r in db.execute("SELECT ts FROM t ORDER BY id")] == ["2024-07-01 12:00:00.000000", None]
+        back = spark.read.schema("id long, ts timestamp").format("sqlite").option("path", path).option("table", "t").load()
+        assert back.exceptAll(df).isEmpty() and back.count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_dates_that_are_none(spark, make):
+    path = make("CREATE TABLE t (d DATE)", rows=[("2024-01-01",), ("yesterday",)])
+    with pytest.raises(Exception, match="typing="):
+        read_sqlite(spark, path, "t").collect()
+    path = make("CREATE TABLE t (d TIMESTAMP)", rows=[(1704067200,)], name="epochs.db")
+    with pytest.raises(Exception, match="typing="):
+        read_sqlite(spark, path, "t").collect()
+
+
 def test_empty_write_keeps_the_schema(spark, tmp_path):
     path = str(tmp_path / "none")
     assert write_sqlite(spark.sql("SELECT 1L AS a, 'x' AS b WHERE false"), path, "t") == 0
