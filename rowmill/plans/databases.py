@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import apply_types, infer_types
 from ..operators import execute
-from ..shared import run_folder
+from ..shared import in_one_process, run_folder
 from ..sources import (
     copy_table,
     read_all,
@@ -48,7 +48,7 @@ def query(name: str, oracle: str):
 def jdbc_options(spark: SparkSession) -> dict[str, str]:
     url = spark.conf.get(JDBC_URL, None)
     if not url:
-        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        if not in_one_process(spark):
             raise RuntimeError(f"executors cannot see a database inside the driver: set {JDBC_URL}")
         url = f"jdbc:derby:memory:rowmill_{uuid.uuid4().hex};create=true"
     return {"url": url, "preferTimestampNTZ": "true"}

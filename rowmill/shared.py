@@ -8,17 +8,23 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
+def in_one_process(spark: SparkSession) -> bool:
+    """Whether driver and executors share one JVM and one machine."""
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; only where a session has none (tests) one is made."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder of ``spark.checkpoint.dir``; only local sessions without one (tests) get a temporary one."""
     context = spark.sparkContext
-    if configured:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(configured)
-        return configured
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not in_one_process(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor reaches")
+        folder = tempfile.mkdtemp(prefix="rowmill-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="rowmill-"))
-    return context.getCheckpointDir()
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def run_folder(spark: SparkSession, label: str) -> str:
