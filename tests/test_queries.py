@@ -4,6 +4,7 @@ import pytest
 from compare import canonical, duck
 
 import __spark_entry__ as entry_points
+from rowmill.plans import all_oracles, all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,13 +15,14 @@ def database():
 
 
 def test_every_query_has_a_check():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, database, name):
-    result = entry_points.queries()[name](spark, FOLDER)
-    expected = database.execute(entry_points.oracle_sql()[name])
+    result = all_queries()[name](spark, FOLDER)
+    expected = database.execute(all_oracles()[name])
     columns = [column[0] for column in expected.description]
     assert canonical(result.columns, result.collect()) == canonical(columns, expected.fetchall())
 
