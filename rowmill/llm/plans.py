@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowmill.llm.common import table
+from rowmill.llm.decontaminate import overlaps
+from rowmill.llm.html_text import extracted
+from rowmill.llm.importance import resample
+from rowmill.llm.licences import licences_in
 from rowmill.llm.mixing import mix, token_estimate
+from rowmill.llm.secrets import candidates, labelled_by_rules, scan
 from rowmill.llm.sharding import row_bytes, shard_by_bytes
 from rowmill.llm.simhash import near_duplicates
 from rowmill.llm.topk import top_k, whole_weights
@@ -225,3 +230,43 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
         MIX_EPOCHS,
         MIX_SEED,
     )
+
+
+@query()
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(table(spark, folder, "documents").select("doc_id", "text"), good_labels(spark, folder)).select(
+        "doc_id", F.round("log_weight", 6).alias("log_weight"), F.round("draw_key", 6).alias("draw_key"), "kept"
+    )
+
+
+def good_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("good"))
+
+
+@query()
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = documents.select("doc_id", F.explode(overlaps(documents, benchmark)).alias("overlap"))
+    return found.select("doc_id", "overlap.*")
+
+
+@query()
+def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    found = documents.select("doc_id", F.explode(licences_in(F.col("text"))).alias("match"))
+    return found.select("doc_id", "match.*")
+
+
+@query()
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", extracted(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query()
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    labelled = labelled_by_rules(candidates(documents, "doc_id", "text", F.col("source")))
+    return scan(documents, labelled, F.col("source")).select(
+        "doc_id", "word_at", "nth", F.md5("value").alias("value_md5"), F.round("probability", 6).alias("probability"), "secret"
+    )
