@@ -1,60 +1,208 @@
-"""Near-duplicate documents by SimHash fingerprints that are compared at the anchors of a covering code."""
+"""Near-duplicate documents by SimHash fingerprints that are compared at the anchors of covering codes."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from math import acos, pi
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.llm.common import utf8, written
+from rowmill.llm.common import packed, unpacked, utf8, written
 from rowmill.llm.components import connected_components
 
 SEED = 42
 #: Homes of one anchor that are compared in one piece; a hotter anchor is cut into pieces of about this size.
 HOMES_PER_PIECE = 4096
-#: Differing bits in one 32-bit half, of two fingerprints that differ in at most three bits of both halves together.
-SHARE = 1
-LARGEST_THRESHOLD = 2 * SHARE + 1
+#: 64-bit words of a fingerprint that stands for a similarity, and the bit samples that it is looked up by.
+WIDE, SAMPLES, SAMPLE_BITS = 4, 16, 23
+#: Bits beyond the expected distance at which two wide fingerprints still link (half a standard deviation).
+SLACK = 3
 
-_CHECKS = [np.uint64(sum(1 << (p - 1) for p in range(1, 32) if p >> k & 1)) for k in range(5)]
-_FLIPS = [
-    np.array([(1 << (i - 1)) ^ (1 << ((i ^ s) - 1)) for i in range(1, 32) if i < i ^ s], dtype=np.uint64)
-    for s in range(32)
-]
+_U = np.uint64
 
 
-def fingerprint_of(text: bytes | None, words: int = 3) -> int:
-    """The 64-bit SimHash of one text (unsigned)."""
+def shingle_hashes(text: bytes | None, words: int) -> Iterator[np.ndarray]:
+    """XXH64 of the shingles of a text, repeats included, in pieces; nothing for a text without words.
+
+    Words are lower-cased (A-Z) and stand between ASCII white space; a text of fewer words is one shingle.
+    """
     tokens = (text or b"").lower().split()  # for bytes: A-Z, and the six ASCII white spaces
-    if not tokens:
-        return 0
-    count = max(1, len(tokens) - words + 1)
-    ones = np.zeros(64, dtype=np.int64)
-    for start in range(0, count, 65536):  # a very long text is counted in pieces
+    count = max(1, len(tokens) - words + 1) if tokens else 0
+    for start in range(0, count, 65536):
         end = min(count, start + 65536)
-        hashes = np.fromiter(
-            (xxhash.xxh64_intdigest(b" ".join(tokens[i : i + words]), SEED) for i in range(start, end)),
-            dtype=np.uint64,
-            count=end - start,
-        )
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > count, bitorder="little").view(np.uint64)[0])
+        hashes = (xxhash.xxh64_intdigest(b" ".join(tokens[i : i + words]), SEED) for i in range(start, end))
+        yield np.fromiter(hashes, dtype=_U, count=end - start)
 
 
-def simhash(text: Column, words: int = 3) -> Column:
-    """Fingerprint of a text as a signed long: bit b is one where more than half of the shingle hashes have it.
+def fingerprint_of(text: bytes | None, words: int = 3) -> int:
+    """The 64-bit SimHash of one text (unsigned): bits set in over half of the shingle hashes; 0 without words."""
+    ones, count = np.zeros(64, dtype=np.int64), 0
+    for hashes in shingle_hashes(text, words):
+        ones += _ones(hashes)
+        count += len(hashes)
+    return int(np.packbits(2 * ones > count, bitorder="little").view(_U)[0])
+
+
+def wide_fingerprint_of(text: bytes | None, words: int = 5) -> np.ndarray:
+    """``WIDE`` words of SimHash over the distinct shingles, each from its own mix of the shingle hashes."""
+    pieces = [np.unique(h) for h in shingle_hashes(text, words)]
+    if not pieces:
+        return np.zeros(WIDE, dtype=_U)
+    hashes = np.unique(np.concatenate(pieces))
+    out = []
+    for k in range(WIDE):
+        x = hashes + _U((k * 0x9E3779B97F4A7C15) % (1 << 64))
+        x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+        x ^= x >> _U(31)
+        ones = sum((_ones(x[i : i + 65536]) for i in range(0, len(x), 65536)), np.zeros(64, dtype=np.int64))
+        out.append(np.packbits(2 * ones > len(x), bitorder="little").view(_U)[0])
+    return np.array(out, dtype=_U)
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+class HammingHalves:
+    """Anchors for 64-bit fingerprints and up to three differing bits.
+
+    The anchors of a 32-bit half are the words of the Hamming code of 31 bits with the 32nd bit beside them. Every half
+    is within one bit (the covering radius) of exactly one, its home. Of two fingerprints within three bits, one half
+    differs in at most one bit; so a half is replicated to all anchors within radius plus one, 17 at most.
+    """
 
-    Shingles are ``words`` lower-cased (A-Z) words between ASCII white space, repeats included; a shorter text is one
-    shingle, null and empty texts have fingerprint zero.
+    words, longest = 1, 3
+
+    def __init__(self, threshold: int):
+        if not 0 <= threshold <= self.longest:
+            raise ValueError(f"threshold must be 0 to {self.longest}")
+        self.threshold = threshold
+        self.checks = [_U(sum(1 << (p - 1) for p in range(1, 32) if p >> k & 1)) for k in range(5)]
+        # words within two bits of the anchor: pairs of positions whose numbers give the syndrome
+        self.flips = [
+            np.array([(1 << (i - 1)) ^ (1 << ((i ^ s) - 1)) for i in range(1, 32) if i < i ^ s], dtype=_U)
+            for s in range(32)
+        ]
+
+    def anchors(self, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per half: anchors, the rows that they belong to, and whether they are the rows' homes."""
+        spare_bit = _U(0x80000000)
+        for half in (0, 1):
+            word = (prints[:, 0] >> _U(32 * half)) & _U(0xFFFFFFFF)
+            block, spare = word & _U(0x7FFFFFFF), word & spare_bit
+            syndrome = np.zeros(len(word), dtype=_U)
+            for k, check in enumerate(self.checks):
+                syndrome |= (np.bitwise_count(block & check).astype(_U) & _U(1)) << _U(k)
+            home = block ^ np.where(syndrome > 0, _U(1) << np.maximum(syndrome, _U(1)) - _U(1), _U(0))
+            rows = np.arange(len(word))
+            found, owners = [home | spare, home | (spare ^ spare_bit)], [rows, rows]
+            for s in range(1, 32):
+                chosen = np.flatnonzero(syndrome == s)
+                found.append(((block[chosen, None] ^ self.flips[s][None, :]) | spare[chosen, None]).ravel())
+                owners.append(np.repeat(chosen, len(self.flips[s])))
+            anchors = np.concatenate(found) | _U(half << 32)
+            yield anchors, np.concatenate(owners), np.arange(len(anchors)) < len(word)
+
+    def pairs(self, anchor: int, prints: np.ndarray, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each home of an anchor with all that came there, home by home."""
+        others = np.arange(len(prints))
+        for home in own:
+            yield np.full(len(prints), home), others
+
+
+class GolaySamples:
+    """Anchors for wide fingerprints that stand for a similarity of shingle sets.
+
+    Each sample takes 23 bits of the fingerprint; its anchors are the words of the Golay code, whose covering radius is
+    three: every sample is within three bits of exactly one, its home. A sample is replicated to all anchors within
+    radius plus one (6 at most), so texts meet when some sample differs in at most one bit. For a similarity of 0.8 that
+    happens with a probability of 0.87, for 0.85 with 0.96, for 0.9 with 0.996. Whether they link is decided on all bits.
     """
 
+    words, generator = WIDE, 0xAE3  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
+
+    def __init__(self, similarity: float):
+        cosine = 2 * similarity / (1 + similarity)  # of two sets of one size
+        self.threshold = int(64 * WIDE * acos(cosine) / pi) + SLACK
+        choose = np.random.default_rng(SEED)
+        self.bits = [np.sort(choose.permutation(64 * WIDE)[:SAMPLE_BITS]) for _ in range(SAMPLES)]
+        single = []
+        for p in range(SAMPLE_BITS):
+            value = 1 << p
+            for k in range(SAMPLE_BITS - 1, 10, -1):
+                if value >> k & 1:
+                    value ^= self.generator << (k - 11)
+            single.append(value)
+        leaders, self.others = np.zeros(2048, dtype=_U), np.zeros((2048, 5), dtype=_U)
+        self.weight, filled = np.zeros(2048, dtype=np.int64), np.zeros(2048, dtype=np.int64)
+        for size in range(1, 5):
+            for places in combinations(range(SAMPLE_BITS), size):
+                syndrome, pattern = 0, 0
+                for p in places:
+                    syndrome ^= single[p]
+                    pattern |= 1 << p
+                if size < 4:
+                    leaders[syndrome], self.weight[syndrome] = pattern, size
+                else:
+                    self.others[syndrome, filled[syndrome]] = pattern
+                    filled[syndrome] += 1
+        self.leaders, self.single = leaders, np.array(single, dtype=np.int64)
+
+    def anchors(self, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per sample: anchors, the rows that they belong to, and whether they are the rows' homes."""
+        bits = _bits_of(prints)
+        for number, places in enumerate(self.bits):
+            own = bits[:, places].astype(np.int64)
+            word = (own << np.arange(SAMPLE_BITS)).sum(axis=1).astype(_U)
+            syndrome = np.bitwise_xor.reduce(own * self.single, axis=1)
+            far = np.flatnonzero(self.weight[syndrome] == 3)
+            found = [word ^ self.leaders[syndrome], (word[far, None] ^ self.others[syndrome[far]]).ravel()]
+            anchors = np.concatenate(found) | _U(number << SAMPLE_BITS)
+            yield anchors, np.concatenate([np.arange(len(word)), np.repeat(far, 5)]), np.arange(len(anchors)) < len(word)
+
+    def pairs(self, anchor: int, prints: np.ndarray, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each home of an anchor with what came there and differs in one bit of the sample at most, by binary search."""
+        places = self.bits[anchor >> SAMPLE_BITS]
+        words = (_bits_of(prints)[:, places].astype(np.int64) << np.arange(SAMPLE_BITS)).sum(axis=1)
+        order = np.argsort(words, kind="stable")
+        ranked = words[order]
+        wanted = words[own, None] ^ np.concatenate([[0], 1 << np.arange(SAMPLE_BITS)])[None, :]
+        low, high = np.searchsorted(ranked, wanted, "left"), np.searchsorted(ranked, wanted, "right")
+        for home, starts, ends in zip(own, low, high):
+            found = np.flatnonzero(ends > starts)
+            others = np.concatenate([order[starts[k] : ends[k]] for k in found])
+            yield np.full(len(others), home), others
+
+
+def _bits_of(prints: np.ndarray) -> np.ndarray:
+    return np.unpackbits(np.ascontiguousarray(prints).view(np.uint8).reshape(len(prints), -1), axis=1, bitorder="little")
+
+
+def simhash(text: Column, words: int = 3) -> Column:
+    """The 64-bit fingerprint of a text as a signed long; null and empty texts have fingerprint zero."""
+
     @F.arrow_udf("long")
     def fingerprints(texts: pa.Array) -> pa.Array:
         values = (fingerprint_of(t.as_py(), words) for t in texts)
-        return pa.array(np.fromiter(values, dtype=np.uint64, count=len(texts)).view(np.int64))
+        return pa.array(np.fromiter(values, dtype=_U, count=len(texts)).view(np.int64))
+
+    return fingerprints(utf8(text))
+
+
+def wide_simhash(text: Column, words: int = 5) -> Column:
+    """The wide fingerprint of a text as a struct of longs."""
+    names = [f"f{k}" for k in range(WIDE)]
+
+    @F.arrow_udf(f"struct<{','.join(f'{name}:long' for name in names)}>")
+    def fingerprints(texts: pa.Array) -> pa.Array:
+        prints = np.array([wide_fingerprint_of(t.as_py(), words) for t in texts], dtype=_U).reshape(-1, WIDE)
+        return pa.StructArray.from_arrays([pa.array(prints[:, k].copy().view(np.int64)) for k in range(WIDE)], names)
 
     return fingerprints(utf8(text))
 
@@ -64,152 +212,151 @@ def near_duplicates(
 ) -> DataFrame:
     """One row ``(id, fingerprint, component_id)`` per row of ``df``; linked fingerprints share a component.
 
-    Two fingerprints link when they differ in at most ``threshold`` bits; the component's id is the smallest id that
-    can be reached over links. Only distinct fingerprints are compared, so exact copies cost one row however many
-    there are. Null ids take no part in the minimum; a component of null ids has a null id. Repeated rows are kept.
-    Other columns of ``df`` are not looked at.
+    Two 64-bit fingerprints link when they differ in at most ``threshold`` bits; the component's id is the smallest id
+    that can be reached over links. Only distinct fingerprints are compared, so exact copies cost one row however many
+    there are. Null ids take no part in the minimum; a component of null ids has a null id. Repeated rows are kept, an
+    empty table gives none. Other columns of ``df`` are not looked at.
     """
-    ids = f"`{id_column}`"
-    prints = written(df.select(F.col(ids).alias("id"), simhash(F.col(f"`{text_column}`"), words).alias("fp")), "prints")
-    return grouped(prints, threshold).select(
+    text = simhash(F.col(f"`{text_column}`"), words).alias("f0")
+    prints = written(df.select(F.col(f"`{id_column}`").alias("id"), text), "prints")
+    return grouped(prints, HammingHalves(threshold)).select(
         F.col("id").alias(id_column),
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
 
 
-def grouped(prints: DataFrame, threshold: int) -> DataFrame:
-    """``prints(id, fp)`` with the component of each row."""
-    classes = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    roots = connected_components(fingerprint_links(classes.select("fp"), threshold))
-    linked = written(roots.join(classes, roots["node"] == classes["fp"]).select("fp", "root", "least"), "linked")
-    components = linked.join(linked.groupBy("root").agg(F.min("least").alias("component")), "root").select(
-        "fp", "component"
-    )
-    settled = classes.join(components, "fp", "left").select(
-        "fp", F.coalesce("component", "least").alias("component")
-    )
-    return prints.join(settled, "fp").select("id", "fp", "component")
-
-
-def fingerprint_links(prints: DataFrame, threshold: int = 3) -> DataFrame:
-    """Links ``(a, b)`` between distinct fingerprints ``fp``, with the same components as all pairs within ``threshold``.
+def without_near_duplicates(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """``df`` with one row of each group of near-duplicates: the one with the smallest id (null ids last).
 
-    The anchors are the words of the Hamming code of 31 bits, with the 32nd bit beside them: every half of a fingerprint
-    is within one bit (the covering radius) of exactly one anchor, its home. Of two fingerprints within three bits, one
-    half differs in at most one bit. So each half is replicated to all anchors within radius plus one, at most 17, and
-    each home compares what belongs to it with what came there. An anchor gives at most as many links as it holds
-    fingerprints (a forest of its links). Anchors that are home to many fingerprints are cut into pieces.
+    Texts link when their wide fingerprints say that their sets of ``words``-word shingles are similar to at least
+    ``similarity`` (Jaccard; estimated from 256 bits, with a standard deviation of about 0.05), and groups are what links
+    reach. Copies always meet; texts that are less alike meet as ``GolaySamples`` says. Texts without words are copies
+    of each other. Of repeated rows one stays, an empty table gives none. Rows are written once with their texts.
     """
-    if not 0 <= threshold <= LARGEST_THRESHOLD:
-        raise ValueError(f"threshold must be 0 to {LARGEST_THRESHOLD}")
+    code = GolaySamples(similarity)
+    rows = packed(
+        df,
+        id=F.col(f"`{id_column}`"),
+        fp=wide_simhash(F.col(f"`{text_column}`"), words),
+        at=F.monotonically_increasing_id(),
+    )
+    rows = written(rows, "rows")
+    ids = rows.select(F.struct(F.col("id").isNull(), "id", "at").alias("id"), "at", "fp.*")
+    # all but the first row of each group; `at` tells repeated rows apart
+    others = grouped(ids, code).where(F.col("id") != F.col("component")).select(F.col("id.at").alias("at"))
+    return unpacked(rows.join(others, "at", "left_anti"), df.columns)
+
+
+def grouped(prints: DataFrame, code: HammingHalves | GolaySamples) -> DataFrame:
+    """``prints(id, f0..)`` with ``component``, the smallest id of the row's group."""
+    names = [f"f{k}" for k in range(code.words)]
+    node = F.monotonically_increasing_id() if code.words > 1 else F.col("f0")
+    classes = prints.groupBy(*names).agg(F.min("id").alias("least")).withColumn("node", node)
+    classes = written(classes, "classes")
+    roots = connected_components(fingerprint_links(classes.select("node", *names), code))
+    linked = written(roots.join(classes, "node").select("node", "root", "least"), "linked")
+    least = linked.groupBy("root").agg(F.min("least").alias("component"))
+    components = linked.join(least, "root").select("node", "component")
+    settled = classes.join(components, "node", "left").select(*names, F.coalesce("component", "least").alias("component"))
+    return prints.join(settled, names)
+
+
+def fingerprint_links(prints: DataFrame, code: HammingHalves | GolaySamples) -> DataFrame:
+    """Links ``(a, b)`` between nodes of ``prints(node, f0..)``, distinct fingerprints, by comparison at the anchors.
+
+    Every fingerprint goes to its anchors as ``code`` says, and each anchor compares the ones whose home it is with what
+    came there. An anchor gives at most as many links as it holds fingerprints (a forest), so near-copies do not
+    multiply. Anchors that are home to many fingerprints are cut into pieces, each of which meets all that came there.
+    """
+    words = code.words
+    prints = prints.select("node", *(f"f{k}" for k in range(words)))
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["anchor", "home", "node", *(f"f{k}" for k in range(words))]
         for batch in batches:
-            prints = np.asarray(batch.column(0).to_numpy(zero_copy_only=False)).view(np.uint64)
-            for half in (0, 1):
-                anchors, owners, home = anchors_of(prints, half)
-                yield pa.record_batch(
-                    [pa.array(anchors.view(np.int64)), pa.array(prints[owners].view(np.int64)), pa.array(home)],
-                    names=["anchor", "fp", "home"],
-                )
-
-    spread = prints.select("fp").mapInArrow(replicate, "anchor long, fp long, home boolean")
-    spread = written(spread, "anchors")
-    hot = written(
-        spread.where("home").groupBy("anchor").count().where(F.col("count") > HOMES_PER_PIECE), "hot"
-    )
-    pieces = F.lit(0)
-    if not hot.isEmpty():
-        spread = spread.join(hot, "anchor", "left")
-        parts = F.ceil(F.coalesce("count", F.lit(1)) / HOMES_PER_PIECE).cast("int")
-        own = F.pmod(F.xxhash64("fp"), parts).cast("int")
-        pieces = F.explode(F.when(F.col("home"), F.array(own)).otherwise(F.sequence(F.lit(0), parts - 1)))
-        # a home is also met by the other pieces' homes
-        spread = spread.select("anchor", "fp", "home", parts.alias("parts"), pieces.alias("piece")).union(
-            spread.where(F.col("home") & (parts > 1)).select(
-                "anchor", "fp", F.lit(False), parts, F.explode(F.sequence(F.lit(0), parts - 1))
-            )
-        )
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(words + 1)]
+            own = np.stack(columns[1:], axis=1).view(_U)
+            for anchors, owners, home in code.anchors(own):
+                rows = [anchors.view(np.int64), home, *(c[owners] for c in columns)]
+                yield pa.record_batch([pa.array(r) for r in rows], names=names)
+
+    longs = "".join(f", f{k} long" for k in range(words))
+    spread = prints.mapInArrow(replicate, f"anchor long, home boolean, node long{longs}")
+
+    def count_homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(1, words + 1)]
+            for anchors, _, home in code.anchors(np.stack(columns, axis=1).view(_U)):
+                yield pa.record_batch([pa.array(anchors[home].view(np.int64))], names=["anchor"])
+
+    homes = prints.mapInArrow(count_homes, "anchor long").groupBy("anchor").count()
+    hot = written(homes.where(F.col("count") > HOMES_PER_PIECE), "hot")
+    if hot.isEmpty():
+        cells = spread.withColumn("piece", F.lit(0))
     else:
-        spread = spread.withColumn("piece", pieces)
+        marked = spread.join(hot, "anchor", "left").withColumn(
+            "parts", F.ceil(F.coalesce("count", F.lit(1)) / HOMES_PER_PIECE).cast("int")
+        )
+        own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+        cells = (
+            marked.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .withColumn("home", F.col("home") & (F.col("piece") == own))
+            .drop("count", "parts")
+        )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(words + 4)]
             if rest is not None:
-                columns = [np.concatenate([a, b]) for a, b in zip(rest, columns)]
-            last = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1])
-            cut = len(last) - np.argmin(last[::-1]) if not last.all() else 0
+                columns = [np.concatenate(pair) for pair in zip(rest, columns)]
+            if not len(columns[0]):
+                continue
+            open_cell = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1])
+            cut = int(np.argmax(open_cell))  # rows are sorted, so the last cell begins at its first row
             rest = [c[cut:] for c in columns]
             if cut:
-                yield from _links_of([c[:cut] for c in columns], threshold)
-        if rest is not None and len(rest[0]):
-            yield from _links_of(rest, threshold)
-
-    cells = spread.select("anchor", "piece", "fp", "home").repartition("anchor", "piece")
-    return cells.sortWithinPartitions("anchor", "piece").mapInArrow(compare, "a long, b long")
-
-
-def anchors_of(prints: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The anchors of one half: their numbers, the positions of the fingerprints, and which are homes."""
-    word = (prints >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
-    block, spare = word & np.uint64(0x7FFFFFFF), word & np.uint64(0x80000000)
-    syndrome = np.zeros(len(word), dtype=np.uint64)
-    for k, check in enumerate(_CHECKS):
-        syndrome |= (np.bitwise_count(block & check).astype(np.uint64) & np.uint64(1)) << np.uint64(k)
-    flip = np.where(syndrome > 0, np.uint64(1) << np.maximum(syndrome, np.uint64(1)) - np.uint64(1), np.uint64(0))
-    home = block ^ flip
-    where = np.arange(len(word))
-    found = [home | spare, home | (spare ^ np.uint64(0x80000000))]
-    owners = [where, where]
-    for s in range(1, 32):
-        chosen = np.flatnonzero(syndrome == s)
-        if len(chosen):
-            found.append(((block[chosen, None] ^ _FLIPS[s][None, :]) | spare[chosen, None]).ravel())
-            owners.append(np.repeat(chosen, len(_FLIPS[s])))
-    anchors = np.concatenate(found) | np.uint64(half << 32)
-    is_home = np.zeros(len(anchors), dtype=bool)
-    is_home[: len(word)] = True
-    return anchors, np.concatenate(owners), is_home
-
-
-def _links_of(columns: list[np.ndarray], threshold: int) -> Iterator[pa.RecordBatch]:
+                yield _links_of([c[:cut] for c in columns], code)
+        if rest is not None:
+            yield _links_of(rest, code)
+
+    order = ["anchor", "piece"]
+    cells = cells.select(*order, "home", "node", *(f"f{k}" for k in range(words)))
+    return cells.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, "a long, b long")
+
+
+def _links_of(columns: list[np.ndarray], code: HammingHalves | GolaySamples) -> pa.RecordBatch:
     """Links of complete cells, whose rows lie together."""
-    anchor, piece, fp, home = columns
-    fp, home = fp.view(np.uint64), home.astype(bool)
+    anchor, piece, home, node = columns[:4]
+    prints = np.stack(columns[4:], axis=1).view(_U)
+    home = home.astype(bool)
     starts = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (piece[1:] != piece[:-1])])
     ends = np.r_[starts[1:], len(anchor)]
     homes = np.add.reduceat(home.astype(np.int64), starts)
-    left, right = [], []
+    links: list[tuple[int, int]] = []
     for k in np.flatnonzero((homes > 0) & (ends - starts > 1)):
-        cell, own = fp[starts[k] : ends[k]], home[starts[k] : ends[k]]
-        a, b = _forest(np.unique(cell[own]), np.unique(cell), threshold)
-        left.append(a)
-        right.append(b)
-    if left:
-        a, b = np.concatenate(left), np.concatenate(right)
-        yield pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
-
-def _forest(homes: np.ndarray, others: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """A forest with the components that ``homes`` and ``others`` have by their links; compared in blocks of rows."""
-    left, right = [], []
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = x = parent.get(up, up)
-        return x
-
-    step = max(1, (1 << 22) // len(others))
-    for start in range(0, len(homes), step):
-        part = homes[start : start + step]
-        i, j = np.nonzero(np.bitwise_count(part[:, None] ^ others[None, :]) <= threshold)
-        for x, y in zip(part[i].tolist(), others[j].tolist()):
-            if x != y and (rx := root(x)) != (ry := root(y)):
-                parent[rx] = ry
-                left.append(x)
-                right.append(y)
-    return np.array(left, dtype=np.uint64), np.array(right, dtype=np.uint64)
+        cell = slice(starts[k], ends[k])
+        links += _forest(int(anchor[starts[k]]), node[cell], prints[cell], home[cell], code)
+    a, b = np.array(links, dtype=np.int64).reshape(-1, 2).T
+    return pa.record_batch([pa.array(a.copy()), pa.array(b.copy())], names=["a", "b"])
+
+
+def _forest(
+    anchor: int, node: np.ndarray, prints: np.ndarray, home: np.ndarray, code: HammingHalves | GolaySamples
+) -> list[tuple[int, int]]:
+    """A forest with the components that the homes and all others of a cell have by their links, home by home."""
+    links: list[tuple[int, int]] = []
+    group = None
+    for mine, others in code.pairs(anchor, prints, np.flatnonzero(home)):
+        apart = np.bitwise_count(prints[mine] ^ prints[others]).sum(axis=1, dtype=np.int64)
+        near = others[apart <= code.threshold]
+        if len(near) > 1:  # itself is always there
+            group = np.arange(len(node)) if group is None else group
+            met = np.unique(group[near])
+            if len(met) > 1:
+                links += [(int(node[met[0]]), int(node[k])) for k in met[1:]]
+                group[np.isin(group, met)] = met[0]
+    return links

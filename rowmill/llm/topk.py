@@ -12,7 +12,7 @@ from rowmill.llm.common import written
 #: Rows of one block on either side; a block pair's score arrays are filled for some queries at a time.
 BLOCK_QUERIES = 4096
 BLOCK_ROWS = 4096
-SCORES_AT_ONCE = 1 << 22
+SCORES_AT_ONCE = 1 << 18
 #: Larger weights would make inexact or overflowing scores.
 LARGEST_WEIGHT = 1 << 26
 
@@ -53,7 +53,10 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, id_column: str, weights:
     id_type = dict(rows.dtypes)["id"]
 
     def select(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        return _select(queries, rows, k)
+        if queries.num_rows and rows.num_rows:
+            return _select(queries, rows, k)
+        nothing = pa.array([], "int64")
+        return pa.table([queries["id"][:0], nothing, rows["id"][:0], nothing], names=["query_id", "query_key", "id", "score"])
 
     cells = left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb"))
     found = cells.applyInArrow(select, f"query_id {id_type}, query_key long, id {id_type}, score long")
@@ -70,54 +73,54 @@ def _select(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     ids = rows["id"].to_numpy()
     order = np.argsort(ids, kind="stable")
     ids = ids[order]
-    postings = _postings(rows["w"], order)
-    query_ids, query_terms = queries["id"].to_numpy(), queries["w"].to_pylist()
-    keys = [hash(tuple(terms)) for terms in query_terms]
-    out: list[tuple] = []
+    query_ids, terms = queries["id"].to_numpy(), _dense(queries["w"])
+    vectors = _dense(rows["w"])[order]
+    width = min(terms.shape[1], vectors.shape[1])
+    # scores in 32 bits where none can overflow
+    largest = int(np.abs(terms).max(initial=0)) * int(np.abs(vectors).max(initial=0)) * width
+    kind = np.int32 if largest < 1 << 31 else np.int64
+    keys = np.array([hash(row.tobytes()) for row in terms], dtype=np.int64)
+    postings = _postings(vectors[:, :width].astype(kind))
+    terms = np.ascontiguousarray(terms[:, :width].T.astype(kind))
     step = max(1, SCORES_AT_ONCE // max(1, len(ids)))
+    scores, scratch = np.zeros((step, len(ids)), dtype=kind), np.zeros((step, len(ids)), dtype=kind)
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for start in range(0, len(query_ids), step):
-        part = query_terms[start : start + step]
-        matrix = np.zeros((max(map(len, part), default=0), len(part)), dtype=np.int64)
-        for column, terms in enumerate(part):
-            matrix[: len(terms), column] = terms
-        scores = np.zeros((len(part), len(ids)), dtype=np.int64)
-        for term, weights in enumerate(matrix):
-            if term < len(postings):
-                where, values = postings[term]
-                who = np.flatnonzero(weights)
-                if len(who) == len(part) and len(where) == len(ids):
-                    scores += weights[:, None] * values[None, :]
-                elif len(who) and len(where):
-                    scores[np.ix_(who, where)] += weights[who, None] * values[None, :]
-        for row in range(len(part)):
-            out.append((start + row, *_best(scores[row], ids, query_ids[start + row], k)))
-    names = ["query_id", "query_key", "id", "score"]
-    if not out:
-        return pa.table([queries["id"][:0], pa.array([], "int64"), rows["id"][:0], pa.array([], "int64")], names=names)
-    owners = np.concatenate([np.full(len(w), q) for q, w, _ in out])
+        part = terms[:, start : start + step]
+        found, product = scores[: part.shape[1]], scratch[: part.shape[1]]
+        found[:] = 0
+        for weights, (where, values) in zip(part, postings):
+            who = np.flatnonzero(weights)
+            if len(who) == len(weights) and len(where) == len(ids):
+                np.multiply(weights[:, None], values[None, :], out=product)
+                found += product
+            elif len(who) and len(where):
+                found[np.ix_(who, where)] += weights[who, None] * values[None, :]
+        for row, own in enumerate(query_ids[start : start + step]):
+            where, best = _best(found[row], ids, own, k)
+            out.append((np.full(len(where), start + row), where, best))
+    owners, where, best = (np.concatenate(x) for x in zip(*out))
     return pa.table(
-        [
-            pa.array(query_ids[owners]),
-            pa.array(np.array(keys, dtype=np.int64)[owners]),
-            pa.array(ids[np.concatenate([w for _, w, _ in out])]),
-            pa.array(np.concatenate([s for _, _, s in out])),
-        ],
-        names=names,
+        [pa.array(query_ids[owners]), pa.array(keys[owners]), pa.array(ids[where]), pa.array(best.astype(np.int64))],
+        names=["query_id", "query_key", "id", "score"],
     )
 
 
-def _postings(weights: pa.ChunkedArray, order: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For every term the positions (in the order of ids) and weights of the rows that have it."""
+def _dense(weights: pa.ChunkedArray) -> np.ndarray:
+    """Arrays of weights as one matrix; terms that an array does not have weigh 0."""
     vectors = weights.combine_chunks()
-    lengths = np.diff(vectors.offsets.to_numpy()) if len(vectors) else np.zeros(0, dtype=np.int64)
-    width = int(lengths.max(initial=0))
-    dense = np.zeros((len(vectors), width), dtype=np.int64)
-    dense[np.arange(width)[None, :] < lengths[:, None]] = vectors.flatten().to_numpy()
-    dense = dense[order]
+    lengths = np.diff(vectors.offsets.to_numpy())
+    dense = np.zeros((len(vectors), int(lengths.max(initial=0))), dtype=np.int64)
+    dense[np.arange(dense.shape[1])[None, :] < lengths[:, None]] = vectors.flatten().to_numpy()
+    return dense
+
+
+def _postings(vectors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For every term the positions and weights of the rows that have it."""
     found = []
-    for term in range(width):
-        where = np.flatnonzero(dense[:, term])
-        found.append((where, np.ascontiguousarray(dense[where, term])))
+    for weights in vectors.T:
+        where = np.flatnonzero(weights)
+        found.append((where, np.ascontiguousarray(weights[where])))
     return found
 
 
@@ -125,10 +128,10 @@ def _best(scores: np.ndarray, ids: np.ndarray, own, k: int) -> tuple[np.ndarray,
     """Positions and scores of the ``k`` best rows with another id; positions follow the ids, so ties go to the smaller."""
     low, high = np.searchsorted(ids, [own, own + 1]) if len(ids) else (0, 0)
     where = np.arange(len(ids)) if low == high else np.r_[0:low, high : len(ids)]
+    own = scores[where] if len(where) < len(ids) else scores
     if len(where) <= k:
-        return where, scores[where]
-    least = np.partition(scores[where], len(where) - k)[len(where) - k]
-    above = where[scores[where] > least]
-    ties = where[scores[where] == least][: k - len(above)]
-    chosen = np.r_[above, ties]
-    return chosen, scores[chosen]
+        return where, own
+    least = np.partition(own, len(own) - k)[len(own) - k]
+    good = np.flatnonzero(own >= least)
+    good = good[np.argsort(-own[good].astype(np.int64), kind="stable")][:k]
+    return where[good], own[good]
