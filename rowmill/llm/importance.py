@@ -14,12 +14,14 @@ from rowmill.llm.common import packed, unpacked, utf8, written
 
 #: The models' buckets: two to this power.
 BUCKET_BITS = 14
-#: Added to every bucket's count.
-SMOOTHING = 0.5
+#: Added to every bucket's count in the smaller model, and in proportion in the larger one.
+SMOOTHING = 5.0
 #: Most good labelled rows that the target model is fitted on, the ones with the smallest hashes of their ids.
 TARGET_ROWS = 20_000
-#: The draw is as large as the number of rows whose weight is at least this.
-LEAST_WEIGHT = 0.02
+#: Weights are those of a passage of this many grams, so that long and short texts are judged by one measure.
+PASSAGE = 400
+#: The draw is as large as the number of rows whose log weight is at least this (0.15 less per gram than raw text has).
+LEAST_LOG_WEIGHT = -60.0
 
 _TOKENS = re.compile(rb"[A-Za-z0-9\x80-\xff]+|[^A-Za-z0-9\s\x80-\xff]+")
 _FACTORS = np.array([0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
@@ -64,22 +66,45 @@ def gram_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return raw, target
 
 
-def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Per bucket the log of target over raw probability; zeros if nothing is known of the target."""
-    if not target.sum():
-        return np.zeros(len(raw))
-    shares = [np.log((x + SMOOTHING) / (x.sum() + SMOOTHING * len(x))) for x in (target, raw)]
-    return shares[0] - shares[1]
+class Weights:
+    """Log importance weights from the counts of both models; a row's own grams are taken out of them first.
 
+    Without that, a row outside the target would look unlike it for its own rare grams, which the raw model has seen.
+    The pseudo-counts are in proportion to the models' sizes, so a gram that neither has seen elsewhere says nothing.
+    """
 
-def log_weight(text: Column, ratios: np.ndarray) -> Column:
-    """A text's log importance weight: the sum of its grams' log ratios; 0 for a text without any."""
+    def __init__(self, raw: np.ndarray, target: np.ndarray):
+        self.raw, self.target = raw, target
+        self.sizes = raw.sum(), target.sum()
+        smallest = max(1.0, min(self.sizes))
+        self.pseudo = [SMOOTHING * size / smallest for size in self.sizes]
+
+    def of(self, text: bytes | None, in_target: bool) -> float:
+        grams = grams_of(text)
+        if not len(grams) or not self.sizes[1]:
+            return 0.0
+        buckets, own = np.unique(grams, return_counts=True)
+        total = 0.0
+        for counts, size, pseudo, mine, sign in (
+            (self.target, self.sizes[1], self.pseudo[1], own if in_target else 0 * own, 1),
+            (self.raw, self.sizes[0], self.pseudo[0], own, -1),
+        ):
+            rest = size - mine.sum()
+            if rest <= 0:  # there is no other row to compare with
+                return 0.0
+            shares = (counts[buckets] - mine + pseudo) / (rest + pseudo * len(counts))
+            total += sign * float((own * np.log(shares)).sum())
+        return total * PASSAGE / len(grams)
+
+
+def log_weight(text: Column, in_target: Column, weights: Weights) -> Column:
+    """A text's log importance weight: its grams' mean log ratio, for a passage; 0 for a text without any."""
 
     @F.arrow_udf("double")
-    def weigh(texts: pa.Array) -> pa.Array:
-        return pa.array([float(ratios[grams_of(t.as_py())].sum()) for t in texts], pa.float64())
+    def weigh(texts: pa.Array, targets: pa.Array) -> pa.Array:
+        return pa.array([weights.of(t.as_py(), g) for t, g in zip(texts, targets.to_pylist())], pa.float64())
 
-    return weigh(utf8(text))
+    return weigh(utf8(text), in_target)
 
 
 def gumbel(seed: int, *keys: Column) -> Column:
@@ -138,10 +163,11 @@ def resample(
     """``df`` with ``log_weight``, ``draw_key`` and ``kept``: an importance sample without replacement.
 
     ``labels(id, good)`` names good rows. The target model counts hashed uni- and bigrams over at most ``TARGET_ROWS``
-    of them, the raw model over all rows of ``df``. A row's weight is the ratio of its probabilities under both. Gumbel
-    noise is added to the log weights, and the ``draw`` largest sums are kept, which draws rows in proportion to their
-    weights. Without ``draw`` the draw is as large as the number of rows with a weight of ``LEAST_WEIGHT`` or more, so
-    rows that look like the target stay and rows that the raw model alone explains go.
+    of them, the raw model over all rows of ``df``. A row's weight is the ratio of its probabilities under both, for a
+    passage of ``PASSAGE`` grams. Gumbel noise is added to the log weights, and the ``draw`` largest sums are kept,
+    which draws rows in proportion to their weights. Without ``draw`` the draw is as large as the number of rows with a
+    log weight of ``LEAST_LOG_WEIGHT`` or more, so rows that look like the target stay and rows that the raw model
+    alone explains go.
 
     Noise depends on seed, id and text: repeated rows have the same sum, and rows that tie with the last one drawn are
     all kept. Null and empty texts have weight 1. Labels of null ids or of rows that are not there say nothing; an id
@@ -151,15 +177,17 @@ def resample(
     ident, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`")
     good = labels.where("id is not null").groupBy("id").agg(F.bool_and(F.coalesce("good", F.lit(False))).alias("all_good"))
     targets = good.where("all_good").orderBy(F.xxhash64("id"), "id").limit(TARGET_ROWS).select(F.col("id").alias("of"))
-    marked = df.select(ident.alias("id"), utf8(text).alias("text")).join(
-        F.broadcast(targets), F.col("id") == F.col("of"), "left"
+    marked = packed(df, id=ident, text=text.cast("string")).join(F.broadcast(targets), F.col("id") == F.col("of"), "left")
+    marked = marked.withColumn("target", F.col("of").isNotNull())
+    weights = Weights(*gram_counts(marked.select(utf8("text"), "target")))
+    scored = marked.select(
+        "row",
+        log_weight(F.col("text"), F.col("target"), weights).alias("log_weight"),
+        gumbel(seed, F.col("id"), F.xxhash64("text")).alias("noise"),
     )
-    ratios = log_ratios(*gram_counts(marked.select("text", F.col("of").isNotNull().alias("target"))))
-    noise = gumbel(seed, ident, F.xxhash64(text))
-    scored = packed(df, id=ident, log_weight=log_weight(text, ratios), noise=noise)
     scored = written(scored.withColumn("draw_key", F.col("log_weight") + F.col("noise")), "scores")
     if draw is None:
-        draw = scored.where(F.col("log_weight") >= float(np.log(LEAST_WEIGHT))).count()
+        draw = scored.where(F.col("log_weight") >= LEAST_LOG_WEIGHT).count()
     least = kth_largest(scored.select("draw_key"), "draw_key", draw)
     kept = F.lit(False) if least is None else F.col("draw_key") >= least
     return unpacked(scored, df.columns, log_weight=F.col("log_weight"), draw_key=F.col("draw_key"), kept=kept)

@@ -13,6 +13,8 @@ from rowmill.llm.common import written
 BLOCK_QUERIES = 4096
 BLOCK_ROWS = 4096
 SCORES_AT_ONCE = 1 << 18
+#: From this share of a term's weights on, its postings are added as a whole instead of one by one.
+DENSE = 0.2
 #: Larger weights would make inexact or overflowing scores.
 LARGEST_WEIGHT = 1 << 26
 
@@ -89,10 +91,10 @@ def _select(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
         part = terms[:, start : start + step]
         found, product = scores[: part.shape[1]], scratch[: part.shape[1]]
         found[:] = 0
-        for weights, (where, values) in zip(part, postings):
+        for weights, (where, values, full) in zip(part, postings):
             who = np.flatnonzero(weights)
-            if len(who) == len(weights) and len(where) == len(ids):
-                np.multiply(weights[:, None], values[None, :], out=product)
+            if len(who) * len(where) >= DENSE * found.size:  # adding zeros costs less than scattering
+                np.multiply(weights[:, None], full[None, :], out=product)
                 found += product
             elif len(who) and len(where):
                 found[np.ix_(who, where)] += weights[who, None] * values[None, :]
@@ -115,12 +117,12 @@ def _dense(weights: pa.ChunkedArray) -> np.ndarray:
     return dense
 
 
-def _postings(vectors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For every term the positions and weights of the rows that have it."""
+def _postings(vectors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For every term the positions and weights of the rows that have it, and the weights of all rows."""
     found = []
-    for weights in vectors.T:
+    for weights in np.ascontiguousarray(vectors.T):
         where = np.flatnonzero(weights)
-        found.append((where, np.ascontiguousarray(weights[where])))
+        found.append((where, weights[where], weights))
     return found
 
 

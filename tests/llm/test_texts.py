@@ -1,0 +1,214 @@
+"""Decontamination, licences, HTML, resampling, secrets and top-k."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rowmill.llm import decontaminate
+from rowmill.llm.decontaminate import best_overlap, overlaps
+from rowmill.llm.html_text import extracted, main_text
+from rowmill.llm.importance import gumbel, kth_largest, resample
+from rowmill.llm.licences import LEAST_DICE, TEMPLATES, Templates, bigrams_of, licences_in
+from rowmill.llm.secrets import candidates, fit, labelled_by_rules, measured, scan
+from rowmill.llm.topk import top_k
+
+
+def words(rng, n):
+    return ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 400])
+def test_substitutions_are_tolerated(spark, monkeypatch, slice_bytes):
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", slice_bytes)
+    rng = random.Random(4)
+    items = {k: words(rng, rng.randint(13, 60)) for k in range(12)}
+    items[12] = words(rng, 6)
+    rows, expected = [(900, None), (901, ""), (902, " ".join(words(rng, 80)))], set()
+    for k, item in items.items():
+        own = list(item)
+        if len(own) >= 13:  # two substitutions in each stretch of thirteen
+            for start in range(0, len(own) - 12, 13):
+                for at in rng.sample(range(start, start + 13), 2):
+                    own[at] = "other"
+        rows.append((k, " ".join(words(rng, 50) + [w.upper() + "," for w in own] + words(rng, 40))))
+        expected.add((k, k))
+        rows.append((100 + k, " ".join(words(rng, 20) + item[: min(9, len(item) - 1)] + words(rng, 20))))  # too short a part
+    benchmark = spark.createDataFrame([(k, " ".join(i)) for k, i in items.items()] + [(50, None), (51, "too short")], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = docs.select("doc_id", F.explode(overlaps(docs, benchmark)).alias("o")).select("doc_id", "o.*").collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == expected
+    for r in found:
+        assert r["doc_start"] >= 50 and r["n_equal"] >= 0.8 * r["n_tokens"]
+
+
+def test_item_cut_by_the_document(spark):
+    rng = random.Random(5)
+    item = words(rng, 40)
+    docs = spark.createDataFrame([(1, " ".join(item[15:])), (2, " ".join(words(rng, 30) + item[:20])), (3, " ".join(item[:9]))], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("a", " ".join(item)), ("b", " ".join(item))], "item_id string, text string")
+    found = docs.select("doc_id", F.explode(overlaps(docs, benchmark)).alias("o")).select("doc_id", "o.*").collect()
+    assert sorted(tuple(r) for r in found) == [(1, "a", 0, 15, 25, 25), (1, "b", 0, 15, 25, 25), (2, "a", 30, 0, 20, 20), (2, "b", 30, 0, 20, 20)]
+
+
+def test_best_overlap_by_brute_force():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        equal = rng.random(rng.integers(1, 50)) < rng.choice([0.6, 0.8, 0.95])
+        every = [(equal[s:e].sum() - 4 * (~equal[s:e]).sum(), s, e) for s in range(len(equal)) for e in range(s + 13, len(equal) + 1)]
+        best = max((x for x, _, _ in every), default=-1)
+        found = best_overlap(equal)
+        assert (found is None) == (best < 0)
+        if found:
+            start, size, same = found
+            part = equal[start : start + size]
+            assert size >= 13 and same == part.sum() and part.sum() - 4 * (~part).sum() == best
+
+
+def test_licences_by_brute_force():
+    rng = random.Random(7)
+    known = Templates(TEMPLATES, LEAST_DICE)
+    sets = {n: frozenset(bigrams_of(t.encode(), True).tolist()) for n, t in TEMPLATES.items()}
+    for name, text in TEMPLATES.items():
+        own = text.split()
+        for k in range(len(own) // 12):
+            own[rng.randrange(len(own))] = "changed"
+        passage = words(rng, 15) + own + words(rng, 15)
+        grams = bigrams_of(" ".join(passage).encode()).tolist()
+        best = {}
+        for n, s in sets.items():
+            most = (2 - LEAST_DICE) / LEAST_DICE * len(s)
+            for a in range(len(grams)):
+                for b in range(a + 1, min(len(grams), a + int(most)) + 1):
+                    run = set(grams[a:b])
+                    dice = 2 * len(run & s) / (len(run) + len(s))
+                    if dice >= LEAST_DICE and dice > best.get(n, (0,))[0]:
+                        best[n] = (dice, a, b)
+        found = known.matches(" ".join(passage).encode())
+        if best:
+            top = max(best.values(), key=lambda x: (x[0]))
+            assert max(m[1] for m in found) == pytest.approx(top[0])
+            assert all(m[1] == pytest.approx(best[m[0]][0]) for m in found)
+        else:
+            assert not found
+    assert known.matches(None) == known.matches(b"") == known.matches(b"licence") == []
+    assert known.matches(b"all rights reserved " * 20000)[0][:2] == ("All-Rights-Reserved", 1.0)
+
+
+def test_licence_column(spark):
+    rows = spark.createDataFrame([(1, "x\nReleased under the MIT License.\ny"), (2, None), (3, "")], "id long, text string")
+    found = {r["id"]: r["m"] for r in rows.select("id", licences_in(F.col("text")).alias("m")).collect()}
+    assert [tuple(m) for m in found[1]] == [("MIT-notice", 1.0, 1, 5)] and found[2] == found[3] == []
+
+
+PAGES = {
+    "": "",
+    "just text": "just text",
+    "<p>One, two.<p>Three &amp; four.&lt;": "One, two.\nThree & four.<",
+    "<body class=has-sidebar><header><h1>Site</h1></header><div class='side-bar sidebar'>Side, text.</div><div id=c><h2>Head</h2><p>First para, with words, "
+    "indeed.</p><ul><li>one<li>two</ul><div class=comments><p>I like it, much.</div></div><footer>f</footer>": "Head\nFirst para, with words, indeed.\none\ntwo",
+    "<main><article><header><h1>T</h1><p>By me</p></header><p>Text &lt;b&gt; a<br>b  c<p>More<section class=comments><p>No, no.</section></article>"
+    "<aside>x</aside></main>": "T\nText <b> a b c\nMore",
+    "<nav><p>Menu, long, long, long.</nav><article><p>abc, def.</p></article><foo": "abc, def.",
+    "<article><p>a, b.</p><script>if (x<y) document.write('<p>no</p>')</script><form>Send, now.</form><p hidden>no, no.</p><p>c</p></article>": "a, b.\nc",
+    "<article><table><tr><td>1<td>2<tr><td>3</table><p>end.</article>": "1\n2\n3\nend.",
+    "<article><p>x <!-- a > b --> y &#8364;&nbsp;z</p></article>": "x y € z",
+    "<article><p>1 < 2 and </ p> q</p><h2>A<h3>B</h3>": "1 < 2 and q\nA\nB",
+    "<article><p>unclosed <a href='x>text</a></p>": "unclosed text",
+    "<article><style>p{}": "",
+}
+
+
+@pytest.mark.parametrize("page", PAGES)
+def test_pages(page):
+    assert main_text(page) == PAGES[page]
+
+
+def test_page_column(spark):
+    rows = spark.createDataFrame([(1, None), (2, "<p>ä, ö.")], "id long, html string")
+    assert [r[1] for r in rows.select("id", extracted(F.col("html"))).orderBy("id").collect()] == ["", "ä, ö."]
+    assert len(main_text("<article>" + "<p>word, word.</p>" * 20000)) == 20000 * 12 - 1
+    assert main_text("<div>" * 3000 + "deep, text." + "</div>" * 3000) == "deep, text."
+
+
+@pytest.mark.parametrize("buckets", [3, 4096])
+def test_kth_largest(spark, buckets):
+    rng = random.Random(8)
+    values = [rng.choice([rng.gauss(0, 1), 0.5, -1e9, 1e-300]) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    ranked = sorted(values, reverse=True)
+    for k in (1, 2, 57, 150, 299, 300, 1000):
+        assert kth_largest(df, "v", k, buckets) == ranked[min(k, 300) - 1]
+    assert kth_largest(df, "v", 0) is None and kth_largest(df.limit(0), "v", 3) is None
+
+
+def test_resampling_prefers_the_target(spark):
+    rng = random.Random(9)
+    good, bad = words(rng, 40), words(rng, 40)
+    rows = [(k, " ".join(rng.choices(good if k % 2 else bad, k=60)), "x") for k in range(200)] + [(None, None, None), (500, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    labels = spark.createDataFrame([(k, bool(k % 2)) for k in range(0, 200, 3)] + [(4, True), (4, False), (None, True), (999, True), (7, None)], "id long, good boolean")
+    out = resample(docs, labels).collect()
+    assert len(out) == len(rows) and set(out[0].asDict()) == {"doc_id", "text", "log_weight", "draw_key", "kept"}
+    assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == 500 or r["doc_id"] % 2 == 1) for r in out)
+    drawn = [r for r in resample(docs, labels, draw=10).collect() if r["kept"]]
+    assert len(drawn) == 10
+    free = resample(docs, labels.limit(0)).collect()  # nothing is known
+    assert all(r["kept"] and r["log_weight"] == 0 for r in free)
+
+
+def test_gumbel_noise(spark):
+    noise = np.array([r[0] for r in spark.range(20000).select(gumbel(1, F.col("id"))).collect()])
+    assert abs(noise.mean() - 0.5772) < 0.03 and abs(noise.std() - 1.2825) < 0.03
+
+
+def test_forest_on_held_out_findings(spark):
+    """Trained on one half of generated findings, it judges the other half."""
+    rng = random.Random(10)
+    rows = []
+    for k in range(600):
+        around = words(rng, 8)
+        kind = k % 3
+        if kind == 0:
+            piece = f'api_key = "{"".join(rng.choices("0123456789abcdefABCDEF", k=32))}"'
+        elif kind == 1:
+            piece = "order " + "".join(rng.choices("0123456789", k=16))
+        else:
+            piece = "".join(words(rng, 4))
+        rows.append((k, " ".join(around[:4] + [piece] + around[4:]), "src/app.py"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    found = labelled_by_rules(candidates(docs, "doc_id", "text", F.col("path"))).withColumn("secret", F.col("id") % 3 == 0)
+    out = scan(docs.where("doc_id >= 300"), found.where("id < 300"), F.col("path")).collect()
+    assert len(out) == 300
+    assert sum(r["secret"] == (r["doc_id"] % 3 == 0) for r in out) >= 297
+
+
+def test_candidates_and_models_of_nothing(spark):
+    rows = [(1, None, "p"), (2, "", None), (3, "two aaaaaaaaaaaaaaaa;bbbbbbbbbbbbbbbb1= end", None), (4, "short", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    found = candidates(docs, "doc_id", "text", F.col("path"))
+    assert sorted((r["id"], r["nth"], r["value"], r["glued"], r["before"], r["before2"], r["after"]) for r in found.collect()) == [
+        (3, 0, "a" * 16, "", "two", "", "end"), (3, 1, "b" * 16 + "1=", "a" * 16 + ";", "two", "", "end"),
+    ]
+    none = scan(docs, found.withColumn("secret", F.lit(None).cast("boolean")), F.col("path")).collect()
+    assert [(r["probability"], r["secret"]) for r in none] == [(None, None)] * 2
+    one = scan(docs, found.withColumn("secret", F.lit(True)), F.col("path")).collect()
+    assert [(r["probability"], r["secret"]) for r in one] == [(1.0, True)] * 2
+    assert measured(found, fit(found.withColumn("secret", F.lit(False)))).count() == 2
+
+
+def test_top_k_by_brute_force(spark):
+    rng = random.Random(11)
+    rows = [(rng.randrange(200), [rng.choice([0, 0, 1, -2, 3]) for _ in range(rng.choice([3, 5]))]) for _ in range(250)]
+    df = spark.createDataFrame(rows + [(None, [1]), (1, None), (2, [])], "vec long, w array<long>")
+    queries = df.where("vec % 20 = 0")
+    found = sorted(tuple(r) for r in top_k(df, queries, 7, "vec", "w").collect())
+    every = rows + [(2, [])]
+    expected = []
+    for own, q in {(i, tuple(w)) for i, w in every if i % 20 == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(q, w)), i) for i, w in every if i != own)
+        expected += [(own, k + 1, i, -s) for k, (s, i) in enumerate(scores[:7])]
+    assert found == sorted(expected)
+    large = spark.createDataFrame([(0, [1 << 26, 1 << 26]), (1, [1 << 26, 1 << 26])], "vec long, w array<long>")
+    assert [r["score"] for r in top_k(large, large, 5, "vec", "w").collect()] == [1 << 53] * 2
