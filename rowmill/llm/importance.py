@@ -172,7 +172,8 @@ def resample(
     Noise depends on seed, id and text: repeated rows have the same sum, and rows that tie with the last one drawn are
     all kept. Null and empty texts have weight 1. Labels of null ids or of rows that are not there say nothing; an id
     is good if all its labels are. Without any good label all weights are 1. An empty table gives no rows. Columns of
-    ``df`` named like the new ones give way. Rows are written once, with their scores; nothing with texts is shuffled.
+    ``df`` named like the new ones give way. Scores alone are written to find
+    the last one drawn, and computed again beside the rows, so texts are neither shuffled nor written.
     """
     ident, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`")
     good = labels.where("id is not null").groupBy("id").agg(F.bool_and(F.coalesce("good", F.lit(False))).alias("all_good"))
@@ -180,14 +181,11 @@ def resample(
     marked = packed(df, id=ident, text=text.cast("string")).join(F.broadcast(targets), F.col("id") == F.col("of"), "left")
     marked = marked.withColumn("target", F.col("of").isNotNull())
     weights = Weights(*gram_counts(marked.select(utf8("text"), "target")))
-    scored = marked.select(
-        "row",
-        log_weight(F.col("text"), F.col("target"), weights).alias("log_weight"),
-        gumbel(seed, F.col("id"), F.xxhash64("text")).alias("noise"),
-    )
-    scored = written(scored.withColumn("draw_key", F.col("log_weight") + F.col("noise")), "scores")
+    scored = marked.withColumn("log_weight", log_weight(F.col("text"), F.col("target"), weights))
+    scored = scored.withColumn("draw_key", F.col("log_weight") + gumbel(seed, F.col("id"), F.xxhash64("text")))
+    keys = written(scored.select("log_weight", "draw_key"), "scores")
     if draw is None:
-        draw = scored.where(F.col("log_weight") >= LEAST_LOG_WEIGHT).count()
-    least = kth_largest(scored.select("draw_key"), "draw_key", draw)
+        draw = keys.where(F.col("log_weight") >= LEAST_LOG_WEIGHT).count()
+    least = kth_largest(keys.select("draw_key"), "draw_key", draw)
     kept = F.lit(False) if least is None else F.col("draw_key") >= least
     return unpacked(scored, df.columns, log_weight=F.col("log_weight"), draw_key=F.col("draw_key"), kept=kept)
