@@ -2,17 +2,19 @@
 
 from .constraints import ConstraintViolation, check_constraints
 from .reads import execute, recent, select
-from .tables import delete, execute_many, insert, update, vacuum
+from .tables import delete, drop, execute_many, insert, recover, update, vacuum
 from .windows import running_total
 
 __all__ = [
     "ConstraintViolation",
     "check_constraints",
     "delete",
+    "drop",
     "execute",
     "execute_many",
     "insert",
     "recent",
+    "recover",
     "running_total",
     "select",
     "update",

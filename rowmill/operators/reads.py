@@ -15,11 +15,23 @@ def execute(
 ) -> DataFrame:
     """Run one SQL statement; ``?`` markers take a list, ``:name`` markers a dict. Values are bound, never spliced.
 
-    ``tables`` registers DataFrames as temporary views under the given names first.
+    ``tables`` gives DataFrames names for this statement; views that the caller has under such a name are back after it.
     """
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=list(params) if isinstance(params, tuple) else params)
+    before = {name: spark.table(name) if _is_view(spark, name) else None for name in tables or {}}
+    try:
+        for name, df in (tables or {}).items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(sql, args=list(params) if isinstance(params, tuple) else params)
+    finally:
+        for name, view in before.items():
+            if view is None:
+                spark.catalog.dropTempView(name)
+            else:
+                view.createOrReplaceTempView(name)
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
 
 
 def select(
@@ -48,15 +60,15 @@ def filter_rows(df: DataFrame, where: str | Column | None, params: Params = None
         return df
     if isinstance(where, Column) or not params:
         return df.where(where)
-    return over_view(df, f"SELECT * FROM {{view}} WHERE {where}", params)
+    return over_view(df, "SELECT * FROM ", params, f" WHERE {where}")
 
 
-def over_view(df: DataFrame, sql: str, params: Params = None) -> DataFrame:
-    """Run ``sql`` with ``{view}`` standing for ``df``; the view lives only until the plan is analysed."""
+def over_view(df: DataFrame, before: str, params: Params = None, after: str = "") -> DataFrame:
+    """Run ``before``, a view of ``df`` and ``after`` as one statement; the view lives only until the plan is analysed."""
     view = f"v_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
     try:
-        return execute(df.sparkSession, sql.replace("{view}", view, 1), params)
+        return execute(df.sparkSession, before + view + after, params)
     finally:
         df.sparkSession.catalog.dropTempView(view)
 

@@ -5,10 +5,14 @@ point the table at it; readers that already started keep the old files. A partit
 partition: only those that hold a matching row are rewritten. Partition a table by what its changes filter on.
 
 Counts come out of the writing job itself (an observed metric in its last stage), not out of a second scan.
-One writer at a time per table: a change that finds the table moved since it started is refused. The swap of an
-unpartitioned table is one catalog call; a partitioned one takes a call per rewritten partition.
+One change at a time per table: all of them, ``insert`` included, take the table's marker file first and refuse if it is
+there. Files that other writers added since the scan are noticed before the swap, and the change is refused.
 
-``DROP TABLE`` removes the current snapshot at most. To use the name again, remove the table's folder as well.
+The swap of an unpartitioned table is one catalog call; a partitioned one takes a call per rewritten partition. What is
+to be done is written to the table's folder before the first call, and a change that was broken off in between is
+finished by the next one (or by :func:`recover`, which also removes the marker that a lost process left).
+
+``DROP TABLE`` removes the current snapshot at most; :func:`drop` removes the table's folder as well.
 """
 
 from __future__ import annotations
@@ -16,19 +20,24 @@ from __future__ import annotations
 import json
 import posixpath
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote, urlparse
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from ..shared import settle
+from ..shared import settle, stored
 from .constraints import ConstraintViolation, check_constraints
 from .reads import Params, filter_rows, over_view
 
 _HITS = "__hits"
 _SNAPSHOT = "/_snapshot-"
+_MARKER, _INTENT = "/_change-in-progress", "/_intent.json"
+#: File formats whose tables update and delete can write anew.
+_REWRITABLE = ("parquet", "orc", "csv", "json")
 # What partition folders hold for NULL, and the characters their names escape as %XX.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(code) for code in range(1, 32)}
@@ -55,21 +64,23 @@ def insert(
     spark = df.sparkSession
     if create:
         _create(spark, table, df, partition_by, location)
-    if not_null or key:
-        violations = check_constraints(table, df, not_null, key)
-        examples = violations.take(5)
-        if examples:
-            raise ConstraintViolation(f"insert into {table} refused, for example: {examples}", violations)
-    partitions = _describe(spark, table).partitions
-    present = [p for p in partitions if p in df.columns]
-    # gathers the rows of a partition into few files; an oversized partition is split again, unlike with repartition
-    rows = df.hint("rebalance", *present) if present else df
-    counted = Observation()
-    columns = ", ".join(_name(c) for c in df.columns)
-    over_view(
-        rows.observe(counted, F.count(F.lit(1)).alias("rows")),
-        f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {{view}}",
-    )
+    target = _describe(spark, table)
+    with _changing(spark, target) if target.location else nullcontext():
+        if not_null or key:
+            df = stored(df, "batch")  # what is checked is what is inserted
+            violations = check_constraints(table, df, not_null, key)
+            examples = violations.take(5)
+            if examples:
+                raise ConstraintViolation(f"insert into {table} refused, for example: {examples}", violations)
+        present = [p for p in target.partitions if p in df.columns]
+        # gathers the rows of a partition into few files; an oversized one is split again, unlike with repartition
+        rows = df.hint("rebalance", *present) if present else df
+        counted = Observation()
+        columns = ", ".join(_name(c) for c in df.columns)
+        over_view(
+            rows.observe(counted, F.count(F.lit(1)).alias("rows")),
+            f"INSERT INTO {table} ({columns}) SELECT {columns} FROM ",
+        )
     return counted.get["rows"]
 
 
@@ -86,7 +97,7 @@ def update(
     anything else is a constant. Results are cast to the column's type and must fit it.
     """
     if not assignments:
-        raise ValueError("no values to update")
+        raise ValueError("update needs at least one column to set")
     spark = spark or SparkSession.active()
     target = _describe(spark, table, to_change=True)
     df = spark.table(table)
@@ -94,7 +105,7 @@ def update(
     for name, value in assignments.items():
         column = _resolve(df, name)
         expression = F.expr(value) if isinstance(value, str) else value if isinstance(value, Column) else F.lit(value)
-        new[column] = expression.cast(df.schema[column].dataType)
+        new[column] = _fitted(expression, df.schema[column])
 
     def assigned(hit: Column) -> list[Column]:
         # one select, so that every expression sees the old row
@@ -138,6 +149,7 @@ def execute_many(
     - ``insert``: every set is a row to append.
     - ``update``: each set assigns its other columns, as constants, to the rows with its ``key``. ``ordinal`` names
       the column with the order of the sets; the last set of a key wins, and every set counts the rows it matched.
+      An ordinal that is NULL or repeated within a key is refused.
     - ``delete``: each set removes the rows with its ``key``; a row can be removed once.
 
     Sets with a NULL in the key match nothing. The sets are reduced to one per key by a map-side pre-aggregation, so a
@@ -155,18 +167,26 @@ def execute_many(
     values = [c for c in params_df.columns if c not in key and c != ordinal] if kind == "update" else []
     if kind == "update":
         if not values:
-            raise ValueError("no values to update")
+            raise ValueError("update needs at least one column to set besides the key")
         if ordinal is None:
             raise ValueError("update needs an ordinal column, the order in which the sets apply")
     new_names = {_resolve(df, c): c for c in values}
-    last = [F.max_by(F.struct(*values), ordinal).alias("__last")] if values else []
+    last = []
+    if values:
+        typed = [F.col(_name(c)).cast(df.schema[column].dataType).alias(c) for column, c in new_names.items()]
+        order = F.col(_name(ordinal))
+        last = [F.max_by(F.struct(*typed), order).alias("__last"), F.count_distinct(order).alias("__places")]
     sets, _ = settle(
         params_df.dropna(subset=list(key))
         .groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key)])
         .agg(F.count(F.lit(1)).alias("__sets"), *last)
     )
+    if values:
+        unordered = sets.where("__places <> __sets").select(*[f"__k{i}" for i in range(len(key))]).first()
+        if unordered:
+            raise ValueError(f"{ordinal} must number the sets of a key, but is NULL or repeated for {tuple(unordered)}")
     same = reduce(lambda a, b: a & b, [F.col(_name(c)) == F.col(f"__k{i}") for i, c in enumerate(key)])
-    new = {c: F.col(f"__last.{p}").cast(df.schema[c].dataType) for c, p in new_names.items()}
+    new = {c: _fitted(F.col(f"__last.{_name(p)}"), df.schema[c]) for c, p in new_names.items()}
     hit = F.col("__sets").isNotNull()
     counted = F.coalesce("__sets", F.lit(0)) if kind == "update" else hit.cast("long")
 
@@ -184,23 +204,59 @@ def execute_many(
 
 
 def vacuum(table: str, spark: SparkSession | None = None) -> int:
-    """Delete the snapshot folders that the table no longer points at; returns how many. Run it without readers."""
+    """Delete the files that the table no longer points at, the first snapshot's too; returns how many folders.
+
+    Run it without readers; a change in progress makes it fail.
+    """
     spark = spark or SparkSession.active()
-    target = _describe(spark, table)
-    files = _Files(spark)
-    live = {posixpath.dirname(unquote(urlparse(name).path)) for name in spark.table(table).inputFiles()}
-    live.add(files.plain(target.location))
-    removed = 0
-    for folder in files.snapshots(target.root):
-        stale = [leaf for leaf in files.leaves(folder) if leaf not in live]
-        if not any(name == folder or name.startswith(folder + "/") for name in live):
-            stale = [folder]
-        for leaf in stale:
-            files.delete(leaf)
-        removed += len(stale)
+    with _changing(spark, _describe(spark, table)):
+        target = _describe(spark, table)
+        files = _Files(spark, target.root)
+        live = {posixpath.dirname(unquote(urlparse(name).path)) for name in spark.table(table).inputFiles()}
+        live.add(files.plain(target.location))
+        removed = 0
+        for folder in files.snapshots(target.root):
+            stale = [leaf for leaf in files.leaves(folder) if leaf not in live]
+            if not any(name == folder or name.startswith(folder + "/") for name in live):
+                stale = [folder]
+            for leaf in stale:
+                files.delete(leaf)
+            removed += len(stale)
+        if target.root != target.location:
+            # what was there before the first change lies in the root itself
+            root = files.plain(target.root)
+            for leaf in files.leaves(target.root):
+                if leaf != root and not leaf.startswith(root + _SNAPSHOT) and leaf not in live:
+                    files.delete(leaf)
+                    removed += 1
+            own = files.data_files(target.root) if root not in live else []
+            for name in own:
+                files.delete(name)
+            removed += bool(own)
     return removed
 
 
+def drop(table: str, spark: SparkSession | None = None) -> None:
+    """Remove the table and its folder with all snapshots, so that the name can be used again."""
+    spark = spark or SparkSession.active()
+    target = _describe(spark, table)
+    with _changing(spark, target):
+        spark.sql(f"DROP TABLE {table}")
+        _Files(spark, target.root).delete(target.root)
+
+
+def recover(table: str, spark: SparkSession | None = None) -> bool:
+    """After a process was lost in the middle of a change: finish its swap if that had begun, else forget the change.
+
+    Call it only when no change is running; returns whether a swap was finished.
+    """
+    spark = spark or SparkSession.active()
+    target = _describe(spark, table)
+    finished = _finish(spark, target)
+    _Files(spark, target.root).delete(target.root + _MARKER)
+    return finished
+
+
 # --- how a change is carried out ----------------------------------------------------------------------------------
 
 
@@ -210,6 +266,7 @@ class _Target:
     provider: str
     location: str
     partitions: list[str]
+    options: dict[str, str]
 
     @property
     def root(self) -> str:
@@ -225,7 +282,39 @@ def _describe(spark: SparkSession, table: str, to_change: bool = False) -> _Targ
         raise ValueError(f"{table} is bucketed; changing bucketed tables is not supported")
     if to_change and partitions and facts.get("partition_provider") != "Catalog":
         raise ValueError(f"the partitions of {table} are not in the catalog, so they cannot be pointed elsewhere")
-    return _Target(table, facts.get("provider", ""), facts.get("location", ""), partitions)
+    if to_change and facts.get("provider") not in _REWRITABLE:
+        raise ValueError(f"{table} is stored as {facts.get('provider')}; only {', '.join(_REWRITABLE)} can be changed")
+    options = {k: v for k, v in (facts.get("storage_properties") or {}).items() if k not in ("path", "serialization.format")}
+    return _Target(table, facts.get("provider", ""), facts.get("location", ""), partitions, options)
+
+
+@contextmanager
+def _changing(spark: SparkSession, target: _Target) -> Iterator[None]:
+    """Hold the table's marker; a swap that an earlier change left half done is finished first."""
+    if not target.location:
+        raise ValueError(f"{target.name} is no table with files of its own")
+    files = _Files(spark, target.root)
+    if not files.create(target.root + _MARKER, target.name):
+        raise RuntimeError(f"another change of {target.name} is running; if its process was lost, call recover()")
+    try:
+        _finish(spark, target)
+        yield
+    finally:
+        files.delete(target.root + _MARKER)
+
+
+def _fitted(value: Column, field) -> Column:
+    """The value in the column's type; a text that is too long for a char or varchar column fails as on insert."""
+    value = value.cast(field.dataType)
+    kind = field.metadata.get("__CHAR_VARCHAR_TYPE_STRING", "")
+    if not kind:
+        return value
+    length = int(kind[kind.index("(") + 1 : -1])
+    value = F.rpad(value, F.greatest(F.length(value), F.lit(length)), F.lit(" ")) if kind.startswith("char(") else value
+    # blanks beyond the length are cut off, as on insert
+    short = F.when(F.length(value) > length, F.rpad(F.rtrim(value), F.greatest(F.length(F.rtrim(value)), F.lit(length)), F.lit(" "))).otherwise(value)
+    problem = F.raise_error(F.concat(F.lit(f"a value of column {field.name} is longer than {kind}: "), value)).cast("string")
+    return F.when(F.length(short) > length, problem).otherwise(short)
 
 
 def _create(spark: SparkSession, table: str, df: DataFrame, partition_by: Sequence[str], location: str | None) -> None:
@@ -247,7 +336,7 @@ def _marked(rows: DataFrame, where: str | Column | None, params: Params) -> Data
     if isinstance(where, Column) or not params:
         condition = F.expr(where) if isinstance(where, str) else where
         return rows.withColumn(_HITS, F.coalesce(condition, F.lit(False)).cast("int"))
-    return over_view(rows, f"SELECT *, CAST(coalesce(({where}), false) AS INT) AS {_HITS} FROM {{view}}", params)
+    return over_view(rows, f"SELECT *, CAST(coalesce(({where}), false) AS INT) AS {_HITS} FROM ", params)
 
 
 def _change(
@@ -265,23 +354,34 @@ def _change(
     of hits in a column, ``result`` the rows to keep from those, ``moved`` new values of partition columns. With
     ``look_first`` an unpartitioned table without a match is found by a filtered scan and not rewritten.
     """
-    rows = spark.table(target.name)
-    touched = []
-    if target.partitions:
-        touched = _touched(matching(rows), target, moved)
-        if not touched:
+    with _changing(spark, target):
+        target = _describe(spark, target.name, to_change=True)  # a swap that was left half done may have moved it
+        rows = spark.table(target.name)
+        touched = []
+        if target.partitions:
+            touched = _touched(matching(rows), target, moved)
+            if not touched:
+                return 0
+            rows = rows.where(_in_partitions(target, touched))
+        scanned = set(rows.inputFiles())
+        if not target.partitions and look_first and matching(rows).isEmpty():
             return 0
-        rows = rows.where(_in_partitions(target, touched))
-    elif look_first and matching(rows).isEmpty():
-        return 0
-    counted = Observation()
-    observed = marked(rows).observe(counted, F.coalesce(F.sum(_HITS), F.lit(0)).alias("hits"))
-    folder = f"{target.root}{_SNAPSHOT}{uuid.uuid4().hex}"
-    result(observed).write.format(target.provider).partitionBy(*target.partitions).save(folder)
-    hits = counted.get["hits"]
-    if hits == 0:
-        _Files(spark).delete(folder)
-    else:
+        counted = Observation()
+        observed = marked(rows).observe(counted, F.coalesce(F.sum(_HITS), F.lit(0)).alias("hits"))
+        folder = f"{target.root}{_SNAPSHOT}{uuid.uuid4().hex}"
+        writer = result(observed).write.format(target.provider).options(**target.options)
+        writer.partitionBy(*target.partitions).save(folder)
+        hits = counted.get["hits"]
+        if hits == 0:
+            _Files(spark, target.root).delete(folder)
+            return 0
+        spark.catalog.refreshTable(target.name)
+        now = spark.table(target.name)
+        if target.partitions:
+            now = now.where(_in_partitions(target, touched))
+        if _describe(spark, target.name).location != target.location or set(now.inputFiles()) != scanned:
+            _Files(spark, target.root).delete(folder)
+            raise RuntimeError(f"{target.name} was written to meanwhile; the change was not applied")
         _point_at(spark, target, folder, touched)
     return hits
 
@@ -334,33 +434,49 @@ def _any(conditions: list[Column]) -> Column:
 
 
 def _point_at(spark: SparkSession, target: _Target, folder: str, touched: list) -> None:
-    if _describe(spark, target.name).location != target.location:
-        raise RuntimeError(f"{target.name} was changed by another writer; the change was not applied")
-    if not target.partitions:
-        spark.sql(f"ALTER TABLE {target.name} SET LOCATION {_text(folder)}")
-        return
-    # New partitions must not land in a folder that older snapshots used, so the table's own location moves as well.
-    spark.sql(f"ALTER TABLE {target.name} SET LOCATION {_text(folder)}")
-    files = _Files(spark)
-    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {target.name}").collect()}
-    emptied, added = [], []
+    """Write down what the swap is, then do it."""
+    files = _Files(spark, target.root)
+    full = set(files.leaves(folder)) if target.partitions else set()
+    parts = []
     for part in touched:
         path = "/".join(_partition_folder(p, text) for p, text in zip(target.partitions, part["__texts"]))
         spec = ", ".join(
             f"{_name(p)} = {'NULL' if text in (None, '') else _text(text)}"
             for p, text in zip(target.partitions, part["__texts"])
         )
-        if not files.exists(f"{folder}/{path}"):
-            emptied += [f"PARTITION ({spec})"] if path in known else []
-        elif path in known:
-            spark.sql(f"ALTER TABLE {target.name} PARTITION ({spec}) SET LOCATION {_text(f'{folder}/{path}')}")
-        else:
-            added.append(f"PARTITION ({spec}) LOCATION {_text(f'{folder}/{path}')}")
-    if added:
-        spark.sql(f"ALTER TABLE {target.name} ADD {' '.join(added)}")
-    if emptied:
-        spark.sql(f"ALTER TABLE {target.name} DROP {', '.join(emptied)}")
+        parts.append({"path": path, "spec": spec, "full": f"{files.plain(folder)}/{path}" in full})
+    files.write(target.root + _INTENT, json.dumps({"folder": folder, "parts": parts}))
+    _finish(spark, target)
+
+
+def _finish(spark: SparkSession, target: _Target) -> bool:
+    """Do what is left of a swap that was written down; every step can be repeated. Returns whether there was one."""
+    files = _Files(spark, target.root)
+    text = files.read(target.root + _INTENT)
+    if text is None:
+        return False
+    intent = json.loads(text)
+    folder = intent["folder"]
+    # New partitions must not land in a folder that older snapshots used, so the table's own location moves as well.
+    spark.sql(f"ALTER TABLE {target.name} SET LOCATION {_text(folder)}")
+    if target.partitions:
+        known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {target.name}").collect()}
+        emptied, added = [], []
+        for part in intent["parts"]:
+            spec, at = f"PARTITION ({part['spec']})", _text(f"{folder}/{part['path']}")
+            if not part["full"]:
+                emptied += [spec] if part["path"] in known else []
+            elif part["path"] in known:
+                spark.sql(f"ALTER TABLE {target.name} {spec} SET LOCATION {at}")
+            else:
+                added.append(f"{spec} LOCATION {at}")
+        if added:
+            spark.sql(f"ALTER TABLE {target.name} ADD {' '.join(added)}")
+        if emptied:
+            spark.sql(f"ALTER TABLE {target.name} DROP {', '.join(emptied)}")
     spark.catalog.refreshTable(target.name)
+    files.delete(target.root + _INTENT)
+    return True
 
 
 def _partition_folder(column: str, text: str | None) -> str:
@@ -390,17 +506,59 @@ def _text(value: str) -> str:
 class _Files:
     """The few folder operations a change needs, on whatever file system the table is on."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str):
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
+        self._root = self._path(root).getFileSystem(self._conf)
 
     def _fs(self, name: str):
         path = self._path(name)
+        if path.toUri().getScheme() is None:
+            path = self._root.makeQualified(path)
         return path, path.getFileSystem(self._conf)
 
-    def exists(self, name: str) -> bool:
+    def create(self, name: str, text: str) -> bool:
+        """Create a small file; False if it is there already."""
         path, fs = self._fs(name)
-        return fs.exists(path)
+        try:
+            stream = fs.create(path, False)
+        except Py4JJavaError:
+            if fs.exists(path):
+                return False
+            raise
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return True
+
+    def write(self, name: str, text: str) -> None:
+        """Put a small file in its place as a whole."""
+        path, fs = self._fs(name)
+        part, _ = self._fs(f"{name}-{uuid.uuid4().hex}")
+        stream = fs.create(part, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        if not fs.rename(part, path):
+            raise OSError(f"cannot write {name}")
+
+    def read(self, name: str) -> str | None:
+        """A small file's text, or None if there is none."""
+        path, fs = self._fs(name)
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def data_files(self, folder: str) -> list[str]:
+        """Files right in ``folder`` that Spark would read."""
+        path, fs = self._fs(folder)
+        return [
+            status.getPath().toUri().getPath()
+            for status in fs.listStatus(path)
+            if status.isFile() and status.getPath().getName()[0] not in "_."
+        ]
 
     def delete(self, name: str) -> None:
         path, fs = self._fs(name)

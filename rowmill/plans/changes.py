@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import check_constraints, delete, execute_many, insert, update
+from ..operators import check_constraints, delete, execute, execute_many, insert, update
 from ..shared import run_folder
 from .tables import load
 
@@ -179,6 +179,7 @@ _BATCH = """
         WHERE o_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
 )
 def constraint_check(spark: SparkSession, folder: str) -> DataFrame:
-    load(spark, folder, "orders").createOrReplaceTempView("orders")
-    stored = fresh_table(spark.table("orders").where("o_orderstatus = 'F'"))
-    return check_constraints(stored, spark.sql(_BATCH), not_null=["o_orderkey", "o_custkey"], key=["o_orderkey"])
+    orders = load(spark, folder, "orders")
+    stored = fresh_table(orders.where("o_orderstatus = 'F'"))
+    batch = execute(spark, _BATCH, tables={"orders": orders})
+    return check_constraints(stored, batch, not_null=["o_orderkey", "o_custkey"], key=["o_orderkey"])

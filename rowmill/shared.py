@@ -35,14 +35,20 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return folder
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Compute ``df`` once into the shared folder as parquet, where it outlives lost executors until the session ends."""
+    folder = run_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def settle(df: DataFrame) -> tuple[DataFrame, bool]:
     """Compute ``df`` once into the shared folder, for a side that several jobs or branches use.
 
     Where its measured size stays under the session's broadcast threshold it carries a broadcast hint, so that the
     large side of a join need not be shuffled; beyond it the join is left to Spark. The flag tells which.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    settled = df.checkpoint()
+    settled = stored(df, "settled")
     width = sum((_width(field) for field in settled.schema), F.lit(0))
     size = settled.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

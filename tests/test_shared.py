@@ -25,4 +25,4 @@ def test_only_measured_small_sides_are_broadcast(spark):
 def test_settled_rows_are_all_there(spark):
     settled, _ = settle(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
     assert settled.agg(F.sum("count")).first()[0] == 100
-    assert "Scan ExistingRDD" in settled._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in settled._jdf.queryExecution().executedPlan().toString()
