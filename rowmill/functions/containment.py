@@ -74,9 +74,13 @@ def _equals(variant: Column, path: str, wanted: object) -> Column:
         return (_get(variant, path, "string") == F.lit(wanted)) & (_kind(variant, path) == "STRING")
     equal = _get(variant, path, "double") == F.lit(float(wanted))
     kind = _kind(variant, path)
-    fraction = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
-    if wanted == int(wanted) and _BIGINT_MIN <= wanted <= _BIGINT_MAX:
-        # doubles do not tell large whole numbers apart
-        whole = (kind == "BIGINT") & (_get(variant, path, "bigint") == F.lit(int(wanted)))
-        return equal & (whole | fraction)
-    return equal & fraction
+    exact = Decimal(wanted)
+    before_point = max(1, exact.adjusted() + 1)
+    same = kind.isin("DOUBLE", "FLOAT")
+    if before_point <= 38 and -exact.normalize().as_tuple().exponent <= 38 - before_point:
+        # the decimal type that has all places a number of this size can have
+        number = _get(variant, path, f"decimal(38,{38 - before_point})")
+        same |= kind.startswith("DECIMAL") & (number == F.lit(str(exact)).cast(f"decimal(38,{38 - before_point})"))
+    if exact == int(exact) and _BIGINT_MIN <= exact <= _BIGINT_MAX:
+        same |= (kind == "BIGINT") & (_get(variant, path, "bigint") == F.lit(int(exact)))
+    return equal & same

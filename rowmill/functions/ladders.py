@@ -8,7 +8,9 @@ Three ladders, one aggregate pass each (combined per task, then one row per colu
   any text makes the column string
 
 ``sqlite`` and ``mssql`` judge text columns by content: the text must be the number and nothing else (no blanks, no
-words such as ``NaN``). ``input`` judges each JSON value by its kind: ``69`` is a number, ``"69"`` is text.
+words such as ``NaN``), written so that the number gives the text back: ``00501``, ``+1``, ``1.50`` and numbers with
+more digits than their type holds are text. ``loose=True`` takes those for numbers too, and loses how they were written.
+``input`` judges each VARIANT value by its kind: ``69`` is a number, ``"69"`` is text; text columns are text.
 """
 
 from __future__ import annotations
@@ -18,6 +20,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 _WHOLE = r"\A[+-]?[0-9]+\z"
 _FRACTION = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
+_PLAIN_WHOLE = r"\A(0|-?[1-9][0-9]*)\z"
+_PLAIN_FRACTION = r"\A-?(0|[1-9][0-9]*)(\.(0|[0-9]*[1-9]))?([eE][+-]?[0-9]+)?\z"
+
 # Declared PostgreSQL type names and the column types they become.
 POSTGRES_TYPES = {
     "INT2": "smallint",
@@ -44,10 +49,12 @@ _TYPES_BY_RANK = {
 _BOOLEAN_RANK = 3
 
 
-def infer_types(df: DataFrame, ladder: str = "sqlite", columns: list[str] | None = None) -> DataFrame:
+def infer_types(
+    df: DataFrame, ladder: str = "sqlite", columns: list[str] | None = None, loose: bool = False
+) -> DataFrame:
     """One row ``(column_name, type)`` per column, from a single pass over every value.
 
-    A column without non-null values gets the first type of the ladder.
+    ``loose`` takes any text that can be read as a number for one, also where the number would not give it back. A column without non-null values gets the first type of the ladder.
     """
     if ladder not in _TYPES_BY_RANK:
         raise ValueError(f"unknown ladder {ladder!r}, expected one of {sorted(_TYPES_BY_RANK)}")
@@ -56,7 +63,7 @@ def infer_types(df: DataFrame, ladder: str = "sqlite", columns: list[str] | None
     # One small expression over (column, value) rows instead of one per column: its generated code stays compilable
     # however many columns there are, and min and max are combined before the few groups are shuffled.
     cells = df.select(F.posexplode(values).alias("column", "value"))
-    rank = (_json_rank if ladder == "input" else _text_rank)(F.col("value"))
+    rank = _json_rank(F.col("value")) if ladder == "input" else _text_rank(F.col("value"), loose)
     every_column = df.sparkSession.range(len(names)).select(F.col("id").cast("int"), F.lit(None).cast("int"))
     ranks = cells.select("column", rank.alias("rank")).union(every_column)
     ends = ranks.groupBy("column").agg(F.min("rank").alias("low"), F.coalesce(F.max("rank"), F.lit(0)).alias("high"))
@@ -99,43 +106,52 @@ def _quote(name: str) -> Column:
 
 
 def _source(df: DataFrame, name: str, ladder: str) -> Column:
-    """The column as the ladder reads it: text, or for ``input`` a VARIANT (text that is not JSON becomes a string)."""
+    """The column as the ladder reads it: text, or for ``input`` a VARIANT; a text column becomes one of strings."""
     column = _quote(name)
     if ladder != "input":
         return column
     if isinstance(df.schema[name].dataType, T.VariantType):
         return column
-    as_string = F.try_variant_get(F.to_variant_object(F.struct(column.alias("text"))), "$.text", "variant")
-    return F.coalesce(F.try_parse_json(column), as_string)
+    return F.try_variant_get(F.to_variant_object(F.struct(column.alias("text"))), "$.text", "variant")
 
 
 def _text_value(text: Column, kind: str) -> Column:
     return text if kind == "string" else text.cast(kind)
 
 
-def _text_rank(text: Column) -> Column:
+def _text_rank(text: Column, loose: bool) -> Column:
     """0 fits int, 1 fits bigint, 2 is another number, 3 is true or false, 4 is other text; NULL for NULL.
 
     The range of a whole number is judged by its length or by a cast that it fits for sure: a failed ``try_cast``
     costs as much as a hundred that succeed.
     """
     digits = F.length(text)
+    beyond = 2 if loose else 4
     whole = (
         F.when(digits < 10, 0)
-        .when(digits < 19, _width_rank(text.try_cast("bigint")))
-        .when(digits < 38, _width_rank(text.try_cast("decimal(38,0)")))
-        .otherwise(_width_rank(text.try_cast("bigint")))
+        .when(digits < 19, _width_rank(text.try_cast("bigint"), beyond))
+        .when(digits < 38, _width_rank(text.try_cast("decimal(38,0)"), beyond))
+        .otherwise(_width_rank(text.try_cast("bigint"), beyond))
     )
+    fraction = F.lit(2)
+    if not loose:
+        # fifteen digits always come back from a double; of longer texts the double must give the same digits
+        fraction = F.when((digits < 16) | (_digits(text) == _digits(text.try_cast("double").cast("string"))), 2).otherwise(4)
     return (
-        F.when(text.rlike(_WHOLE), whole)
-        .when(text.rlike(_FRACTION), 2)
+        F.when(text.rlike(_WHOLE if loose else _PLAIN_WHOLE), whole)
+        .when(text.rlike(_FRACTION if loose else _PLAIN_FRACTION), fraction)
         .when(F.lower(text).isin("true", "false"), _BOOLEAN_RANK)
         .when(text.isNotNull(), 4)
     )
 
 
-def _width_rank(number: Column) -> Column:
-    return F.when(number.between(-(2**31), 2**31 - 1), 0).when(number.between(-(2**63), 2**63 - 1), 1).otherwise(2)
+def _digits(number: Column) -> Column:
+    """The significant digits of a number's text."""
+    return F.regexp_replace(F.regexp_replace(number, "[eE].*$|[-.]", ""), "^0+|0+$", "")
+
+
+def _width_rank(number: Column, beyond: int) -> Column:
+    return F.when(number.between(-(2**31), 2**31 - 1), 0).when(number.between(-(2**63), 2**63 - 1), 1).otherwise(beyond)
 
 
 def _json_rank(value: Column) -> Column:
@@ -154,11 +170,20 @@ def _json_value(value: Column, kind: str) -> Column:
     if kind in ("bigint", "double"):
         number = F.when(json_kind != "VOID", F.variant_get(value, "$", kind))
         return F.when(json_kind == "BOOLEAN", bit.cast(kind)).otherwise(number)
-    number = F.try_variant_get(value, "$", "double")
-    is_plain = (number == F.floor(number)) & (F.abs(number) < F.lit(1e18))
     return (
         F.when(json_kind == "VOID", F.lit(None).cast("string"))
         .when(json_kind == "BOOLEAN", bit.cast("string"))
-        .when(json_kind.isin("DOUBLE", "FLOAT") & is_plain, number.cast("bigint").cast("string"))
+        .when(json_kind.isin("DOUBLE", "FLOAT"), _plain(F.try_variant_get(value, "$", "double")))
         .otherwise(F.try_variant_get(value, "$", "string"))
     )
+
+
+def _plain(number: Column) -> Column:
+    """A double with all its places and without an exponent, however large or small; whole ones without a point."""
+    text = number.cast("string")
+    small = F.regexp_replace(F.format_string("%.345f", number), "0+$", "")
+    return (
+        F.when(F.contains(text, F.lit("E-")), small)
+        .when(F.contains(text, F.lit("E")) | F.endswith(text, F.lit(".0")), F.format_string("%.0f", number))
+        .otherwise(text)
+    )

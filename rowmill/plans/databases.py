@@ -50,7 +50,7 @@ def jdbc_options(spark: SparkSession) -> dict[str, str]:
     if not url:
         if not in_one_process(spark):
             raise RuntimeError(f"executors cannot see a database inside the driver: set {JDBC_URL}")
-        url = f"jdbc:derby:memory:rowmill_{uuid.uuid4().hex};create=true"
+        url = f"jdbc:derby:memory:rowmill_{spark.sparkContext.applicationId};create=true"  # one per session
     return {"url": url, "preferTimestampNTZ": "true"}
 
 
@@ -145,6 +145,19 @@ def scan_sqlite_inferred(spark: SparkSession, folder: str) -> DataFrame:
     return apply_types(text, infer_types(text, "sqlite"))
 
 
+@query(
+    "scan_sqlite_merged",
+    """SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_name END AS c_name, c_acctbal,
+        CASE WHEN c_acctbal < 0 THEN c_mktsegment END AS c_mktsegment FROM customer""",
+)
+def scan_sqlite_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder whose files differ in their columns."""
+    path, customer = run_folder(spark, "sqlite-merged"), load(spark, folder, "customer")
+    write_sqlite(customer.where("c_acctbal < 0").select("c_custkey", "c_acctbal", "c_mktsegment"), path, "customer")
+    write_sqlite(customer.where("c_acctbal >= 0").select("c_name", "c_custkey", "c_acctbal"), path, "customer")
+    return read_sqlite(spark, path, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+
+
 @query(
     "copy_table",
     """SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders WHERE o_totalprice > 50000) AS n_changed
@@ -154,7 +167,12 @@ def copy_table_(spark: SparkSession, folder: str) -> DataFrame:
     source = {"format": "sqlite", "path": sqlite_copy(spark, folder, "orders")}
     target = {"format": "sqlite", "path": run_folder(spark, "sqlite-copy")}
     copied = copy_table(
-        spark, (source, "orders"), (target, "big_orders"), "o_totalprice > ?", ["o_orderkey", "o_totalprice"], [50000]
+        spark,
+        (source, "orders"),
+        (target, "big_orders"),
+        columns=["o_orderkey", "o_totalprice"],
+        source_where="o_totalprice > ?",
+        source_params=[50000],
     )
     return read_sqlite(spark, target["path"], "big_orders").selectExpr("*", f"CAST({copied} AS BIGINT) AS n_changed")
 
@@ -169,9 +187,9 @@ def read_all_(spark: SparkSession, folder: str) -> DataFrame:
     sources = [
         (name, {"format": "sqlite", "path": sqlite_copy(spark, folder, "customer")}) for name in ("first", "second")
     ]
-    return read_all(spark, sources, "customer", "c_acctbal > ?", [2500]).select(
-        "c_custkey", "c_name", "c_acctbal", "source"
-    )
+    wanted = ["c_custkey", "c_name", "c_acctbal"]
+    rows = read_all(spark, sources, "customer", columns=wanted, source_where="c_acctbal > ?", source_params=[2500])
+    return rows.select(*wanted, "source")
 
 
 @query(

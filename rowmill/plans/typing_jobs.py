@@ -19,10 +19,12 @@ _LINE_TEXT = {
     "big_on_return": "CASE WHEN l_returnflag = 'R' THEN 5000000000 ELSE l_orderkey END",
     "late": "l_shipdate > TIMESTAMP '1998-01-01 00:00:00'",
     "mixed": "CASE WHEN l_linenumber = 7 THEN CAST(l_discount AS {text}) ELSE CAST(l_linenumber AS {text}) END",
+    "padded": "lpad(CAST(l_linenumber AS {text}), 5, '0')",
     "word_on_seven": "CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(l_linenumber AS {text}) END",
 }
-_WHOLE = "regexp_full_match({c}, '[+-]?[0-9]+')"
-_FRACTION = "regexp_full_match({c}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')"
+# numbers that give their text back: no leading zeros, no sign but a minus, no zeros at the end of a fraction
+_WHOLE = "regexp_full_match({c}, '0|-?[1-9][0-9]*')"
+_FRACTION = "regexp_full_match({c}, '-?(0|[1-9][0-9]*)(\\.(0|[0-9]*[1-9]))?([eE][+-]?[0-9]+)?')"
 _CHECKS = {
     "int": f"({_WHOLE} AND TRY_CAST({{c}} AS INTEGER) IS NOT NULL)",
     "bigint": f"({_WHOLE} AND TRY_CAST({{c}} AS BIGINT) IS NOT NULL)",
@@ -56,7 +58,7 @@ ORACLES["infer_mssql"] = _ladder_oracle(["int", "bigint", "double", "boolean"])
 
 
 def apply_inferred(spark: SparkSession, folder: str) -> DataFrame:
-    text = _line_text(spark, folder).select("orderkey", "linenumber", "price", "flag", "big_on_return", "mixed")
+    text = _line_text(spark, folder).select("orderkey", "linenumber", "price", "flag", "big_on_return", "mixed", "padded")
     return apply_types(text, infer_types(text, "sqlite"))
 
 
@@ -64,7 +66,8 @@ QUERIES["apply_types"] = apply_inferred
 ORACLES["apply_types"] = """
     SELECT l_orderkey AS orderkey, CAST(l_linenumber AS BIGINT) AS linenumber, l_extendedprice AS price,
         l_returnflag AS flag, CASE WHEN l_returnflag = 'R' THEN 5000000000 ELSE l_orderkey END AS big_on_return,
-        CASE WHEN l_linenumber = 7 THEN l_discount ELSE CAST(l_linenumber AS DOUBLE) END AS mixed
+        CASE WHEN l_linenumber = 7 THEN l_discount ELSE CAST(l_linenumber AS DOUBLE) END AS mixed,
+        lpad(CAST(l_linenumber AS VARCHAR), 5, '0') AS padded
     FROM lineitem"""
 
 # JSON values per event: the number in props, a mix of whole and fractional numbers, numbers with some text, flags

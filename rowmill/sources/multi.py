@@ -11,16 +11,29 @@ from ..operators.reads import Params, select
 from . import jdbc, sqlite
 
 
-def read_source(spark: SparkSession, options: dict[str, str], table: str, partition: dict | None = None) -> DataFrame:
+def read_source(
+    spark: SparkSession,
+    options: dict[str, str],
+    table: str,
+    partition: dict | None = None,
+    columns: list[str] | None = None,
+    source_where: str | None = None,
+    source_params: list | None = None,
+) -> DataFrame:
     """One table of one connection; the ``format`` option picks the source (``jdbc`` when absent, or ``sqlite``).
 
-    ``partition`` splits a JDBC scan; without it one task reads the table. SQLite files are always split.
+    ``partition`` splits a JDBC scan; without it one task reads the table. SQLite files are always split. Only
+    ``columns`` leave the source. ``source_where`` is a condition in SQLite's own SQL, with ``?`` for each of
+    ``source_params``, that the files apply before rows reach Spark; over JDBC Spark pushes filters down by itself.
     """
     kind = options.get("format", "jdbc")
     if kind == "sqlite":
-        return sqlite.read_sqlite(spark, options["path"], table)
+        return sqlite.read_sqlite(spark, options["path"], table, columns, source_where, source_params)
     if kind == "jdbc":
-        return jdbc.read_table(spark, options, table, partition)
+        if source_where is not None:
+            raise ValueError("source_where is for SQLite; filters on a JDBC scan are pushed down by Spark")
+        rows = jdbc.read_table(spark, options, table, partition)
+        return rows.select(*columns) if columns else rows
     raise ValueError(f"unknown source format {kind!r}")
 
 
@@ -42,10 +55,18 @@ def copy_table(
     columns: Iterable[str] | None = None,
     params: Params = None,
     partition: dict | None = None,
+    source_where: str | None = None,
+    source_params: list | None = None,
 ) -> int:
-    """Scan, filter, project and append in one job, partition by partition; returns the number of rows copied."""
-    rows = select(read_source(spark, *src, partition), columns, where, params)
-    return write_source(rows, *dst)
+    """Scan, filter, project and append in one job, partition by partition; returns the number of rows copied.
+
+    ``source_where`` is applied by SQLite itself (see :func:`read_source`), ``where`` by Spark. Without ``where``, a
+    list of plain column names is all that is read.
+    """
+    named = None if columns is None else list(columns)
+    plain = named if where is None and named and all(isinstance(c, str) and c.isidentifier() for c in named) else None
+    rows = read_source(spark, *src, partition, plain, source_where, source_params)
+    return write_source(select(rows, named, where, params), *dst)
 
 
 def read_all(
@@ -56,13 +77,17 @@ def read_all(
     params: Params = None,
     tag: str = "source",
     partition: dict | None = None,
+    columns: list[str] | None = None,
+    source_where: str | None = None,
+    source_params: list | None = None,
 ) -> DataFrame:
     """The same table and filter on every connection, one result with the connection's name in ``tag``.
 
-    Columns are matched by name; one that a connection lacks is NULL for its rows.
+    Columns are matched by name; one that a connection lacks is NULL for its rows. ``columns`` and ``source_where`` are
+    as for :func:`read_source`; ``where`` needs the columns that it names.
     """
-    parts = [
-        select(read_source(spark, options, table, partition), where=where, params=params).withColumn(tag, F.lit(name))
-        for name, options in sources
-    ]
+    parts = []
+    for name, options in sources:
+        rows = read_source(spark, options, table, partition, columns, source_where, source_params)
+        parts.append(select(rows, where=where, params=params).withColumn(tag, F.lit(name)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

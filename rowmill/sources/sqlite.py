@@ -1,7 +1,8 @@
 """SQLite files as a Spark data source.
 
 Reading: ``path`` is one database file, a folder of them or a pattern, on a file system that the driver and every
-executor mount under the same path. A large file is split into ranges of row ids, one task per range; small files are
+executor mount under the same path. The columns are those of all files together, by name; one that a file lacks is NULL
+for its rows, and one that two files declare with different types is refused. A large file is split into ranges of row ids, one task per range; small files are
 read several per task and not even opened for planning. The columns and the condition that SQLite should apply are
 given to the read. Filters are not pushed by Spark on its own: in Spark 4.1 a Python source with pushed filters keeps
 those of one query for the next query over the same DataFrame.
@@ -40,6 +41,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FILE_PATTERNS = ("*.db", "*.sqlite", "*.sqlite3")
 BYTES_PER_PARTITION = 64 << 20
+#: From this many files on, their columns are looked up by a Spark job instead of one after the other.
+FILES_FOR_A_JOB = 64
 FETCH_ROWS = 20_000
 
 
@@ -70,15 +73,23 @@ def read_sqlite(
         reader = reader.option("where", where).option("params", json.dumps(list(params or [])))
     if num_partitions:
         reader = reader.option("numPartitions", str(num_partitions))
+    schema = merged_schema(_declared_in(spark, database_files(path), table), typing == "text")
     if columns:
-        known = {field.name: field for field in reader.load().schema}
-        reader = reader.schema(T.StructType([known[name] for name in columns]))
-    return reader.load()
+        known = {field.name: field for field in schema}
+        schema = T.StructType([known[name] for name in columns])
+    return reader.schema(schema).load()
 
 
 def write_sqlite(df: DataFrame, path: str, table: str) -> int:
-    """Append ``df`` to the folder ``path``, one new database file per task; returns the number of rows written."""
-    use_sqlite(df.sparkSession)
+    """Append ``df`` to the folder ``path``, one new database file per task; returns the number of rows written.
+
+    Refused if the folder's files declare a column of the same name with another type.
+    """
+    spark = df.sparkSession
+    use_sqlite(spark)
+    if os.path.isdir(local_path(path)) and (files := _existing_files(local_path(path))):
+        own = ("the new rows", [(field.name, sqlite_type(field.dataType)) for field in df.schema])
+        merged_schema([*_declared_in(spark, files, table), own], False)
     counted = Observation()
     rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     rows.write.format("sqlite").mode("append").option("path", path).option("table", table).save()
@@ -91,13 +102,8 @@ class SqliteDataSource(DataSource):
         return "sqlite"
 
     def schema(self) -> T.StructType:
-        path = database_files(self.options["path"])[0]
-        text_only = self.options.get("typing", "declared") == "text"
-        with connect(path) as connection:
-            declared = declared_columns(connection, self.options["table"])
-        return T.StructType(
-            [T.StructField(name, T.StringType() if text_only else spark_type(kind)) for name, kind in declared]
-        )
+        files, table = database_files(self.options["path"]), self.options["table"]
+        return merged_schema([declared_in(path, table) for path in files], self.options.get("typing", "declared") == "text")
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return SqliteReader(schema, self.options)
@@ -183,9 +189,12 @@ class SqliteReader(DataSourceReader):
         if piece.rowid:
             conditions.append(f"{piece.rowid} BETWEEN ? AND ?")
             values += [piece.low, piece.high]
-        names = ", ".join(identifier(name) for name, _ in self.columns)
         where = f" WHERE {' AND '.join(conditions)}" if conditions else ""
         with connect(piece.path) as connection:
+            present = {name.lower() for name, _ in declared_columns(connection, self.table)}
+            # with the table before it, a name that is no column is an error and never a text
+            own = [f"{identifier(self.table)}.{identifier(n)}" if n.lower() in present else "NULL" for n, _ in self.columns]
+            names = ", ".join(own) or "NULL"
             cursor = connection.execute(f"SELECT {names} FROM {identifier(self.table)}{where}", values)
             while rows := cursor.fetchmany(FETCH_ROWS):
                 arrays = [self._array(i, cells) for i, cells in enumerate(zip(*rows))]
@@ -325,6 +334,42 @@ def declared_columns(connection: sqlite3.Connection, table: str) -> list[tuple[s
     return found
 
 
+def declared_in(path: str, table: str) -> tuple[str, list[tuple[str, str]]]:
+    with connect(path) as connection:
+        return path, declared_columns(connection, table)
+
+
+def _declared_in(spark: SparkSession, files: list[str], table: str) -> list[tuple[str, list[tuple[str, str]]]]:
+    """The columns that each file declares; of many files, one example of each different list."""
+    if len(files) < FILES_FOR_A_JOB:
+        return [declared_in(path, table) for path in files]
+
+    def look(batches):
+        for batch in batches:
+            found = [declared_in(path, table) for path in batch.column(0).to_pylist()]
+            lists = pa.array([json.dumps(columns) for _, columns in found], pa.string())
+            yield pa.record_batch([pa.array([path for path, _ in found], pa.string()), lists], names=["path", "columns"])
+
+    paths = spark.createDataFrame([(path,) for path in files], "path string").repartition(max(1, len(files) // 16))
+    seen = paths.mapInArrow(look, "path string, columns string").groupBy("columns").agg(F.min("path").alias("path"))
+    return sorted((r.path, [tuple(c) for c in json.loads(r.columns)]) for r in seen.collect())
+
+
+def merged_schema(declared: list[tuple[str, list[tuple[str, str]]]], text_only: bool) -> T.StructType:
+    """All columns by name (case does not matter, as in SQLite), in the order in which they first appear."""
+    fields: dict[str, tuple[T.StructField, str]] = {}
+    for path, columns in declared:
+        for name, kind in columns:
+            field = T.StructField(name, T.StringType() if text_only else spark_type(kind))
+            known, first = fields.setdefault(name.lower(), (field, path))
+            if known.dataType != field.dataType:
+                raise ValueError(
+                    f"column {name} is {known.dataType.simpleString()} in {first} and "
+                    f"{field.dataType.simpleString()} in {path}; read them with typing=\"text\" or one by one"
+                )
+    return T.StructType([field for field, _ in fields.values()])
+
+
 def spark_type(declared: str) -> T.DataType:
     """Column type for a declared SQLite type: dates and booleans by name, the rest by SQLite's affinity rules."""
     kind = declared.upper()

@@ -60,3 +60,9 @@ def test_dump_is_one_map_only_stage(spark, tmp_path, capsys):
     assert "Exchange" not in plan and "Python" not in plan
     dump.write.text(str(tmp_path / "dump"))
     assert spark.read.text(str(tmp_path / "dump")).count() == df.count()
+
+
+def test_odd_column_names_are_quoted(spark):
+    df = spark.sql("SELECT 1 AS `a b`, 2 AS `C\"d]`, 3 AS plain_1")
+    assert to_insert_statements(df, "s.t").first().stmt == 'INSERT INTO s.t ("a b", "C""d]", plain_1) VALUES (1, 2, 3);'
+    assert to_insert_statements(df, "t", "mssql").first().stmt == 'INSERT INTO t ([a b], [C"d]]], plain_1) VALUES (1, 2, 3);'

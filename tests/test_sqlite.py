@@ -201,3 +201,54 @@ def test_small_files_share_tasks_and_large_files_are_split(spark, tmp_path):
         read = use.option("bytesPerPartition", str(per_task)).load()
         assert read.rdd.getNumPartitions() in tasks
         assert read.count() == 20_000 and read.select("id").distinct().count() == 20_000
+
+
+@pytest.mark.parametrize("order", [(0, 1), (1, 0)])
+def test_files_of_a_folder_may_differ_in_columns(spark, tmp_path, order, monkeypatch):
+    from rowmill.sources import sqlite as source
+
+    tables = ["CREATE TABLE t (a INTEGER)", 'CREATE TABLE t (A INTEGER, "odd b" TEXT)']
+    rows = ["INSERT INTO t VALUES (1)", "INSERT INTO t VALUES (2, 'x')"]
+    for k, which in enumerate(order):
+        connection = sqlite3.connect(tmp_path / f"{k}.db")
+        connection.execute(tables[which])
+        connection.execute(rows[which])
+        connection.commit()
+        connection.close()
+    for limit in (64, 1):  # looked up here, or by a job
+        monkeypatch.setattr(source, "FILES_FOR_A_JOB", limit)
+        found = read_sqlite(spark, str(tmp_path), "t")
+        assert [c.lower() for c in found.columns] == ["a", "odd b"]
+        assert sorted((r[0], r[1]) for r in found.collect()) == [(1, None), (2, "x")]
+    only = read_sqlite(spark, str(tmp_path), "t", columns=["odd b"])
+    assert sorted(str(r[0]) for r in only.collect()) == ["None", "x"]
+
+
+def test_conflicting_columns_are_refused(spark, tmp_path):
+    write_sqlite(spark.sql("SELECT 1 AS a"), str(tmp_path), "t")
+    with pytest.raises(ValueError, match="column a is"):
+        write_sqlite(spark.sql("SELECT 'x' AS a"), str(tmp_path), "t")
+    connection = sqlite3.connect(tmp_path / "z.db")
+    connection.execute("CREATE TABLE t (a TEXT)")
+    connection.close()
+    with pytest.raises(ValueError, match="column a is"):
+        read_sqlite(spark, str(tmp_path), "t")
+    assert read_sqlite(spark, str(tmp_path), "t", typing="text").first().a == "1"
+
+
+def test_conditions_and_columns_reach_the_files(spark, tmp_path, monkeypatch):
+    """SQLite gets the two columns and the condition."""
+    from rowmill.sources import copy_table, read_all
+    from rowmill.sources import sqlite as source
+
+    write_sqlite(spark.sql("SELECT id, id * 2 AS n, 'x' AS unused FROM range(10)"), str(tmp_path / "from"), "t")
+    src = {"format": "sqlite", "path": str(tmp_path / "from")}
+    asked = []
+    real = source.read_sqlite
+    monkeypatch.setattr(source, "read_sqlite", lambda *a, **k: asked.append(a[3:]) or real(*a, **k))
+    dst = {"format": "sqlite", "path": str(tmp_path / "to")}
+    assert copy_table(spark, (src, "t"), (dst, "t"), columns=["id", "n"], source_where="n > ?", source_params=[10]) == 4
+    rows = read_all(spark, [("one", src)], "t", columns=["id"], source_where="id = ?", source_params=[3])
+    assert [tuple(r) for r in rows.collect()] == [(3, "one")]
+    assert asked == [(["id", "n"], "n > ?", [10]), (["id"], "id = ?", [3])]
+    assert "Filter (" not in rows._jdf.queryExecution().executedPlan().toString()
