@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..shared import ensure_checkpoint_dir
+from ..shared import stored
 
 
 def running_total(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str) -> DataFrame:
@@ -16,15 +16,10 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], value: Colum
     A plain window sorts all rows of a key in one task. Here the rows are range-partitioned by keys and order, so a
     hot key (or a hot moment of it) spreads over many pieces, and each piece of a key is a window of its own. What
     comes before a piece, the pre-aggregated sums of the earlier ones, joins its window as a row that sorts first.
-    The pieces are checkpointed because both uses must see the same range bounds, also when an executor is lost.
+    The pieces are stored because both uses must see the same range bounds, also when an executor is lost.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    pieces = (
-        df.withColumn("__value", value)
-        .repartitionByRange(*keys, *order)
-        .withColumn("__piece", F.spark_partition_id())
-        .checkpoint()
-    )
+    ranged = df.withColumn("__value", value).repartitionByRange(*keys, *order)
+    pieces = stored(ranged.withColumn("__piece", F.spark_partition_id()), "pieces")
     earlier = W.partitionBy(*keys).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
     before = (
         pieces.groupBy("__piece", *keys)

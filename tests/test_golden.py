@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowmill.operators import delete, execute, insert, select, update
 from rowmill.sources import read_sqlite
 
+# The rows that the expected averages and raises below are worked out from.
 EMPLOYEES = [
     (1, "Alice Johnson", "Engineering", 95000.0),
     (2, "Bob Smith", "Sales", 75000.0),
@@ -55,7 +56,7 @@ def test_products_in_a_sqlite_file(spark, tmp_path):
 def test_average_salary(spark, employees):
     rows = execute(
         spark,
-        f"SELECT department, AVG(salary) AS avg_salary FROM {employees} GROUP BY department ORDER BY avg_salary DESC",
+        f"SELECT e.department, mean(e.salary) AS mean_pay FROM {employees} e GROUP BY 1 ORDER BY 2 DESC",
     ).collect()
     assert [tuple(r) for r in rows] == [("Engineering", 90000.0), ("Marketing", 80000.0), ("Sales", 75000.0)]
 
