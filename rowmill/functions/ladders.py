@@ -1,6 +1,6 @@
 """Typing jobs: find the narrowest column type that fits every value, then cast.
 
-Three ladders, one aggregate pass each (combined per task, then one row per column; the data is not shuffled):
+Three ladders, one aggregate pass each (combined to one row per task; the data is neither shuffled nor multiplied):
 
 - ``sqlite``  bigint, double, string
 - ``mssql``   int, bigint, double, boolean, string
@@ -47,6 +47,7 @@ _TYPES_BY_RANK = {
     "input": ["bigint", "double", "string"],
 }
 _BOOLEAN_RANK = 3
+_RANKS = 8  # more than there are
 
 
 def infer_types(
@@ -59,14 +60,20 @@ def infer_types(
     if ladder not in _TYPES_BY_RANK:
         raise ValueError(f"unknown ladder {ladder!r}, expected one of {sorted(_TYPES_BY_RANK)}")
     names = list(columns or df.columns)
-    values = F.array(*[_source(df, name, ladder) for name in names])
-    # One small expression over (column, value) rows instead of one per column: its generated code stays compilable
-    # however many columns there are, and min and max are combined before the few groups are shuffled.
-    cells = df.select(F.posexplode(values).alias("column", "value"))
-    rank = _json_rank(F.col("value")) if ladder == "input" else _text_rank(F.col("value"), loose)
-    every_column = df.sparkSession.range(len(names)).select(F.col("id").cast("int"), F.lit(None).cast("int"))
-    ranks = cells.select("column", rank.alias("rank")).union(every_column)
-    ends = ranks.groupBy("column").agg(F.min("rank").alias("low"), F.coalesce(F.max("rank"), F.lit(0)).alias("high"))
+    judge = _json_rank if ladder == "input" else lambda value: _text_rank(value, loose)
+    ranks = df.select(*[judge(_source(df, name, ladder)).alias(f"r{i}") for i, name in enumerate(names)])
+    # highest and lowest rank of every column in one row, then that row turned on its side
+    ends = ranks.agg(
+        *[
+            (F.coalesce(F.max(f"r{i}"), F.lit(0)) * _RANKS + F.coalesce(F.min(f"r{i}"), F.lit(0))).alias(f"r{i}")
+            for i in range(len(names))
+        ]
+    )
+    ends = ends.unpivot([], [f"r{i}" for i in range(len(names))], "column", "ends").select(
+        F.substr("column", F.lit(2)).cast("int").alias("column"),
+        F.expr(f"ends div {_RANKS}").cast("int").alias("high"),
+        (F.col("ends") % _RANKS).alias("low"),
+    )
     kind = F.get(F.array(*[F.lit(kind) for kind in _TYPES_BY_RANK[ladder]]), F.col("high"))
     if ladder == "mssql":
         flags_only = (F.col("low") == _BOOLEAN_RANK) & (F.col("high") == _BOOLEAN_RANK)

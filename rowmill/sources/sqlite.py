@@ -16,6 +16,7 @@ those that lost and repeated attempts left. Readers only see final names.
 from __future__ import annotations
 
 import glob
+import heapq
 import json
 import os
 import sqlite3
@@ -44,6 +45,8 @@ BYTES_PER_PARTITION = 64 << 20
 #: From this many files on, their columns are looked up by a Spark job instead of one after the other.
 FILES_FOR_A_JOB = 64
 FETCH_ROWS = 20_000
+#: Ranges of row ids that are looked up for each task, to even out gaps.
+RANGES_PER_TASK = 8
 
 
 def use_sqlite(spark: SparkSession) -> None:
@@ -172,10 +175,35 @@ class SqliteReader(DataSourceReader):
                 low, high = connection.execute(ends).fetchone() if rowid else (None, None)
             except sqlite3.OperationalError:  # a WITHOUT ROWID table
                 return [Piece(path)]
-        if low is None or high is None:  # an empty table, or a view
-            return [Piece(path)]
-        step = -(-(high - low + 1) // wanted)
-        return [Piece(path, rowid, start, min(start + step - 1, high)) for start in range(low, high + 1, step)]
+            if low is None or high is None:  # an empty table, or a view
+                return [Piece(path)]
+            ranges = self._without_gaps(connection, rowid, low, high, wanted)
+        share, pieces, taken_ids = -(-sum(end - start + 1 for start, end in ranges) // wanted), [], 0
+        for start, end in ranges:
+            if not pieces or taken_ids >= share:
+                pieces.append(Piece(path, rowid, start, end))
+                taken_ids = 0
+            pieces[-1].high = end
+            taken_ids += end - start + 1
+        return pieces
+
+    def _without_gaps(self, connection: sqlite3.Connection, rowid: str, low: int, high: int, wanted: int) -> list[tuple]:
+        """Ranges of row ids that begin and end with a row, in order: the widest is cut in the middle, again and again.
+
+        Each cut takes two lookups in the index and leaves out the gap that it falls into, so ids far from the others
+        do not widen a range.
+        """
+        source, ranges = identifier(self.table), [(low - high, low, high)]
+        while len(ranges) < RANGES_PER_TASK * wanted and ranges[0][0] < 0:
+            _, start, end = heapq.heappop(ranges)
+            middle = start + (end - start) // 2
+            below = f"SELECT max({rowid}) FROM {source} WHERE {rowid} BETWEEN ? AND ?"
+            above = f"SELECT min({rowid}) FROM {source} WHERE {rowid} BETWEEN ? AND ?"
+            last = connection.execute(below, (start, middle)).fetchone()[0]
+            first = connection.execute(above, (middle + 1, end)).fetchone()[0]
+            heapq.heappush(ranges, (start - last, start, last))
+            heapq.heappush(ranges, (first - end, first, end))
+        return sorted((start, end) for _, start, end in ranges)
 
     def read(self, partition: Pieces) -> Iterator[pa.RecordBatch]:
         for piece in partition.pieces:

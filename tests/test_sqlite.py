@@ -252,3 +252,15 @@ def test_conditions_and_columns_reach_the_files(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in rows.collect()] == [(3, "one")]
     assert asked == [(["id", "n"], "n > ?", [10]), (["id"], "id = ?", [3])]
     assert "Filter (" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_are_even_in_spite_of_far_row_ids(spark, tmp_path):
+    path = str(tmp_path / "far.db")
+    with sqlite3.connect(path) as db:
+        db.execute("CREATE TABLE t (id INTEGER PRIMARY KEY, v TEXT)")
+        ids = [*range(10_000), 10**9, *range(10**15, 10**15 + 2000)]
+        db.executemany("INSERT INTO t VALUES (?, 'x')", [(i,) for i in ids])
+    df = read_sqlite(spark, path, "t", num_partitions=8)
+    sizes = df.rdd.glom().map(len).collect()
+    assert sum(sizes) == len(ids) and max(sizes) <= 2 * len(ids) / 8
+    assert sorted(r.id for r in df.collect()) == ids
