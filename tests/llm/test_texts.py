@@ -103,6 +103,8 @@ def test_licence_column(spark):
 
 
 PAGES = {
+    "<div class='page with-sidebar'><div class='site-header'>Site, name.</div><div class='post-header'><h1>Title</h1></div><p>Text, text, text.</p>"
+    "<div id='cookie-notice'><p>We use cookies, yes, yes.</p></div></div>": "Title\nText, text, text.",
     "": "",
     "just text": "just text",
     "<p>One, two.<p>Three &amp; four.&lt;": "One, two.\nThree & four.<",
