@@ -113,3 +113,46 @@ def test_components_of_long_chains_and_stars(spark):
     roots = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert roots == {k: 0 for k in range(201)} | {k: 1000 for k in range(1000, 1100)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_isolated_pairs_at_the_similarity_link_and_those_below_do_not(spark):
+    """Pairs of 135 shingles with one block of words replaced: 0.8 exactly or a little less."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=8))
+    rows, below = [], set()
+    for k in range(300):
+        own = [word() for _ in range(139)]  # 135 shingles
+        size = 11 if k % 2 else 12  # words replaced in one block; 4 more shingles hold them: 120 / 150 and 119 / 151
+        start = 20
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(own[:start] + [word() for _ in range(size)] + own[start + size :]))]
+        below |= set() if k % 2 else {2 * k + 1}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in without_near_duplicates(docs, similarity=0.8).collect()}
+    assert kept == {2 * k for k in range(300)} | below
+
+
+@pytest.mark.parametrize("members", [512, 7])
+def test_groups_are_those_of_all_pairs(spark, monkeypatch, members):
+    """Mutants of a few texts, whose similarities lie on both sides of the limit, against brute force."""
+    monkeypatch.setattr(simhash, "MEMBERS_PER_PIECE", members)
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghij", k=8))
+    texts = []
+    for _ in range(3):
+        base = [word() for _ in range(150)]
+        for _ in range(60):
+            own = list(base)
+            for _ in range(rng.randint(1, 7)):
+                own[rng.randrange(150)] = word()
+            texts.append(own)
+    rng.shuffle(texts)
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if group[a] != group[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    kept = {r["doc_id"] for r in without_near_duplicates(docs, similarity=0.8).collect()}
+    assert 3 < len(kept) < len(texts) and kept == set(group)
