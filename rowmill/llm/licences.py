@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -95,7 +97,7 @@ class Templates:
         self.known = np.array(sorted(set().union(*self.sets.values())), dtype=np.uint64)
 
     def matches(self, text: bytes | None) -> list[tuple[str, float, int, int]]:
-        """``(licence, dice, first word, words)`` of the best passage for each licence, without overlapping ones."""
+        """``(licence, dice, first word, words)`` of the passages that match, the better of overlapping ones."""
         grams = bigrams_of(text or b"")
         where = np.flatnonzero(np.isin(grams, self.known)) if len(grams) else np.zeros(0, dtype=np.int64)
         if not len(where):
@@ -111,25 +113,23 @@ class Templates:
             if len(template & present) < least:
                 continue
             own = [p for p, g in zip(places, found) if g in template]
-            best = self._best(every, own, template, least, most)
-            if best:
-                candidates.append((*best, len(template), name))
-        taken: list[tuple[int, int]] = []
-        out = []
-        for dice, start, end, size, name in sorted(candidates, key=lambda c: (-c[0], -c[3], c[1], c[4])):
-            if all(end <= s or start >= e for s, e in taken):
-                taken.append((start, end))
-                out.append((name, dice, start, end - start + 1))
+            passages = sorted(self._passages(every, own, template, least, most), key=lambda p: (-p[0], p[1], p[2]))
+            candidates += [(*p, len(template), name) for p in _apart(passages)]
+        candidates.sort(key=lambda c: (-c[0], -c[3], c[1], c[4]))
+        out = [(name, dice, start, end - start + 1) for dice, start, end, _, name in _apart(candidates)]
         return sorted(out, key=lambda m: (m[2], m[0]))
 
-    def _best(self, grams: list[int], own: list[int], template: frozenset, least: float, most: float) -> tuple | None:
-        """``(dice, start, end)`` of the best run of bigrams ``[start, end)``; it starts and ends with one of the template."""
-        best = None
+    def _passages(
+        self, grams: list[int], own: list[int], template: frozenset, least: float, most: float
+    ) -> Iterator[tuple[float, int, int]]:
+        """``(dice, start, end)`` of the runs of bigrams ``[start, end)`` that match; they start and end with one of the template.
+
+        Of runs with the same start and the same Dice coefficient only the shortest is given: it lies in the others.
+        """
         for k, start in enumerate(own):
-            if best and best[0] == 1.0:
-                break
             seen: set[int] = set()
             common, at = 0, start
+            given: set[float] = set()
             for end in own[k:]:
                 if end + 1 - start > most:
                     break
@@ -139,9 +139,20 @@ class Templates:
                 at = end + 1
                 if common >= least:
                     dice = 2 * common / (len(seen) + len(template))
-                    if dice >= self.least and (best is None or dice > best[0]):
-                        best = (dice, start, end + 1)
-        return best
+                    if dice >= self.least and dice not in given:
+                        given.add(dice)
+                        yield dice, start, end + 1
+
+
+def _apart(passages: list[tuple]) -> Iterator[tuple]:
+    """The passages ``(dice, start, end, ..)`` that overlap none of the given ones before them."""
+    taken: list[tuple[int, int]] = []  # sorted
+    for passage in passages:
+        start, end = passage[1:3]
+        at = bisect_left(taken, (end, end))
+        if not at or taken[at - 1][1] <= start:
+            taken.insert(at, (start, end))
+            yield passage
 
 
 def licences_in(text: Column, templates: dict[str, str] | None = None, least: float = LEAST_DICE) -> Column:
@@ -149,8 +160,8 @@ def licences_in(text: Column, templates: dict[str, str] | None = None, least: fl
 
     Text and templates are lower-cased and cut into words at all but letters and digits; copyright lines of templates
     are left out. A passage matches a licence when the Dice coefficient of their sets of word bigrams is at least
-    ``least``. For each licence the best passage of the whole text is looked for (the first of equal ones); of passages
-    that overlap, the better one stays (then the longer template, the earlier passage, the name). A template that shares
+    ``least``. All matching passages of all licences are looked for; of passages that overlap, the better one stays (then
+    the longer template, the earlier passage, the name), so every notice of a text is given, repeated ones too. A template that shares
     too few bigrams with the text for any passage to match is never compared, nor is a passage with more bigrams (repeats included)
     than a match can have. Null and empty texts have none; an array is never null. Templates of fewer than two words never match.
     """

@@ -96,6 +96,16 @@ def test_licences_by_brute_force():
     assert known.matches(b"all rights reserved " * 20000)[0][:2] == ("All-Rights-Reserved", 1.0)
 
 
+def test_repeated_and_mixed_licences():
+    known = Templates(TEMPLATES, LEAST_DICE)
+    rng = random.Random(12)
+    third, second = TEMPLATES["GPL-3.0-notice"], TEMPLATES["GPL-2.0-notice"].replace("work", "program")
+    found = known.matches(" ".join([third, *words(rng, 20), second, *words(rng, 20), third]).encode())
+    assert [m[0] for m in found] == ["GPL-3.0-notice", "GPL-2.0-notice", "GPL-3.0-notice"]
+    whole = " ".join(" ".join([TEMPLATES["MIT"], *words(rng, 30)]) for _ in range(5))
+    assert [m[:2] for m in known.matches(whole.encode())] == [("MIT", 1.0)] * 5
+
+
 def test_licence_column(spark):
     rows = spark.createDataFrame([(1, "x\nReleased under the MIT License.\ny"), (2, None), (3, "")], "id long, text string")
     found = {r["id"]: r["m"] for r in rows.select("id", licences_in(F.col("text")).alias("m")).collect()}
