@@ -137,6 +137,13 @@ def test_pages(page):
     assert main_text(page) == PAGES[page]
 
 
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_text_beside_the_body_of_an_article(name):
+    lead, body = "A lead, of some words. " * 4, "Long text, with words, and marks. " * 15
+    page = f"<{name}><h1>Title</h1><p>{lead}</p><div><p>{body}</p><p>{body}</p></div><ul><li>one</ul><table><tr><td>2</table></{name}>"
+    assert main_text(page) == "\n".join(["Title", lead.strip(), body.strip(), body.strip(), "one", "2"])
+
+
 def test_page_column(spark):
     rows = spark.createDataFrame([(1, None), (2, "<p>ä, ö.")], "id long, html string")
     assert [r[1] for r in rows.select("id", extracted(F.col("html"))).orderBy("id").collect()] == ["", "ä, ö."]
