@@ -11,6 +11,7 @@ from rowmill.llm.decontaminate import overlaps
 from rowmill.llm.html_text import extracted
 from rowmill.llm.importance import resample
 from rowmill.llm.licences import licences_in
+from rowmill.llm.line_dedup import drop_shared_lines
 from rowmill.llm.mixing import mix, token_estimate
 from rowmill.llm.secrets import candidates, labelled_by_rules, scan
 from rowmill.llm.sharding import row_bytes, shard_by_bytes
@@ -270,3 +271,21 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return scan(documents, labelled, F.col("source")).select(
         "doc_id", "word_at", "nth", F.md5("value").alias("value_md5"), F.round("probability", 6).alias("probability"), "secret"
     )
+
+
+@query(
+    r"""
+    WITH lines AS (SELECT doc_id, unnest(line) AS line, unnest(range(len(line))) AS place
+      FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS line FROM documents)),
+    keyed AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+    shared AS (SELECT key, max(doc_id) AS keep FROM keyed WHERE length(key) >= 20 GROUP BY key
+      HAVING count(DISTINCT doc_id) >= 3),
+    judged AS (SELECT doc_id, place, line, keep IS NOT NULL AND keep <> doc_id AS dropped FROM keyed LEFT JOIN shared USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id"""
+)
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = drop_shared_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
