@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowmill.llm.common import table
+from rowmill.llm.conversation_repair import damaged, repaired_conversations
 from rowmill.llm.decontaminate import overlaps
 from rowmill.llm.html_text import extracted
 from rowmill.llm.importance import resample
 from rowmill.llm.licences import licences_in
 from rowmill.llm.line_dedup import drop_shared_lines
 from rowmill.llm.mixing import mix, token_estimate
+from rowmill.llm.prefix_trie import ended_at, prefix_trie, rebuilt
 from rowmill.llm.secrets import candidates, labelled_by_rules, scan
 from rowmill.llm.sharding import row_bytes, shard_by_bytes
 from rowmill.llm.simhash import near_duplicates
@@ -289,3 +291,55 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = drop_shared_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return repaired_conversations(damaged(conversations), conversations)
+
+
+@query(
+    """
+    WITH table_of AS (SELECT list(c ORDER BY i) AS crcs FROM (
+      SELECT i, list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+      FROM (SELECT unnest(range(256)) AS i))),
+    turns AS (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS item,
+      strlen(coalesce(text, '')) AS size FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (SELECT conv_id, list(item ORDER BY turn NULLS FIRST, item) AS items, list(size ORDER BY turn NULLS FIRST, item) AS sizes
+      FROM turns GROUP BY conv_id),
+    headed AS (SELECT own.*, xor(4294967295, list_reduce(list_prepend(4294967295,
+        list_transform(range(strlen(conv_id::VARCHAR)), lambda i: ord(substr(conv_id::VARCHAR, i + 1, 1))::BIGINT)),
+        lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]))) % 9 AS head FROM own, table_of),
+    made AS (SELECT h.conv_id, list_concat(coalesce(b.items[:head], []), h.items[head + 1:]) AS items,
+      list_concat(coalesce(b.sizes[:head], []), h.sizes[head + 1:]) AS sizes
+      FROM headed h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 5),
+    passed AS (SELECT conv_id, items, sizes, unnest(range(len(items) + 1)) AS depth FROM made),
+    nodes AS (SELECT items[:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(sizes[depth], 0)) AS size,
+      coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(items) = depth), '') AS ends
+      FROM passed GROUP BY ALL),
+    linked AS (SELECT n.*, p.conv_id AS parent_conv_id, p.path AS above FROM nodes n
+      LEFT JOIN nodes p ON n.depth = p.depth + 1 AND p.path = n.path[:n.depth - 1]),
+    children AS (SELECT above AS path, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY above),
+    full_nodes AS (SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN children c USING (path)),
+    sums AS (SELECT path[:up] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * size) AS saved
+      FROM (SELECT *, unnest(range(depth + 1)) AS up FROM full_nodes) GROUP BY path[:up])
+    SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves,
+      saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256 FROM full_nodes JOIN sums USING (path)"""
+)
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    paths, members = rebuilt(table(spark, folder, "conversations"))
+    nodes, met = prefix_trie(paths, members)
+    ends = ended_at(members, met).select(F.col("first").alias("of"), F.col("depth").alias("at"), "ends")
+    joined = nodes.join(ends, (F.col("member") == F.col("of")) & (F.col("depth") == F.col("at")), "left")
+    return joined.select(
+        F.col("member").alias("conv_id"),
+        "depth",
+        F.col("parent").alias("parent_conv_id"),
+        F.col("n_members").alias("n_convs"),
+        "n_children",
+        "n_leaves",
+        F.col("saved").alias("saved_tokens"),
+        F.sha2(F.coalesce("ends", F.lit("")), 256).alias("ends_sha256"),
+    )

@@ -1,0 +1,150 @@
+"""Repairs of conversations against trying all edits, and the query against plain Python."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import pandas as pd
+import pytest
+
+from rowmill.llm import conversation_repair as cr
+from rowmill.llm import plans
+
+BLANK = " \t\n\x0b\x0c\r"
+GRAMMAR = re.compile(r"(s?(ua)+)?")
+
+
+def faults(rows):
+    seen, found = set(), []
+    for _, role, text in rows:
+        kept = text.strip(BLANK)
+        found.append("blank" if not kept else "duplicate" if (role, text) in seen else "truncated" if kept[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return found
+
+
+def every_repair(rows, most):
+    """All edit strings up to a cost, with what they cost and the roles that they leave."""
+    found = faults(rows)
+
+    def go(at, cost, edits, roles):
+        if cost > most:
+            return
+        if at == len(rows):
+            yield cost, edits, roles
+        else:
+            role, more = rows[at][1][:1], 3 * (found[at] == "truncated")
+            yield from go(at + 1, cost + 4, edits + "D", roles)
+            if found[at] not in ("blank", "duplicate"):
+                yield from go(at + 1, cost + more, edits + "K", roles + (role or "-"))
+                for new in "ua":
+                    yield from go(at + 1, cost + 3 + more, edits + "R", roles + new)
+        for new in "ua":
+            yield from go(at, cost + 3, edits + "I", roles + new)
+
+    return go(0, 0, "", "")
+
+
+def code(role, fault):
+    return 4 * ["", "blank", "duplicate", "truncated"].index(fault) + ["", "s", "u", "a"].index(role[:1] if role[:1] in ("s", "u", "a") else "")
+
+
+def test_edits_by_trying_all():
+    rng = random.Random(21)
+    for _ in range(250):
+        rows = [(k, rng.choice(["user", "user", "assistant", "assistant", "system", "tool", ""]), rng.choice(["Yes.", "No", "", "Well!"])) for k in range(rng.randint(0, 5))]
+        codes = bytes(code(role, fault) for (_, role, _), fault in zip(rows, faults(rows)))
+        cost, audit = cr.cheapest(codes)
+        good = [(c, e, r) for c, e, r in every_repair(rows, cost) if GRAMMAR.fullmatch(r)]
+        assert min(good)[:2] == (cost, audit)
+
+
+def plain_repair(codes):
+    """The same dynamic program with all costs kept: cost and edits, walked by suffix strings."""
+    after = {0: (0, ""), 1: (6, "II"), 2: (3, "I"), 3: (0, "")}
+    for one in reversed(codes):
+        base = {s: min((c + after[to][0], e + after[to][1]) for e, c, to in cr._edits(one, s)) for s in range(4)}
+        for _ in range(3):
+            base = {s: min(base[s], (3 + base[cr.NEEDED[s]][0], "I" + base[cr.NEEDED[s]][1])) for s in range(4)}
+        after = base
+    return after[0]
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 3, 4, 8, 9, 10, 99, 100, 101, 700])
+def test_checkpoints_at_every_length(size):
+    rng = random.Random(size)
+    for _ in range(10):
+        codes = bytes(rng.randrange(16) for _ in range(size))
+        assert cr.cheapest(codes) == plain_repair(codes)
+
+
+def expected(rows, ids):
+    """The query in plain Python, from ``(conv_id, turn, role, text)``."""
+    spoilt = []
+    for c, t, role, text in rows:
+        c_, t_, role, text = (" " if v is None else str(v) for v in (c, t, role, text))
+        chance = zlib.crc32(f"{c_}:{t_}".encode()) % 20
+        text = {1: "", 2: re.sub("[.!?]", "", text)}.get(chance, text)
+        spoilt += [(c, t, "user" if chance == 4 else role, text)] * {0: 0, 3: 2}.get(chance, 1)
+    result = {}
+    for c in ids:
+        own = sorted([r[1:] for r in spoilt if r[0] == c], key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256(f"{len(r[1])}:{r[1]}{r[2]}".encode()).hexdigest()))
+        found = faults(own)
+        turns = [t for t, _, _ in own if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        initials = [r[:1] for _, r, _ in own]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit = plain_repair([code(role, fault) for (_, role, _), fault in zip(own, found)])
+        roles, lines, rest = "", [], list(own)
+        for edit in audit:
+            need = "assistant" if roles[-1:] == "u" else "user"
+            row = rest.pop(0) if edit != "I" else (None, "", "")
+            if edit != "D":
+                role, text = (row[1], row[2]) if edit == "K" else (need, row[2])
+                roles += role[0]
+                lines.append(f"{role}:{text}")
+        assert GRAMMAR.fullmatch(roles)
+        result[c] = (gaps, found.count("blank"), found.count("duplicate"), found.count("truncated"), illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return result
+
+
+def answer(spark, folder):
+    names = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+    rows = plans.QUERIES["op12_conversation_repair"](spark, folder).collect()
+    found = {r["conv_id"]: tuple(r[n] for n in names) for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def test_query_by_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    table = pd.read_parquet(f"{folder}/conversations.parquet")
+    rows = [tuple(r) for r in table[["conv_id", "turn", "role", "text"]].itertuples(index=False)]
+    assert answer(spark, folder) == expected(rows, set(table.conv_id))
+
+
+def test_query_with_odd_rows(spark, tmp_path):
+    rng = random.Random(22)
+    rows = []
+    for c in [*range(60), None]:
+        for t in [*range(rng.randint(1, 9)), None]:
+            if rng.random() < 0.8:
+                role = rng.choice(["system", "user", "assistant", "tool", "", None, "user"])
+                rows += [(c, t if rng.random() < 0.9 else 3, role, rng.choice(["Yes.", "No", "", None, " \n", "Ünd?\t", "a. b"]))] * rng.choice([1, 1, 1, 2])
+    rows += [(900, k, rng.choice(["user", "assistant"]), f"Turn {k % 70}{rng.choice(['.', ''])}") for k in range(1500)]
+    spark.createDataFrame([(*r, "x", "y") for r in rows], "conv_id long, turn long, role string, text string, conv string, audit string").repartition(6).write.parquet(
+        str(tmp_path / "conversations.parquet")
+    )
+    assert answer(spark, str(tmp_path)) == expected(rows, {r[0] for r in rows})
+
+
+def test_repaired_rows_and_other_names(spark):
+    rows = [("a", 1, "user", "Hello."), ("a", 2, "user", "Still there?"), ("a", 3, "assistant", " "), ("b", 1, "assistant", "Well"), (None, None, None, None)]
+    talks = spark.createDataFrame(rows, "talk string, n int, who string, said string")
+    names = ("talk", "n", "who", "said")
+    found = cr.repairs(talks, *names)
+    assert {r["talk"]: r["audit"] for r in found.collect()} == {"a": "KRD", "b": "D", None: "D"}
+    again = cr.repaired(talks, found, *names).orderBy("talk", "place").collect()
+    assert [tuple(r) for r in again] == [("a", 0, "user", "Hello.", "K"), ("a", 1, "assistant", "Still there?", "R")]
+    assert cr.repaired(talks.limit(0), found.limit(0), *names).collect() == []
