@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rowmill.llm.common import packed, unpacked, utf8, written
-from rowmill.shared import settle
 
 #: White space that is stripped from both ends of a line before lines are compared.
 BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -43,8 +42,8 @@ def drop_shared_lines(
     Digests of the lines are stored once. Every task of the first job notes a digest in its filter of those seen and,
     when it is there already, in its filter of those seen again; merging keeps in the second what two of the first have
     in common, so a repeated line is always in it. Only digests found there are shuffled, reduced per task to the
-    largest ids of each, and counted exactly. Where the confirmed lines are small they are sent to the texts; else each
-    document meets the list of its own dropped lines in a join.
+    largest ids of each, and counted exactly. Each document that loses lines meets the list of them in a join; a third
+    filter, of those documents' ids, lets the texts of nearly all others stay where they are.
 
     Digests are 128 bits of BLAKE2, so two lines never share one. A null or empty text is one empty line. Rows with the
     same id are one document and all keep or lose a line together; a null id is the smallest one. Columns of ``docs``
@@ -52,18 +51,19 @@ def drop_shared_lines(
     """
     rows = packed(docs, id=docs[f"`{id_column}`"], text=utf8(docs[f"`{text_column}`"]))
     digests = written(_digests(rows.select("id", "text"), least_length), "line-digests")
-    again = docs.sparkSession.sparkContext.broadcast(_seen_again(digests, most_bits))
-    repeats, small = settle(_confirmed(_suspects(digests, again, least_documents), least_documents))
-    if small:
-        known = {bytes(r["digest"]): r["keep"] for r in repeats.collect()}
-        shared = docs.sparkSession.sparkContext.broadcast(known)
-        found = rows.select("row", _without_known(shared, least_length)(F.col("id"), F.col("text")).alias("found"))
-    else:
-        dropped = _dropped(_suspects(digests, again, None), repeats)
-        joined = rows.join(dropped, F.col("id").eqNullSafe(F.col("of")), "left")
-        found = joined.select("row", _without_listed(least_length)(F.col("text"), F.col("dropped")).alias("found"))
+    context = docs.sparkSession.sparkContext
+    again = context.broadcast(_seen_again(digests, most_bits))
+    repeats = written(_confirmed(_suspects(digests, again, least_documents), least_documents), "lines")
+    dropped = written(_dropped(_suspects(digests, again, None), repeats), "dropped")
+    losing = context.broadcast(_losing(dropped, most_bits))
+    all_kept = F.struct(
+        F.coalesce("text", F.lit("").cast("binary")).alias("kept"), _n_lines(F.col("text")).alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")
+    )
+    whole = rows.where(~_may_hold(losing, F.col("id"))).select("row", all_kept.alias("found"))
+    cut = rows.where(_may_hold(losing, F.col("id"))).join(dropped, F.col("id").eqNullSafe(F.col("of")), "left")
+    cut = cut.select("row", _without_listed(least_length)(F.col("text"), F.col("dropped")).alias("found"))
     return unpacked(
-        found,
+        whole.union(cut),
         docs.columns,
         kept_text=F.col("found.kept").cast("string"),
         n_lines=F.col("found.n_lines"),
@@ -139,18 +139,55 @@ def _pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(values), "<u8").reshape(-1, 2), np.repeat(np.arange(len(values)), sizes)
 
 
-def _seen_again(digests: DataFrame, most_bits: int) -> np.ndarray:
-    """The merged filter of digests seen more than once."""
-    keys = digests.agg(F.coalesce(F.sum(F.octet_length("digests")), F.lit(0))).first()[0] // 16
+def _filter_bits(keys: int, most_bits: int) -> int:
     bits = PIECE_BITS
     while bits < min(BITS_PER_KEY * keys, most_bits):
         bits *= 2
+    return bits
+
+
+def _seen_again(digests: DataFrame, most_bits: int) -> np.ndarray:
+    """The merged filter of digests seen more than once."""
+    keys = digests.agg(F.coalesce(F.sum(F.octet_length("digests")), F.lit(0))).first()[0] // 16
+    return _merged(digests, lambda batch: _pairs(batch.column("digests"))[0], _filter_bits(keys, most_bits), True)
+
+
+def _losing(dropped: DataFrame, most_bits: int) -> np.ndarray:
+    """The filter of documents that lose lines."""
+    ids = dropped.select(*_id_hashes(F.col("of")))
+    return _merged(ids, lambda batch: _two_columns(*batch.columns), _filter_bits(ids.count(), most_bits), False)
+
+
+def _id_hashes(own: Column) -> tuple[Column, Column]:
+    return F.xxhash64(own).alias("one"), F.xxhash64(own, F.lit("again")).alias("two")
+
+
+def _two_columns(one: pa.Array, two: pa.Array) -> np.ndarray:
+    return np.stack([column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for column in (one, two)], axis=1)
+
+
+def _may_hold(losing: Broadcast, own: Column) -> Column:
+    @F.arrow_udf("boolean")
+    def held(one: pa.Array, two: pa.Array) -> pa.Array:
+        return pa.array(holds(losing.value, probes(_two_columns(one, two), np.uint64(64 * len(losing.value) - 1))))
+
+    return held(*_id_hashes(own))
+
+
+def _n_lines(text: Column) -> Column:
+    """Line ends of a text in bytes, and one."""
+    without = F.octet_length(F.replace(text.cast("string"), F.lit("\n"), F.lit("")))
+    return F.coalesce(F.octet_length(text) - without + 1, F.lit(1)).cast("long")
+
+
+def _merged(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits: int, repeats: bool) -> np.ndarray:
+    """The second filter (``repeats``) or the first one over all rows; at most MOST_BITS come to the driver."""
     words = PIECE_BITS // 64
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = Filters(bits)
         for batch in batches:
-            filters.add(_pairs(batch.column("digests"))[0])
+            filters.add(hashes_of(batch))
         for piece in range(bits // PIECE_BITS):
             once, twice = (f[piece * words : (piece + 1) * words] for f in (filters.once, filters.twice))
             if once.any():
@@ -164,17 +201,16 @@ def _seen_again(digests: DataFrame, most_bits: int) -> np.ndarray:
                 own = merged.setdefault(piece.as_py(), [np.zeros(words, np.uint64), np.zeros(words, np.uint64)])
                 own[1] |= twice | (own[0] & once)
                 own[0] |= once
-        for piece, (_, twice) in merged.items():
-            if twice.any():
-                yield pa.record_batch([pa.array([piece], pa.int32()), pa.array([twice.tobytes()])], names=["piece", "twice"])
+        for piece, pair in merged.items():
+            yield pa.record_batch([pa.array([piece], pa.int32()), pa.array([pair[repeats].tobytes()])], names=["piece", "bits"])
 
     # few builders, whatever the number of partitions, since each hands on whole filters
-    builders = digests.coalesce(digests.sparkSession.sparkContext.defaultParallelism)
+    builders = rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)
     pieces = builders.mapInArrow(build, "piece int, once binary, twice binary")
-    merged = pieces.repartition(bits // PIECE_BITS, "piece").mapInArrow(merge, "piece int, twice binary")
+    merged = pieces.repartition(bits // PIECE_BITS, "piece").mapInArrow(merge, "piece int, bits binary")
     whole = np.zeros(bits // 64, np.uint64)
-    for row in merged.collect():  # MOST_BITS bounds it
-        whole[row["piece"] * words : (row["piece"] + 1) * words] = np.frombuffer(row["twice"], np.uint64)
+    for row in merged.collect():
+        whole[row["piece"] * words : (row["piece"] + 1) * words] = np.frombuffer(row["bits"], np.uint64)
     return whole
 
 
@@ -245,17 +281,6 @@ def _found(rows: list[tuple[bytes, int, int]]) -> pa.Array:
     return pa.StructArray.from_arrays(arrays, ["kept", "n_lines", "n_dropped"])
 
 
-def _without_known(shared, least_length: int):
-    @F.arrow_udf(_FOUND)
-    def without(ids: pa.Array, texts: pa.Array) -> pa.Array:
-        known, rows = shared.value, []
-        for own, text in zip(ids.to_pylist(), texts):
-            rows.append(_without(text.as_py(), lambda line: (d := digest(line, least_length)) in known and known[d] != own))
-        return _found(rows)
-
-    return without
-
-
 def _without_listed(least_length: int):
     @F.arrow_udf(_FOUND)
     def without(texts: pa.Array, dropped: pa.Array) -> pa.Array:

@@ -36,7 +36,7 @@ def test_against_sql(spark, database, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in plans.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def brute_fingerprint(text: str | None) -> int:
@@ -142,7 +142,7 @@ def test_embeddings_with_odd_values(spark, tmp_path):
 
 @pytest.mark.parametrize("name", sorted(plans.QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    for table in ("documents", "pages", "labels", "benchmark", "embeddings"):
+    for table in ("documents", "pages", "labels", "benchmark", "embeddings", "conversations"):
         spark.read.parquet(f"{FOLDER}/{table}.parquet").limit(0).write.parquet(str(tmp_path / f"{table}.parquet"))
     assert plans.QUERIES[name](spark, str(tmp_path)).collect() == []
 
@@ -152,7 +152,7 @@ def test_nulls_repeats_and_other_columns(spark, tmp_path, name):
     """Null in any column, rows twice, and columns that are named like the operators' own."""
     from pyspark.sql import functions as F
 
-    for table in ("documents", "pages", "labels", "benchmark", "embeddings"):
+    for table in ("documents", "pages", "labels", "benchmark", "embeddings", "conversations"):
         some = spark.read.parquet(f"{FOLDER}/{table}.parquet").limit(60)
         nulls = some.limit(8).select(*(F.when(F.expr(f"{k} <> pmod(hash(*), 3)"), F.col(c)).alias(c) for k, c in enumerate(some.columns)))
         empty = some.limit(1).select(*(F.lit(None).cast(t).alias(c) for c, t in some.dtypes))
