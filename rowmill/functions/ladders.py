@@ -1,16 +1,21 @@
 """Typing jobs: find the narrowest column type that fits every value, then cast.
 
-Three ladders, one aggregate pass each (combined per task, then one row per column; the data is not shuffled):
+Four ladders, one aggregate pass each (combined per task, then one row per column; the data is not shuffled):
 
 - ``sqlite``  bigint, double, string
 - ``mssql``   int, bigint, double, boolean, string
 - ``input``   bigint, double, string over JSON values; mixed whole and fractional numbers widen to double,
   any text makes the column string
+- ``stored``  bigint, double, string, binary, variant over values in the classes in which a file stores them
 
 ``sqlite`` and ``mssql`` judge text columns by content: the text must be the number and nothing else (no blanks, no
 words such as ``NaN``), written so that the number gives the text back: ``00501``, ``+1``, ``1.50`` and numbers with
 more digits than their type holds are text. ``loose=True`` takes those for numbers too, and loses how they were written.
 ``input`` judges each VARIANT value by its kind: ``69`` is a number, ``"69"`` is text; text columns are text.
+
+``stored`` also judges VARIANT values by their kind and keeps every one of them: whole numbers are bigint, also beside
+reals double as long as a double holds them; where it does not, and beside any text, the column is string; bytes alone
+are binary, and bytes beside anything else leave the column VARIANT.
 """
 
 from __future__ import annotations
@@ -45,7 +50,10 @@ _TYPES_BY_RANK = {
     "sqlite": ["bigint", "bigint", "double", "string", "string"],
     "mssql": ["int", "bigint", "double", "string", "string"],
     "input": ["bigint", "double", "string"],
+    "stored": ["bigint", "bigint", "double", "string", "binary"],
 }
+#: Ranks of ``stored`` that decide together: whole numbers beyond a double's reach, reals, text, bytes.
+_WIDE, _REAL, _TEXT, _BYTES = 1, 2, 3, 4
 _BOOLEAN_RANK = 3
 
 
@@ -63,14 +71,22 @@ def infer_types(
     # One small expression over (column, value) rows instead of one per column: its generated code stays compilable
     # however many columns there are, and min and max are combined before the few groups are shuffled.
     cells = df.select(F.posexplode(values).alias("column", "value"))
-    rank = _json_rank(F.col("value")) if ladder == "input" else _text_rank(F.col("value"), loose)
+    ranked = {"input": _json_rank, "stored": _stored_rank}.get(ladder, lambda value: _text_rank(value, loose))
+    rank = ranked(F.col("value"))
     every_column = df.sparkSession.range(len(names)).select(F.col("id").cast("int"), F.lit(None).cast("int"))
     ranks = cells.select("column", rank.alias("rank")).union(every_column)
-    ends = ranks.groupBy("column").agg(F.min("rank").alias("low"), F.coalesce(F.max("rank"), F.lit(0)).alias("high"))
+    seen = F.coalesce(F.bit_or(F.expr("shiftleft(1, rank)")), F.lit(1))
+    ends = ranks.groupBy("column").agg(
+        F.min("rank").alias("low"), F.coalesce(F.max("rank"), F.lit(0)).alias("high"), seen.alias("seen")
+    )
     kind = F.get(F.array(*[F.lit(kind) for kind in _TYPES_BY_RANK[ladder]]), F.col("high"))
     if ladder == "mssql":
         flags_only = (F.col("low") == _BOOLEAN_RANK) & (F.col("high") == _BOOLEAN_RANK)
         kind = F.when(flags_only, F.lit("boolean")).otherwise(kind)
+    if ladder == "stored":
+        both = lambda *ranks: F.col("seen").bitwiseAND(sum(1 << r for r in ranks)) == sum(1 << r for r in ranks)
+        mixed = (F.col("high") == _BYTES) & (F.col("low") < _BYTES)
+        kind = F.when(mixed, F.lit("variant")).when((F.col("high") == _REAL) & both(_WIDE, _REAL), F.lit("string")).otherwise(kind)
     name = F.get(F.array(*[F.lit(name) for name in names]), F.col("column"))
     return ends.select(name.alias("column_name"), kind.alias("type"))
 
@@ -81,7 +97,7 @@ def apply_types(df: DataFrame, types: DataFrame | dict[str, str], ladder: str =
     ``types`` is the result of :func:`infer_types` (one row per column is fetched) or a plain dict.
     """
     chosen = types if isinstance(types, dict) else {row.column_name: row.type for row in types.collect()}
-    convert = _json_value if ladder == "input" else _text_value
+    convert = {"input": _json_value, "stored": _stored_value}.get(ladder, _text_value)
     return df.select(
         *[
             convert(_source(df, name, ladder), chosen[name]).alias(name) if name in chosen else _quote(name)
@@ -108,7 +124,7 @@ def _quote(name: str) -> Column:
 def _source(df: DataFrame, name: str, ladder: str) -> Column:
     """The column as the ladder reads it: text, or for ``input`` a VARIANT; a text column becomes one of strings."""
     column = _quote(name)
-    if ladder != "input":
+    if ladder not in ("input", "stored"):
         return column
     if isinstance(df.schema[name].dataType, T.VariantType):
         return column
@@ -164,6 +180,22 @@ def _json_rank(value: Column) -> Column:
     )
 
 
+def _stored_rank(value: Column) -> Column:
+    """0 is a whole number that a double holds, 1 another whole one, 2 a real, 3 text or what has a text, 4 bytes."""
+    kind = F.schema_of_variant(value)
+    number = F.try_variant_get(value, "$", "bigint")
+    return (
+        F.when(kind == "BIGINT", F.when(number.between(-(2**53), 2**53), 0).otherwise(_WIDE))
+        .when(kind.isin("DOUBLE", "FLOAT"), _REAL)
+        .when(kind == "BINARY", _BYTES)
+        .when(kind != "VOID", _TEXT)
+    )
+
+
+def _stored_value(value: Column, kind: str) -> Column:
+    return value if kind == "variant" else F.variant_get(value, "$", kind)
+
+
 def _json_value(value: Column, kind: str) -> Column:
     json_kind = F.schema_of_variant(value)
     bit = F.try_variant_get(value, "$", "boolean").cast("int")

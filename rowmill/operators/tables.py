@@ -27,12 +27,18 @@ from functools import reduce
 from urllib.parse import unquote, urlparse
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..shared import settle, stored
+from .bloom import might_hold
 from .constraints import ConstraintViolation, check_constraints
 from .reads import Params, filter_rows, over_view
 
+#: The column that holds the bucket of a row's key, in tables created with buckets.
+BUCKET = "key_bucket"
+_BUCKET_KEY, _BUCKET_COUNT = "rowmill.bucket.key", "rowmill.bucket.count"
+#: Key types of buckets: those whose equal values have equal hashes.
+_HASHABLE = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)
 _HITS = "__hits"
 _SNAPSHOT = "/_snapshot-"
 _MARKER, _INTENT = "/_change-in-progress", "/_intent.json"
@@ -54,17 +60,24 @@ def insert(
     location: str | None = None,
     not_null: Sequence[str] = (),
     key: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> int:
     """Append ``df`` by column name; columns it lacks take their default or NULL. Returns the number of rows.
 
     ``create`` makes the table first if it is absent (parquet, partitioned by ``partition_by``). With ``not_null`` or
     ``key`` the batch is checked first and refused whole (:class:`ConstraintViolation`) if any row breaks them. The
     insert commits as one: a failed job leaves the table as it was.
+
+    A table created with ``buckets`` is partitioned by a further column ``key_bucket`` as well, a hash of its ``key``
+    modulo that number. Inserts fill it, and changes that name the whole key read and rewrite the key's bucket alone;
+    take as many buckets as make one a few hundred megabytes. All rows must come in through these functions.
     """
     spark = df.sparkSession
     if create:
-        _create(spark, table, df, partition_by, location)
+        _create(spark, table, df, partition_by, location, key, buckets)
     target = _describe(spark, table)
+    if target.buckets:
+        df = df.drop(BUCKET).withColumn(BUCKET, target.buckets.of(spark.table(table), df.columns))
     with _changing(spark, target) if target.location else nullcontext():
         if not_null or key:
             df = stored(df, "batch")  # what is checked is what is inserted
@@ -104,8 +117,11 @@ def update(
     new = {}
     for name, value in assignments.items():
         column = _resolve(df, name)
+        if target.buckets and column == BUCKET:
+            raise ValueError(f"{BUCKET} follows from the key and cannot be set")
         expression = F.expr(value) if isinstance(value, str) else value if isinstance(value, Column) else F.lit(value)
         new[column] = _fitted(expression, df.schema[column])
+    _move_bucket(target, df, new)
 
     def assigned(hit: Column) -> list[Column]:
         # one select, so that every expression sees the old row
@@ -114,7 +130,7 @@ def update(
     return _change(
         spark,
         target,
-        matching=lambda rows: filter_rows(rows, where, params),
+        matching=lambda rows: _in_bucket(target, filter_rows(rows, where, params)),
         moved={p: new[p] for p in target.partitions if p in new},
         marked=lambda rows: _marked(rows, where, params),
         result=lambda rows: rows.select(*assigned(F.col(_HITS) > 0)),
@@ -130,10 +146,11 @@ def delete(
     Rows for which the predicate is NULL stay.
     """
     spark = spark or SparkSession.active()
+    target = _describe(spark, table, to_change=True)
     return _change(
         spark,
-        _describe(spark, table, to_change=True),
-        matching=lambda rows: filter_rows(rows, where, params),
+        target,
+        matching=lambda rows: _in_bucket(target, filter_rows(rows, where, params)),
         moved={},
         marked=lambda rows: _marked(rows, where, params),
         result=lambda rows: rows.where(F.col(_HITS) == 0).drop(_HITS),
@@ -171,24 +188,33 @@ def execute_many(
         if ordinal is None:
             raise ValueError("update needs an ordinal column, the order in which the sets apply")
     new_names = {_resolve(df, c): c for c in values}
+    places = [F.col(c).alias(f"__k{i}") for i, c in enumerate(key)]
+    given = params_df.dropna(subset=list(key))
     last = []
     if values:
         typed = [F.col(_name(c)).cast(df.schema[column].dataType).alias(c) for column, c in new_names.items()]
-        order = F.col(_name(ordinal))
-        last = [F.max_by(F.struct(*typed), order).alias("__last"), F.count_distinct(order).alias("__places")]
-    sets, _ = settle(
-        params_df.dropna(subset=list(key))
-        .groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key)])
-        .agg(F.count(F.lit(1)).alias("__sets"), *last)
-    )
+        last = [F.max_by(F.struct(*typed), F.col(_name(ordinal))).alias("__last")]
+    sets, small = settle(given.groupBy(*places).agg(F.count(F.lit(1)).alias("__sets"), *last))
     if values:
-        unordered = sets.where("__places <> __sets").select(*[f"__k{i}" for i in range(len(key))]).first()
-        if unordered:
-            raise ValueError(f"{ordinal} must number the sets of a key, but is NULL or repeated for {tuple(unordered)}")
+        _refuse_unordered(given, sets, places, ordinal)
     same = reduce(lambda a, b: a & b, [F.col(_name(c)) == F.col(f"__k{i}") for i, c in enumerate(key)])
+    if target.buckets and (bucket := target.buckets.of_sets(df, sets, key)) is not None:
+        sets, same = sets.withColumn("__bucket", bucket), same & (F.col(BUCKET) == F.col("__bucket"))
+        sets = F.broadcast(sets) if small else sets
     new = {c: _fitted(F.col(f"__last.{_name(p)}"), df.schema[c]) for c, p in new_names.items()}
+    _move_bucket(target, df, new)
+    moved = {p: new[p] for p in target.partitions if p in new}
     hit = F.col("__sets").isNotNull()
     counted = F.coalesce("__sets", F.lit(0)) if kind == "update" else hit.cast("long")
+    no_match = [F.lit(None).cast(field.dataType).alias(field.name) for field in sets.schema]
+    may_match = None if small else might_hold(sets, _comparable(df, sets, key))
+
+    def marked(rows: DataFrame) -> DataFrame:
+        if may_match is None:
+            return rows.join(sets, same, "left").withColumn(_HITS, counted)
+        # only rows whose key the filter knows are shuffled to meet the sets
+        met = rows.where(may_match).join(sets, same, "left")
+        return met.unionByName(rows.where(~may_match).select("*", *no_match)).withColumn(_HITS, counted)
 
     def updated(rows: DataFrame) -> DataFrame:
         return rows.select(*[_assigned(c, hit, new) for c in df.columns])
@@ -196,13 +222,40 @@ def execute_many(
     return _change(
         spark,
         target,
-        matching=lambda rows: rows.join(sets, same),
-        moved={p: new[p] for p in target.partitions if p in new},
-        marked=lambda rows: rows.join(sets, same, "left").withColumn(_HITS, counted),
+        # without new partitions the filter tells well enough where matches lie: a partition too many is only rewritten
+        matching=lambda rows: rows.where(may_match) if may_match is not None and not moved else rows.join(sets, same),
+        moved=moved,
+        marked=marked,
         result=updated if kind == "update" else lambda rows: rows.where(~hit).select(*df.columns),
     )
 
 
+def _refuse_unordered(given: DataFrame, sets: DataFrame, places: list[Column], ordinal: str) -> None:
+    """Refuse sets whose order is not clear. Only where keys are named more than once are their places compared."""
+    order = F.col(_name(ordinal))
+    unclear = given.where(order.isNull())
+    if not sets.where("__sets > 1").isEmpty():
+        unclear = given.groupBy(*places, order.alias("__place")).count().where("`count` > 1 OR __place IS NULL")
+    else:
+        unclear = unclear.select(*places)
+    found = unclear.first()
+    if found:
+        raise ValueError(f"{ordinal} must number the sets of a key, but is NULL or repeated for {tuple(found)[: len(places)]}")
+
+
+def _comparable(df: DataFrame, sets: DataFrame, key: Sequence[str]) -> list[tuple[Column, Column]] | None:
+    """Key columns of the table and of the sets in a common type in which equal values have equal hashes, or none."""
+    pairs = []
+    for i, c in enumerate(key):
+        kinds = (df.schema[_resolve(df, c)].dataType, sets.schema[f"__k{i}"].dataType)
+        whole = all(isinstance(kind, T.IntegralType) for kind in kinds)
+        if not whole and (kinds[0] != kinds[1] or not _hashable(kinds[0])):
+            return None
+        pair = (F.col(_name(c)), F.col(f"__k{i}"))
+        pairs.append(tuple(column.cast("bigint") for column in pair) if whole else pair)
+    return pairs
+
+
 def vacuum(table: str, spark: SparkSession | None = None) -> int:
     """Delete the files that the table no longer points at, the first snapshot's too; returns how many folders.
 
@@ -260,6 +313,46 @@ def recover(table: str, spark: SparkSession | None = None) -> bool:
 # --- how a change is carried out ----------------------------------------------------------------------------------
 
 
+@dataclass
+class _Buckets:
+    """The hash of a key's columns, modulo a number, that a table is partitioned by."""
+
+    key: list[str]
+    count: int
+
+    def _number(self, columns: list[Column]) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(self.count)).cast("int")
+
+    def of(self, table: DataFrame, present: Sequence[str], new: dict[str, Column] | None = None) -> Column:
+        """The bucket of rows with these columns, by the table's types; ``new`` values take the place of old ones."""
+        values = {c.lower(): F.col(_name(c)) for c in present} | {c.lower(): v for c, v in (new or {}).items()}
+        return self._number([values.get(c.lower(), F.lit(None)).cast(table.schema[c].dataType) for c in self.key])
+
+    def of_sets(self, table: DataFrame, sets: DataFrame, key: Sequence[str]) -> Column | None:
+        """The bucket of parameter sets, if their key says it for sure."""
+        places = {_resolve(table, c): f"__k{i}" for i, c in enumerate(key)}
+        if not set(self.key) <= set(places) or any(sets.schema[places[c]].dataType != table.schema[c].dataType for c in self.key):
+            return None
+        return self._number([F.col(places[c]) for c in self.key])
+
+
+def _hashable(kind: T.DataType) -> bool:
+    return isinstance(kind, _HASHABLE) or kind == T.StringType()
+
+
+def _in_bucket(target: _Target, rows: DataFrame) -> DataFrame:
+    """Rows of a filter, with what follows from it for the bucket: where it fixes the key, one partition is left.
+
+    The condition holds for every row; Spark puts a key's constant into it and prunes by the result.
+    """
+    return rows.where(F.col(BUCKET) == target.buckets.of(rows, target.buckets.key)) if target.buckets else rows
+
+
+def _move_bucket(target: _Target, table: DataFrame, new: dict[str, Column]) -> None:
+    if target.buckets and set(new) & set(target.buckets.key):
+        new[BUCKET] = target.buckets.of(table, target.buckets.key, new)
+
+
 @dataclass
 class _Target:
     name: str
@@ -267,6 +360,7 @@ class _Target:
     location: str
     partitions: list[str]
     options: dict[str, str]
+    buckets: _Buckets | None = None
 
     @property
     def root(self) -> str:
@@ -285,7 +379,9 @@ def _describe(spark: SparkSession, table: str, to_change: bool = False) -> _Targ
     if to_change and facts.get("provider") not in _REWRITABLE:
         raise ValueError(f"{table} is stored as {facts.get('provider')}; only {', '.join(_REWRITABLE)} can be changed")
     options = {k: v for k, v in (facts.get("storage_properties") or {}).items() if k not in ("path", "serialization.format")}
-    return _Target(table, facts.get("provider", ""), facts.get("location", ""), partitions, options)
+    known = facts.get("table_properties") or {}
+    buckets = _Buckets(json.loads(known[_BUCKET_KEY]), int(known[_BUCKET_COUNT])) if _BUCKET_KEY in known else None
+    return _Target(table, facts.get("provider", ""), facts.get("location", ""), partitions, options, buckets)
 
 
 @contextmanager
@@ -317,11 +413,27 @@ def _fitted(value: Column, field) -> Column:
     return F.when(F.length(short) > length, problem).otherwise(short)
 
 
-def _create(spark: SparkSession, table: str, df: DataFrame, partition_by: Sequence[str], location: str | None) -> None:
-    columns = ", ".join(f"{_name(field.name)} {field.dataType.simpleString()}" for field in df.schema)
+def _create(
+    spark: SparkSession,
+    table: str,
+    df: DataFrame,
+    partition_by: Sequence[str],
+    location: str | None,
+    key: Sequence[str],
+    buckets: int | None,
+) -> None:
+    fields = [f"{_name(field.name)} {field.dataType.simpleString()}" for field in df.schema if not (buckets and field.name == BUCKET)]
+    partition_by, properties = list(partition_by), ""
+    if buckets:
+        key = [_resolve(df, c) for c in key]
+        if not key or any(not _hashable(df.schema[c].dataType) for c in key):
+            raise ValueError("buckets need a key of whole numbers, decimals, text, dates, times or bytes")
+        fields.append(f"{_name(BUCKET)} int")
+        partition_by.append(BUCKET)
+        properties = f" TBLPROPERTIES ({_text(_BUCKET_KEY)} = {_text(json.dumps(key))}, {_text(_BUCKET_COUNT)} = '{buckets}')"
     partitioned = f" PARTITIONED BY ({', '.join(_name(c) for c in partition_by)})" if partition_by else ""
     at = f" LOCATION {_text(location)}" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{partitioned}{at}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(fields)}) USING parquet{partitioned}{at}{properties}")
 
 
 def _assigned(column: str, hit: Column, new: dict[str, Column]) -> Column:

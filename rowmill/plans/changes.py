@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import check_constraints, delete, execute, execute_many, insert, update
+from ..operators import BUCKET, check_constraints, delete, execute, execute_many, insert, update
 from ..shared import run_folder
 from .tables import load
 
@@ -29,10 +29,11 @@ def query(name: str, oracle: str):
     return register
 
 
-def fresh_table(df: DataFrame, partition_by: Sequence[str] = ()) -> str:
+def fresh_table(df: DataFrame, partition_by: Sequence[str] = (), key: Sequence[str] = (), buckets: int | None = None) -> str:
     """A new Spark table with the rows of ``df``, its files in the shared folder."""
     name = f"changes_{uuid.uuid4().hex}"
-    insert(name, df, create=True, partition_by=partition_by, location=run_folder(df.sparkSession, name))
+    location = run_folder(df.sparkSession, name)
+    insert(name, df, create=True, partition_by=partition_by, location=location, key=key, buckets=buckets)
     return name
 
 
@@ -99,6 +100,20 @@ def update_partitioned(spark: SparkSession, folder: str) -> DataFrame:
     return after(spark, table, changed)
 
 
+@query(
+    "update_keyed",
+    """SELECT o_orderkey, CASE WHEN o_orderkey IN (7, 64) THEN 0 ELSE o_custkey END AS o_custkey, o_orderstatus, o_totalprice,
+        o_orderdate, o_orderpriority, (SELECT count(*) FROM orders WHERE o_orderkey IN (7, 64)) AS n_changed
+    FROM orders WHERE o_orderkey <> 33""",
+)
+def update_keyed(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes by key of a table in buckets: each rewrites the key's bucket."""
+    table = fresh_table(load(spark, folder, "orders"), key=["o_orderkey"], buckets=16)
+    changed = sum(update(table, {"o_custkey": 0}, "o_orderkey = ?", [key], spark) for key in (7, 64))
+    delete(table, "o_orderkey = 33", spark=spark)
+    return after(spark, table, changed).drop(BUCKET)
+
+
 @query(
     "delete",
     f"""SELECT {_ORDERS}, (SELECT count(*) FROM orders WHERE o_totalprice > 200000 AND o_orderstatus <> 'O') AS n_changed
@@ -157,6 +172,22 @@ def execute_many_delete(spark: SparkSession, folder: str) -> DataFrame:
     return after(spark, table, execute_many(table, "delete", sets, ["c_custkey"]))
 
 
+@query(
+    "execute_many_keyed",
+    """WITH sets AS (SELECT o_custkey, count(*) AS n, max_by(o_totalprice, o_orderkey) AS price FROM orders
+        WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)
+    SELECT c_custkey, c_name, c_nationkey, CASE WHEN n IS NULL THEN c_acctbal ELSE price END AS c_acctbal, c_mktsegment,
+        (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT') AS n_changed
+    FROM customer LEFT JOIN sets ON o_custkey = c_custkey""",
+)
+def execute_many_keyed(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch of keyed changes over a table in buckets."""
+    table = fresh_table(load(spark, folder, "customer"), key=["c_custkey"], buckets=8)
+    urgent = load(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
+    sets = urgent.selectExpr("o_custkey AS c_custkey", "o_orderkey AS position", "o_totalprice AS c_acctbal")
+    return after(spark, table, execute_many(table, "update", sets, ["c_custkey"], "position")).drop(BUCKET)
+
+
 # stored: the finished orders. batch: the urgent finished orders again, all other orders, the pending ones twice and
 # with the customer missing, and the orders of low priority without a key
 _BATCH = """

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import apply_types, infer_types
 from ..operators import execute
@@ -158,6 +158,60 @@ def scan_sqlite_merged(spark: SparkSession, folder: str) -> DataFrame:
     return read_sqlite(spark, path, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
 
 
+_CLASSES = {
+    "id": "c_custkey",
+    "code": "CAST(c_nationkey AS {text})",
+    "amount": "CASE WHEN c_custkey % 2 = 0 THEN {whole} ELSE {real} END",
+    "label": "CASE WHEN c_custkey % 3 = 0 THEN {whole} WHEN c_custkey % 3 = 1 THEN {real} ELSE {words} END",
+    "bytes": "{blob}",
+    "rare": "CASE WHEN c_custkey = 7 THEN {words} ELSE {whole} END",
+    "nothing": "{null}",
+}
+
+
+def _stored_copy(spark: SparkSession, folder: str) -> str:
+    """Customers in files whose columns hold whole numbers, reals, text and bytes beside each other."""
+    parts = {
+        "whole": "CAST(c_nationkey AS variant)",
+        "real": "CAST(c_nationkey + 0.5D AS variant)",
+        "words": "CAST(c_name AS variant)",
+        "blob": "CAST(CAST(c_name AS binary) AS variant)",
+        "null": "CAST(NULL AS variant)",
+        "text": "string",
+    }
+    columns = [f"CAST({sql.format(**parts)} AS variant) AS {name}" for name, sql in _CLASSES.items()]
+    path = run_folder(spark, "sqlite-classes")
+    write_sqlite(load(spark, folder, "customer").selectExpr(*columns), path, "customer")
+    return path
+
+
+@query(
+    "infer_stored",
+    """SELECT * FROM (VALUES ('id', 'bigint'), ('code', 'string'), ('amount', 'double'), ('label', 'string'), ('bytes', 'binary'),
+        ('rare', (SELECT CASE WHEN count(*) > 0 THEN 'string' ELSE 'bigint' END FROM customer WHERE c_custkey = 7)),
+        ('nothing', 'bigint')) AS t(column_name, type)""",
+)
+def infer_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Column types by the classes in which the values are stored: text that looks like a number stays text."""
+    return infer_types(read_sqlite(spark, _stored_copy(spark, folder), "customer", typing="stored"), "stored")
+
+
+@query(
+    "scan_sqlite_stored",
+    """SELECT c_custkey AS id, CAST(c_nationkey AS VARCHAR) AS code,
+        CASE WHEN c_custkey % 2 = 0 THEN c_nationkey ELSE c_nationkey + CAST(0.5 AS DOUBLE) END AS amount,
+        CASE WHEN c_custkey % 3 = 0 THEN CAST(c_nationkey AS VARCHAR)
+          WHEN c_custkey % 3 = 1 THEN CAST(c_nationkey + CAST(0.5 AS DOUBLE) AS VARCHAR) ELSE c_name END AS label,
+        c_name AS bytes, CASE WHEN c_custkey = 7 THEN c_name ELSE CAST(c_nationkey AS VARCHAR) END AS rare,
+        CAST(NULL AS BIGINT) AS nothing FROM customer""",
+)
+def scan_sqlite_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Values in the classes in which they are stored, the columns typed by them."""
+    values = read_sqlite(spark, _stored_copy(spark, folder), "customer", typing="stored")
+    typed = apply_types(values, infer_types(values, "stored"), "stored")
+    return typed.withColumn("bytes", typed["bytes"].cast("string"))
+
+
 @query(
     "copy_table",
     """SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders WHERE o_totalprice > 50000) AS n_changed
@@ -192,6 +246,27 @@ def read_all_(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(*wanted, "source")
 
 
+@query(
+    "read_all_mixed",
+    """SELECT p_partkey, CASE WHEN source = 'numbers' THEN CAST(p_size AS VARCHAR) ELSE p_brand END AS label,
+        CASE WHEN source = 'decimals' THEN p_size / CAST(4 AS DOUBLE) ELSE p_size END AS amount, source
+    FROM part, (VALUES ('numbers'), ('texts'), ('decimals')) s(source)""",
+)
+def read_all_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """One table over connections whose types disagree: whole numbers, decimals and text."""
+    part, path = load(spark, folder, "part"), run_folder(spark, "mixed")
+    write_sqlite(part.selectExpr("p_partkey", "p_size AS label", "p_size AS amount"), f"{path}/numbers", "part")
+    part.selectExpr("p_partkey", "p_brand AS label", "p_size AS amount").write.parquet(f"{path}/texts/part")
+    decimals = part.selectExpr("cast(p_partkey AS int) AS p_partkey", "p_brand AS label", "cast(p_size / 4 AS decimal(12, 2)) AS amount")
+    decimals.write.parquet(f"{path}/decimals/part")
+    sources = [
+        ("numbers", {"format": "sqlite", "path": f"{path}/numbers"}),
+        ("texts", {"format": "parquet", "path": f"{path}/texts"}),
+        ("decimals", {"format": "parquet", "path": f"{path}/decimals"}),
+    ]
+    return read_all(spark, sources, "part").withColumn("amount", F.col("amount").cast("double"))
+
+
 @query(
     "report_sources",
     """WITH per_customer AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import json_contains
-from ..operators import execute, recent, running_total, select
+from ..operators import execute, recent, ranked, running_total, select
 from .tables import load, load_views
 
 QUERIES = {}
@@ -230,10 +230,10 @@ same_sql(
 )
 def window(spark: SparkSession, folder: str) -> DataFrame:
     # the bound on the rank is also applied before the shuffle, so few rows of a large group reach its task
-    ranked = W.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    highest = W.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_orderkey")
     return (
         load(spark, folder, "orders")
-        .withColumn("place", F.row_number().over(ranked))
+        .withColumn("place", F.row_number().over(highest))
         .where("place <= 10")
         .select("o_orderpriority", "o_orderkey", "o_totalprice", F.col("place").cast("long").alias("place"))
     )
@@ -253,6 +253,30 @@ def window_running(spark: SparkSession, folder: str) -> DataFrame:
     return totals.select("o_orderkey", "o_orderstatus", F.col("running_price").cast("double").alias("running_price"))
 
 
+@query(
+    "window_ranks",
+    """SELECT o_orderkey, o_orderstatus, row_number() OVER w AS place, rank() OVER t AS tied, dense_rank() OVER t AS moment,
+        lag(o_totalprice) OVER w AS price_before, lead(o_orderkey) OVER w AS next_order
+    FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey),
+        t AS (PARTITION BY o_orderstatus ORDER BY CAST(o_orderdate AS DATE))""",
+)
+def window_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """Places and neighbours in three large groups, each worked on in many pieces."""
+    orders = load(spark, folder, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice", F.to_date("o_orderdate").alias("day")
+    )
+    placed = ranked(
+        orders,
+        ["o_orderstatus"],
+        ["o_orderdate", "o_orderkey"],
+        row_number="place",
+        lag={"price_before": "o_totalprice"},
+        lead={"next_order": "o_orderkey"},
+    )
+    days = ranked(placed.drop("o_orderdate", "o_totalprice"), ["o_orderstatus"], ["day"], rank="tied", dense_rank="moment")
+    return days.drop("day").withColumns({c: F.col(c).cast("long") for c in ("place", "tied", "moment")})
+
+
 same_sql(
     "report_join",
     """SELECT n_name, count(*) AS n_customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS balance

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.reads import Params, select
 from . import jdbc, sqlite
 
+FILE_FORMATS = ("parquet", "orc", "csv", "json")
+_WIDTHS = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4}
+_WHOLE_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 def read_source(
     spark: SparkSession,
@@ -20,21 +23,28 @@ def read_source(
     source_where: str | None = None,
     source_params: list | None = None,
 ) -> DataFrame:
-    """One table of one connection; the ``format`` option picks the source (``jdbc`` when absent, or ``sqlite``).
+    """One table of one connection; the ``format`` option picks the source: ``jdbc`` (when absent), ``sqlite`` or a file
+    format of Spark's, such as ``parquet``, whose tables are the folders or files ``table`` in the folder ``path``.
 
-    ``partition`` splits a JDBC scan; without it one task reads the table. SQLite files are always split. Only
-    ``columns`` leave the source. ``source_where`` is a condition in SQLite's own SQL, with ``?`` for each of
-    ``source_params``, that the files apply before rows reach Spark; over JDBC Spark pushes filters down by itself.
+    ``partition`` splits a JDBC scan; without it the primary key does, or one task reads the table. SQLite files are
+    always split; their option ``typing`` is that of :func:`read_sqlite`. Only ``columns`` leave the source.
+    ``source_where`` is a condition in SQLite's own SQL, with ``?`` for each of ``source_params``, that the files apply
+    before rows reach Spark; for the other sources Spark pushes filters down by itself.
     """
     kind = options.get("format", "jdbc")
     if kind == "sqlite":
-        return sqlite.read_sqlite(spark, options["path"], table, columns, source_where, source_params)
+        typing = options.get("typing", "declared")
+        return sqlite.read_sqlite(spark, options["path"], table, columns, source_where, source_params, typing=typing)
+    if source_where is not None:
+        raise ValueError(f"source_where is for SQLite; Spark pushes filters down to {kind} by itself")
     if kind == "jdbc":
-        if source_where is not None:
-            raise ValueError("source_where is for SQLite; filters on a JDBC scan are pushed down by Spark")
         rows = jdbc.read_table(spark, options, table, partition)
-        return rows.select(*columns) if columns else rows
-    raise ValueError(f"unknown source format {kind!r}")
+    elif kind in FILE_FORMATS:
+        more = {k: v for k, v in options.items() if k not in ("format", "path")}
+        rows = spark.read.format(kind).options(**more).load(f"{options['path'].rstrip('/')}/{table}")
+    else:
+        raise ValueError(f"unknown source format {kind!r}")
+    return rows.select(*columns) if columns else rows
 
 
 def write_source(df: DataFrame, options: dict[str, str], table: str) -> int:
@@ -83,11 +93,83 @@ def read_all(
 ) -> DataFrame:
     """The same table and filter on every connection, one result with the connection's name in ``tag``.
 
-    Columns are matched by name; one that a connection lacks is NULL for its rows. ``columns`` and ``source_where`` are
-    as for :func:`read_source`; ``where`` needs the columns that it names.
+    Columns are matched by name; one that a connection lacks is NULL for its rows. Where connections give a column
+    different types it gets the least type that keeps every value as it is (see :func:`common_type`); where there is
+    none the read is refused and the column and its types are named. ``columns`` and ``source_where`` are as for
+    :func:`read_source`; ``where`` needs the columns that it names, and sees each connection's own types.
     """
     parts = []
     for name, options in sources:
         rows = read_source(spark, options, table, partition, columns, source_where, source_params)
-        parts.append(select(rows, where=where, params=params).withColumn(tag, F.lit(name)))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        parts.append((name, select(rows, where=where, params=params)))
+    kinds: dict[str, list[tuple[str, T.DataType]]] = {}
+    for name, rows in parts:
+        for field in rows.schema:
+            kinds.setdefault(field.name.lower(), []).append((name, field.dataType))
+    agreed = {column: _agreed(column, found) for column, found in kinds.items()}
+    typed = []
+    for name, rows in parts:
+        of = {field.name: agreed[field.name.lower()] for field in rows.schema}
+        same = [_quoted(c) if rows.schema[c].dataType == kind else _quoted(c).cast(kind).alias(c) for c, kind in of.items()]
+        typed.append(rows.select(*same).withColumn(tag, F.lit(name)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), typed)
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _agreed(column: str, found: list[tuple[str, T.DataType]]) -> T.DataType:
+    kind = found[0][1]
+    if any(k == T.StringType() for _, k in found):  # text may hold what no number type does
+        kind = T.StringType()
+    for _, other in found:
+        wider = common_type(kind, other)
+        if wider is None:
+            told = ", ".join(f"{k.simpleString()} in {name}" for name, k in found)
+            raise ValueError(f"column {column} has no common type that keeps its values: {told}")
+        kind = wider
+    return kind
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The least type that holds every value of both without changing it, or None.
+
+    Whole numbers widen to the larger one, to decimals with room for both, and to doubles that hold them all (int, not
+    bigint); decimals to the digits of both before and behind the point. Dates become timestamps, and anything with one
+    clear text becomes text beside text. Doubles beside decimals or bigint, bytes beside text and nested values are not
+    brought together.
+    """
+    if a == b:
+        return a
+    if isinstance(b, T.NullType) or isinstance(a, T.NullType):
+        return a if isinstance(b, T.NullType) else b
+    ranks = [_WIDTHS.get(type(kind)) for kind in (a, b)]
+    if all(ranks):
+        return a if ranks[0] > ranks[1] else b
+    digits = [_digits(kind) for kind in (a, b)]
+    if all(digits):
+        whole, places = max(p - s for p, s in digits), max(s for _, s in digits)
+        return T.DecimalType(whole + places, places) if whole + places <= 38 else None
+    fraction = next((k for k in (a, b) if isinstance(k, (T.FloatType, T.DoubleType))), None)
+    other = b if fraction is a else a
+    if fraction is not None and isinstance(other, (T.FloatType, T.DoubleType)):
+        return T.DoubleType()
+    if fraction is not None and (isinstance(other, (T.ByteType, T.ShortType)) or (isinstance(other, T.IntegerType))):
+        return fraction if not isinstance(other, T.IntegerType) else T.DoubleType()
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(a, times) and isinstance(b, times):
+        later = [k for k in (a, b) if not isinstance(k, T.DateType)]
+        return later[0] if len(later) == 1 else None  # with and without time zone do not mix
+    text = T.StringType()
+    clear = (T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType)
+    if text in (a, b) and isinstance(b if a == text else a, clear):
+        return text
+    return None
+
+
+def _digits(kind: T.DataType) -> tuple[int, int] | None:
+    """Decimal digits of a number type, and those behind the point."""
+    if isinstance(kind, T.DecimalType):
+        return kind.precision, kind.scale
+    return (_WHOLE_DIGITS[type(kind)], 0) if type(kind) in _WHOLE_DIGITS else None

@@ -28,7 +28,7 @@ from urllib.parse import quote, urlparse
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -48,6 +48,18 @@ FETCH_ROWS = 20_000
 #: Ranges of row ids that are looked up for each task, to even out gaps.
 RANGES_PER_TASK = 8
 
+#: A stored value by its class; one of the four is set, none for NULL.
+STORED = T.StructType(
+    [
+        T.StructField("integer", T.LongType()),
+        T.StructField("real", T.DoubleType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("blob", T.BinaryType()),
+    ]
+)
+#: What a column is read as, unless as what it declares.
+TYPINGS = {"declared": None, "text": T.StringType(), "stored": STORED}
+
 
 def use_sqlite(spark: SparkSession) -> None:
     """Make ``spark.read.format("sqlite")`` available."""
@@ -63,36 +75,76 @@ def read_sqlite(
     params: list | None = None,
     typing: str = "declared",
     num_partitions: int | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Lazy scan of ``table``; only ``columns``, and rows for which ``where`` is true, leave the file.
 
-    ``where`` is a condition in SQLite's own SQL, with ``?`` for each of ``params`` (numbers and text).
-    ``typing="declared"`` takes the declared column types and fails on a value that does not fit its column;
-    ``typing="text"`` reads every value as text, for the typing jobs.
+    ``where`` is a condition in SQLite's own SQL, with ``?`` for each of ``params`` (numbers and text). With ``limit``
+    any so many of these rows are read: every piece of the files stops there, and so does the result.
+
+    ``typing="declared"`` takes the declared column types and fails on a value that does not fit its column.
+    ``typing="stored"`` gives VARIANT columns that hold each value in the class in which SQLite stores it, whatever the
+    column says: whole number, real, text or bytes; the ladder ``stored`` of :func:`rowmill.functions.infer_types` then
+    finds a type for all of them. ``typing="text"`` reads every value as text and so forgets the classes.
     """
+    if typing not in TYPINGS:
+        raise ValueError(f"unknown typing {typing!r}, expected one of {sorted(TYPINGS)}")
     use_sqlite(spark)
     reader = spark.read.format("sqlite").option("path", path).option("table", table).option("typing", typing)
     if where is not None:
         reader = reader.option("where", where).option("params", json.dumps(list(params or [])))
     if num_partitions:
         reader = reader.option("numPartitions", str(num_partitions))
-    schema = merged_schema(_declared_in(spark, database_files(path), table), typing == "text")
+    if limit is not None:
+        reader = reader.option("limit", str(limit))
+    schema = merged_schema(_declared_in(spark, database_files(path), table), typing)
     if columns:
         known = {field.name: field for field in schema}
         schema = T.StructType([known[name] for name in columns])
-    return reader.schema(schema).load()
+    rows = reader.schema(schema).load()
+    if typing == "stored":
+        rows = rows.select(*(_as_variant(field.name) for field in schema))
+    return rows if limit is None else rows.limit(limit)
+
+
+def _named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _by_kind(name: str) -> Column:
+    """A VARIANT as a struct of :data:`STORED`."""
+    value = _named(name)
+    kind = F.schema_of_variant(value)
+    of = lambda wanted: F.try_variant_get(value, "$", wanted)
+    number = kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    cell = F.struct(
+        F.when(kind == "BIGINT", of("bigint")).when(kind == "BOOLEAN", of("boolean").cast("bigint")).alias("integer"),
+        F.when(number, of("double")).alias("real"),
+        F.when(~number & ~kind.isin("BIGINT", "BOOLEAN", "BINARY", "VOID"), of("string")).alias("text"),
+        F.when(kind == "BINARY", of("binary")).alias("blob"),
+    )
+    return cell.alias(name)
+
+
+def _as_variant(name: str) -> Column:
+    """One value out of the four that a stored one may be."""
+    cell = _named(name)
+    return F.coalesce(*(cell[kind].cast("variant") for kind in STORED.names)).alias(name)
 
 
 def write_sqlite(df: DataFrame, path: str, table: str) -> int:
     """Append ``df`` to the folder ``path``, one new database file per task; returns the number of rows written.
 
-    Refused if the folder's files declare a column of the same name with another type.
+    A VARIANT column is declared without a type, and each of its values stored in its own class: numbers as whole ones
+    or reals, truth values as 0 and 1, bytes as bytes, objects, arrays and the rest as text. Refused if the folder's
+    files declare a column of the same name with another type.
     """
     spark = df.sparkSession
     use_sqlite(spark)
+    df = df.select(*(_by_kind(field.name) if isinstance(field.dataType, T.VariantType) else _named(field.name) for field in df.schema))
     if os.path.isdir(local_path(path)) and (files := _existing_files(local_path(path))):
         own = ("the new rows", [(field.name, sqlite_type(field.dataType)) for field in df.schema])
-        merged_schema([*_declared_in(spark, files, table), own], False)
+        merged_schema([*_declared_in(spark, files, table), own], "declared")
     counted = Observation()
     rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     rows.write.format("sqlite").mode("append").option("path", path).option("table", table).save()
@@ -106,7 +158,7 @@ class SqliteDataSource(DataSource):
 
     def schema(self) -> T.StructType:
         files, table = database_files(self.options["path"]), self.options["table"]
-        return merged_schema([declared_in(path, table) for path in files], self.options.get("typing", "declared") == "text")
+        return merged_schema([declared_in(path, table) for path in files], self.options.get("typing", "declared"))
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return SqliteReader(schema, self.options)
@@ -139,7 +191,8 @@ class SqliteReader(DataSourceReader):
         self.columns = [(field.name, field.dataType) for field in schema]
         self.path = options["path"]
         self.table = options["table"]
-        self.text_only = options.get("typing", "declared") == "text"
+        self.typing = options.get("typing", "declared")
+        self.limit = int(options["limit"]) if "limit" in options else None
         self.bytes_per_partition = int(options.get("bytesPerPartition", BYTES_PER_PARTITION))
         self.num_partitions = int(options.get("numPartitions", 0))
         self.where = options.get("where")
@@ -218,6 +271,9 @@ class SqliteReader(DataSourceReader):
             conditions.append(f"{piece.rowid} BETWEEN ? AND ?")
             values += [piece.low, piece.high]
         where = f" WHERE {' AND '.join(conditions)}" if conditions else ""
+        if self.limit is not None:
+            where += " LIMIT ?"
+            values.append(self.limit)
         with connect(piece.path) as connection:
             present = {name.lower() for name, _ in declared_columns(connection, self.table)}
             # with the table before it, a name that is no column is an error and never a text
@@ -230,8 +286,10 @@ class SqliteReader(DataSourceReader):
 
     def _array(self, position: int, cells: tuple) -> pa.Array:
         name, data_type = self.columns[position]
-        if self.text_only:
+        if self.typing == "text":
             return pa.array([_as_text(cell) for cell in cells], pa.string())
+        if self.typing == "stored":
+            return _by_class(cells)
         try:
             if isinstance(data_type, (T.DateType, T.TimestampNTZType)):
                 return pa.array(cells, pa.string()).cast(arrow_type(data_type))
@@ -383,12 +441,12 @@ def _declared_in(spark: SparkSession, files: list[str], table: str) -> list[tupl
     return sorted((r.path, [tuple(c) for c in json.loads(r.columns)]) for r in seen.collect())
 
 
-def merged_schema(declared: list[tuple[str, list[tuple[str, str]]]], text_only: bool) -> T.StructType:
+def merged_schema(declared: list[tuple[str, list[tuple[str, str]]]], typing: str) -> T.StructType:
     """All columns by name (case does not matter, as in SQLite), in the order in which they first appear."""
     fields: dict[str, tuple[T.StructField, str]] = {}
     for path, columns in declared:
         for name, kind in columns:
-            field = T.StructField(name, T.StringType() if text_only else spark_type(kind))
+            field = T.StructField(name, TYPINGS[typing] or spark_type(kind))
             known, first = fields.setdefault(name.lower(), (field, path))
             if known.dataType != field.dataType:
                 raise ValueError(
@@ -450,6 +508,8 @@ def sqlite_type(data_type: T.DataType) -> str:
         return "TIMESTAMP"
     if isinstance(data_type, T.StringType):
         return "TEXT"
+    if data_type == STORED:
+        return ""
     raise ValueError(f"SQLite has no column type for {data_type.simpleString()}; cast the column first")
 
 
@@ -459,6 +519,8 @@ def _cells(column: pa.Array) -> list:
         column = column.cast(pa.timestamp("us")).cast(pa.string())
     elif pa.types.is_date(column.type):
         column = column.cast(pa.string())
+    elif pa.types.is_struct(column.type):
+        return [next((v for v in values if v is not None), None) for values in zip(*(part.to_pylist() for part in column.flatten()))]
     return column.to_pylist()
 
 
@@ -468,6 +530,13 @@ def _as_flag(cell: object) -> bool:
     raise ValueError(f"{cell!r} is not 0 or 1")
 
 
+def _by_class(cells: tuple) -> pa.Array:
+    """Values as structs of :data:`STORED`."""
+    kinds = ((int, pa.int64()), (float, pa.float64()), (str, pa.string()), (bytes, pa.binary()))
+    parts = [pa.array([cell if type(cell) is kind else None for cell in cells], arrow) for kind, arrow in kinds]
+    return pa.StructArray.from_arrays(parts, STORED.names)
+
+
 def _as_text(cell: object) -> str | None:
     if cell is None or isinstance(cell, str):
         return cell

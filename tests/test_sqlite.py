@@ -1,12 +1,14 @@
 import glob
 import os
 import sqlite3
+from contextlib import closing
 
 import pytest
 from pyspark.sql import functions as F
 
 from rowmill.functions import apply_types, infer_types
 from rowmill.sources import read_all, read_sqlite, write_sqlite
+from rowmill.sources.sqlite import database_files
 
 
 @pytest.fixture
@@ -264,3 +266,61 @@ def test_ranges_are_even_in_spite_of_far_row_ids(spark, tmp_path):
     sizes = df.rdd.glom().map(len).collect()
     assert sum(sizes) == len(ids) and max(sizes) <= 2 * len(ids) / 8
     assert sorted(r.id for r in df.collect()) == ids
+
+
+def test_values_keep_their_stored_class(spark, tmp_path):
+    path = str(tmp_path / "classes.db")
+    columns = "whole INTEGER, loose, code TEXT, mixed, wide, bytes BLOB, some, none"
+    rows = [
+        (1, 1, "12", 1, 2**53 + 1, b"\x01", b"12", None),
+        (-5, 2.5, "007", "12", 0.5, b"", 12, None),
+        (None, None, None, 3.0, None, None, "12", None),
+        (2**63 - 1, -7, "", None, 1, b"ab", None, None),
+    ]
+    with closing(sqlite3.connect(path)) as connection:
+        connection.execute(f"CREATE TABLE t ({columns})")
+        connection.executemany("INSERT INTO t VALUES (?, ?, ?, ?, ?, ?, ?, ?)", rows)
+        connection.commit()
+    values = read_sqlite(spark, path, "t", typing="stored")
+    assert {kind for _, kind in values.dtypes} == {"variant"}
+    types = {r.column_name: r.type for r in infer_types(values, "stored").collect()}
+    assert types == {
+        "whole": "bigint", "loose": "double", "code": "string", "mixed": "string", "wide": "string", "bytes": "binary",
+        "some": "variant", "none": "bigint",
+    }
+    typed = apply_types(values, types, "stored").drop("some").collect()
+    assert [tuple(r) for r in typed] == [
+        (1, 1.0, "12", "1", "9007199254740993", b"\x01", None),
+        (-5, 2.5, "007", "12", "0.5", b"", None),
+        (None, None, None, "3.0", None, None, None),
+        (2**63 - 1, -7.0, "", None, "1", b"ab", None),
+    ]
+    kinds = [r[0] for r in values.selectExpr("schema_of_variant(some)").collect()]
+    assert kinds == ["BINARY", "BIGINT", "STRING", None]
+
+
+def test_variants_are_stored_in_their_class(spark, tmp_path):
+    folder = str(tmp_path / "files")
+    values = ["1", "2.5", '"7"', "true", "null", '{"a": [1, "b"]}', None, "1e300", "9007199254740993"]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, json string").selectExpr("id", "parse_json(json) AS v")
+    assert write_sqlite(df.coalesce(1), folder, "t") == 9
+    with closing(sqlite3.connect(database_files(folder)[0])) as connection:
+        stored = connection.execute("SELECT typeof(v), v FROM t ORDER BY id").fetchall()
+    assert stored == [
+        ("integer", 1), ("real", 2.5), ("text", "7"), ("integer", 1), ("null", None), ("text", '{"a":[1,"b"]}'), ("null", None),
+        ("real", 1e300), ("integer", 9007199254740993),
+    ]
+    back = read_sqlite(spark, folder, "t", ["v"], "id <> ?", [5], typing="stored").selectExpr("to_json(v)")
+    assert [r[0] for r in back.collect()] == ["1", "2.5", '"7"', "1", None, None, "1.0E300", "9007199254740993"]
+
+
+def test_a_limit_reaches_the_file(spark, tmp_path):
+    folder = str(tmp_path / "files")
+    write_sqlite(spark.range(1000).repartition(4), folder, "t")
+    few = read_sqlite(spark, folder, "t", where="id >= ?", params=[500], limit=7, num_partitions=4)
+    rows = [r.id for r in few.collect()]
+    assert len(rows) == len(set(rows)) == 7 and min(rows) >= 500
+    assert read_sqlite(spark, folder, "t", limit=5000).count() == 1000
+    assert read_sqlite(spark, folder, "t", limit=0).collect() == []
+    with pytest.raises(ValueError, match="unknown typing"):
+        read_sqlite(spark, folder, "t", typing="other")

@@ -8,12 +8,13 @@ from rowmill.operators import ConstraintViolation, delete, drop, execute_many, i
 ROWS = [(1, "a", 10, 1.5), (2, "b", None, 2.5), (3, None, 30, None), (4, "d", 40, 4.5)]
 
 
-@pytest.fixture(params=["plain", "partitioned"])
+@pytest.fixture(params=["plain", "partitioned", "buckets"])
 def letters(request, spark, table, tmp_path):
     name = table()
     df = spark.createDataFrame(ROWS, "id int, name string, n int, x double")
     by = ["name"] if request.param == "partitioned" else []
-    insert(name, df, create=True, partition_by=by, location=str(tmp_path / name))
+    own = {"key": ["id"], "buckets": 3} if request.param == "buckets" else {}
+    insert(name, df, create=True, partition_by=by, location=str(tmp_path / name), **own)
     return name
 
 
