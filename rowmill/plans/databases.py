@@ -15,6 +15,7 @@ from ..functions import apply_types, infer_types
 from ..operators import execute
 from ..shared import in_one_process, run_folder
 from ..sources import (
+    copy_resumable,
     copy_table,
     read_all,
     read_query,
@@ -231,6 +232,27 @@ def copy_table_(spark: SparkSession, folder: str) -> DataFrame:
     return read_sqlite(spark, target["path"], "big_orders").selectExpr("*", f"CAST({copied} AS BIGINT) AS n_changed")
 
 
+@query(
+    "copy_restarted",
+    """SELECT o_orderkey, o_orderstatus, (SELECT count(*) FROM orders WHERE o_totalprice > 20000) AS n_changed
+    FROM orders WHERE o_totalprice > 20000""",
+)
+def copy_restarted(spark: SparkSession, folder: str) -> DataFrame:
+    """A copy that ends early and is called again: each row arrives once."""
+    source = {"format": "sqlite", "path": sqlite_copy(spark, folder, "orders")}
+    target, manifest = {"format": "sqlite", "path": run_folder(spark, "sqlite-restarted")}, run_folder(spark, "manifest")
+
+    def call(most_groups: int | None) -> int:
+        wanted = ["o_orderkey", "o_orderstatus"]
+        return copy_resumable(
+            spark, (source, "orders"), (target, "orders"), manifest, None, wanted, "o_totalprice > 20000", None, 12, 4, most_groups
+        )
+
+    call(1)
+    copied = call(None)
+    return read_sqlite(spark, target["path"], "orders").selectExpr("*", f"CAST({copied} AS BIGINT) AS n_changed")
+
+
 @query(
     "read_all",
     """SELECT c_custkey, c_name, c_acctbal, source FROM (

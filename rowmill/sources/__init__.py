@@ -2,11 +2,12 @@
 
 from .dump import to_insert_statements
 from .jdbc import append_once, key_ranges, open_database, read_query, read_table, write_table
-from .multi import copy_table, read_all, read_source, write_source
+from .multi import copy_resumable, copy_table, read_all, read_source, write_source
 from .sqlite import read_sqlite, use_sqlite, write_sqlite
 
 __all__ = [
     "append_once",
+    "copy_resumable",
     "copy_table",
     "key_ranges",
     "open_database",

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.files import Files
 from ..operators.reads import Params, select
 from . import jdbc, sqlite
 
@@ -79,6 +82,75 @@ def copy_table(
     return write_source(select(rows, named, where, params), *dst)
 
 
+def copy_resumable(
+    spark: SparkSession,
+    src: tuple[dict[str, str], str],
+    dst: tuple[dict[str, str], str],
+    manifest: str,
+    key: list[str] | None = None,
+    columns: Iterable[str] | None = None,
+    where: str | None = None,
+    params: Params = None,
+    num_ranges: int = 64,
+    at_once: int = 16,
+    most_groups: int | None = None,
+) -> int:
+    """A copy that can be broken off and called again; returns the rows that all calls together have copied.
+
+    The first call cuts the source into ``num_ranges`` ranges of equally many rows, by ``key`` (JDBC; the primary key
+    where none is given) or by row id or primary key (SQLite), and writes them down in the folder ``manifest``, which
+    every later call must name too. Groups of ``at_once`` ranges are then copied one after the other, each as a load of
+    its own that the target takes once (:func:`append_once`, or ``load`` of :func:`write_sqlite`), and noted when they
+    are done; a later call goes on with the open ones. ``most_groups`` ends a call after so many of them.
+
+    The source should not change between the calls: rows that come in later belong to the range of their key and are
+    copied only if it is still open.
+    """
+    files = Files(spark, manifest)
+    plan = files.read(f"{manifest}/plan.json")
+    if plan is None:
+        plan = json.dumps({"load": uuid.uuid4().hex, "ranges": _ranges(spark, *src, key, num_ranges)})
+        files.write(f"{manifest}/plan.json", plan)
+    told = json.loads(plan)
+    total, groups = 0, [told["ranges"][k : k + at_once] for k in range(0, len(told["ranges"]), at_once)]
+    for number, group in enumerate(groups):
+        note = f"{manifest}/done-{number}.json"
+        done = files.read(note)
+        if done is None:
+            if most_groups == 0:
+                break
+            most_groups = None if most_groups is None else most_groups - 1
+            rows = select(_read_ranges(spark, *src, group), None if columns is None else list(columns), where, params)
+            done = json.dumps(_load(rows, *dst, f"{told['load']}-{number}"))
+            files.write(note, done)
+        total += json.loads(done)
+    return total
+
+
+def _ranges(spark: SparkSession, options: dict[str, str], table: str, key: list[str] | None, num_ranges: int) -> list:
+    kind = options.get("format", "jdbc")
+    if kind == "sqlite":
+        return sqlite.ranges_of(options["path"], table, num_ranges)
+    if kind != "jdbc":
+        raise ValueError(f"a copy from {kind!r} cannot be cut into ranges")
+    key = key or jdbc.primary_key(spark, options, table)
+    if not key:
+        raise ValueError(f"{table} has no primary key: name the columns to cut it by")
+    return jdbc.key_ranges(spark, options, table, key, num_ranges)
+
+
+def _read_ranges(spark: SparkSession, options: dict[str, str], table: str, ranges: list) -> DataFrame:
+    if options.get("format", "jdbc") == "sqlite":
+        return sqlite.read_sqlite(spark, options["path"], table, ranges=ranges)
+    return jdbc.read_table(spark, options, table, ranges)
+
+
+def _load(df: DataFrame, options: dict[str, str], table: str, load: str) -> int:
+    if options.get("format", "jdbc") == "sqlite":
+        return sqlite.write_sqlite(df, options["path"], table, load)
+    return jdbc.load_once(df, options, table, load)[1]
+
+
 def read_all(
     spark: SparkSession,
     sources: Iterable[tuple[str, dict[str, str]]],

@@ -45,6 +45,8 @@ BYTES_PER_PARTITION = 64 << 20
 #: From this many files on, their columns are looked up by a Spark job instead of one after the other.
 FILES_FOR_A_JOB = 64
 FETCH_ROWS = 20_000
+#: Rows between two keys at which a table without row ids may be cut.
+KEYS_PER_STEP = 20_000
 #: Ranges of row ids that are looked up for each task, to even out gaps.
 RANGES_PER_TASK = 8
 
@@ -76,12 +78,17 @@ def read_sqlite(
     typing: str = "declared",
     num_partitions: int | None = None,
     limit: int | None = None,
+    split_by: list[str] | None = None,
+    ranges: list[list] | None = None,
 ) -> DataFrame:
     """Lazy scan of ``table``; only ``columns``, and rows for which ``where`` is true, leave the file.
 
     ``where`` is a condition in SQLite's own SQL, with ``?`` for each of ``params`` (numbers and text). With ``limit``
     any so many of these rows are read: every piece of the files stops there, and so does the result.
 
+    Large files are cut into tasks by row id, tables without row ids by their primary key. ``split_by`` names columns to
+    cut by instead, which a view needs, as it has neither. ``ranges`` reads some of the ranges of :func:`ranges_of` only.
+
     ``typing="declared"`` takes the declared column types and fails on a value that does not fit its column.
     ``typing="stored"`` gives VARIANT columns that hold each value in the class in which SQLite stores it, whatever the
     column says: whole number, real, text or bytes; the ladder ``stored`` of :func:`rowmill.functions.infer_types` then
@@ -97,6 +104,10 @@ def read_sqlite(
         reader = reader.option("numPartitions", str(num_partitions))
     if limit is not None:
         reader = reader.option("limit", str(limit))
+    if split_by:
+        reader = reader.option("splitBy", json.dumps(list(split_by)))
+    if ranges is not None:
+        reader = reader.option("pieces", json.dumps(ranges))
     schema = merged_schema(_declared_in(spark, database_files(path), table), typing)
     if columns:
         known = {field.name: field for field in schema}
@@ -132,9 +143,12 @@ def _as_variant(name: str) -> Column:
     return F.coalesce(*(cell[kind].cast("variant") for kind in STORED.names)).alias(name)
 
 
-def write_sqlite(df: DataFrame, path: str, table: str) -> int:
+def write_sqlite(df: DataFrame, path: str, table: str, load: str | None = None) -> int:
     """Append ``df`` to the folder ``path``, one new database file per task; returns the number of rows written.
 
+    With ``load``, a word, the files are named by it, and those of an earlier call with the same one give way: a load
+    that may have broken off can be repeated.
+
     A VARIANT column is declared without a type, and each of its values stored in its own class: numbers as whole ones
     or reals, truth values as 0 and 1, bytes as bytes, objects, arrays and the rest as text. Refused if the folder's
     files declare a column of the same name with another type.
@@ -147,7 +161,10 @@ def write_sqlite(df: DataFrame, path: str, table: str) -> int:
         merged_schema([*_declared_in(spark, files, table), own], "declared")
     counted = Observation()
     rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    rows.write.format("sqlite").mode("append").option("path", path).option("table", table).save()
+    if load is not None and not load.replace("-", "").replace("_", "").isalnum():
+        raise ValueError(f"a load's name is letters, digits, - and _, not {load!r}")
+    writer = rows.write.format("sqlite").mode("append").option("path", path).option("table", table)
+    (writer.option("load", load) if load else writer).save()
     return counted.get["rows"]
 
 
@@ -171,12 +188,49 @@ class SqliteDataSource(DataSource):
 
 @dataclass
 class Piece:
-    """Rows of one file with low <= row id <= high; the whole table where there is no row id."""
+    """Rows of one file: low <= row id <= high, or low < key <= high; the whole table without row id and key."""
 
     path: str
     rowid: str | None = None
-    low: int | None = None
-    high: int | None = None
+    low: int | tuple | None = None
+    high: int | tuple | None = None
+    key: tuple[str, ...] = ()
+
+    def condition(self) -> tuple[str, list]:
+        if self.rowid:
+            return f"{self.rowid} BETWEEN ? AND ?", [self.low, self.high]
+        if not self.key or (self.low is None and self.high is None):
+            return "", []
+        names = [identifier(name) for name in self.key]
+        own = f"({', '.join(names)})"
+        marks = f"({', '.join('?' * len(names))})"
+        parts, values = [f"{name} IS NOT NULL" for name in names], []
+        for sign, end in ((">", self.low), ("<=", self.high)):
+            if end is not None:
+                parts.append(f"{own} {sign} {marks}")
+                values += end
+        whole = " AND ".join(parts)
+        if self.low is None:  # keys with NULL come with the first piece
+            whole = f"(({whole}) OR " + " OR ".join(f"{name} IS NULL" for name in names) + ")"
+        return whole, values
+
+
+def _told(piece: Piece) -> list:
+    """A piece as JSON can say it: its fields, bytes as hexadecimal text."""
+    plain = lambda end: [["hex", v.hex()] if isinstance(v, bytes) else v for v in end] if isinstance(end, tuple) else end
+    return [piece.path, piece.rowid, plain(piece.low), plain(piece.high), list(piece.key)]
+
+
+def _piece(told: list) -> Piece:
+    path, rowid, low, high, key = told
+    back = lambda end: tuple(bytes.fromhex(v[1]) if isinstance(v, list) else v for v in end) if isinstance(end, list) else end
+    return Piece(path, rowid, back(low), back(high), tuple(key))
+
+
+def ranges_of(path: str, table: str, num_ranges: int) -> list[list]:
+    """About so many ranges of rows that together are the table, for the ``ranges`` of :func:`read_sqlite`."""
+    reader = SqliteReader(T.StructType(), {"path": path, "table": table, "numPartitions": str(num_ranges)})
+    return [_told(piece) for part in reader.partitions() for piece in part.pieces]
 
 
 @dataclass
@@ -195,10 +249,14 @@ class SqliteReader(DataSourceReader):
         self.limit = int(options["limit"]) if "limit" in options else None
         self.bytes_per_partition = int(options.get("bytesPerPartition", BYTES_PER_PARTITION))
         self.num_partitions = int(options.get("numPartitions", 0))
+        self.split_by = tuple(json.loads(options.get("splitBy", "[]")))
+        self.pieces = json.loads(options["pieces"]) if "pieces" in options else None
         self.where = options.get("where")
         self.params = json.loads(options.get("params", "[]"))
 
     def partitions(self) -> list[Pieces]:
+        if self.pieces is not None:
+            return [Pieces([_piece(told)]) for told in self.pieces]
         files = database_files(self.path)
         if self.num_partitions:
             per_file = -(-self.num_partitions // len(files))
@@ -218,6 +276,8 @@ class SqliteReader(DataSourceReader):
 
     def _split(self, path: str, wanted: int) -> list[Piece]:
         with connect(path) as connection:
+            if self.split_by:
+                return self._split_by_key(connection, path, self.split_by, wanted)
             taken = {name.lower() for name, _ in declared_columns(connection, self.table)}
             rowid = next((n for n in ("rowid", "_rowid_", "oid") if n not in taken), None)
             try:
@@ -227,7 +287,7 @@ class SqliteReader(DataSourceReader):
                 )
                 low, high = connection.execute(ends).fetchone() if rowid else (None, None)
             except sqlite3.OperationalError:  # a WITHOUT ROWID table
-                return [Piece(path)]
+                return self._split_by_key(connection, path, primary_key(connection, self.table), wanted)
             if low is None or high is None:  # an empty table, or a view
                 return [Piece(path)]
             ranges = self._without_gaps(connection, rowid, low, high, wanted)
@@ -240,6 +300,25 @@ class SqliteReader(DataSourceReader):
             taken_ids += end - start + 1
         return pieces
 
+    def _split_by_key(self, connection: sqlite3.Connection, path: str, key: tuple[str, ...], wanted: int) -> list[Piece]:
+        """Pieces of equally many rows in the order of a key of any type.
+
+        The key is walked once in steps of ``KEYS_PER_STEP``, inside SQLite, along its index where it has one; only the
+        key at the end of each step comes back.
+        """
+        if not key or wanted <= 1:
+            return [Piece(path)]
+        names = [f"{identifier(self.table)}.{identifier(name)}" for name in key]
+        listed, whole = ", ".join(names), " AND ".join(f"{name} IS NOT NULL" for name in names)
+        step = f"SELECT {listed} FROM {identifier(self.table)} WHERE {whole}{{beyond}} ORDER BY {listed} LIMIT 1 OFFSET {KEYS_PER_STEP - 1}"
+        beyond = f" AND ({listed}) > ({', '.join('?' * len(key))})"
+        ends = []
+        while end := connection.execute(step.format(beyond=beyond if ends else ""), ends[-1] if ends else ()).fetchone():
+            ends.append(end)
+        steps = len(ends) + 1
+        cuts = list(dict.fromkeys(ends[k * steps // wanted - 1] for k in range(1, wanted) if k * steps // wanted >= 1))
+        return [Piece(path, None, low, high, tuple(key)) for low, high in zip([None, *cuts], [*cuts, None])]
+
     def _without_gaps(self, connection: sqlite3.Connection, rowid: str, low: int, high: int, wanted: int) -> list[tuple]:
         """Ranges of row ids that begin and end with a row, in order: the widest is cut in the middle, again and again.
 
@@ -267,9 +346,10 @@ class SqliteReader(DataSourceReader):
         if self.where:
             conditions.append(f"({self.where})")
             values += self.params
-        if piece.rowid:
-            conditions.append(f"{piece.rowid} BETWEEN ? AND ?")
-            values += [piece.low, piece.high]
+        own, ends = piece.condition()
+        if own:
+            conditions.append(own)
+            values += ends
         where = f" WHERE {' AND '.join(conditions)}" if conditions else ""
         if self.limit is not None:
             where += " LIMIT ?"
@@ -277,8 +357,8 @@ class SqliteReader(DataSourceReader):
         with connect(piece.path) as connection:
             present = {name.lower() for name, _ in declared_columns(connection, self.table)}
             # with the table before it, a name that is no column is an error and never a text
-            own = [f"{identifier(self.table)}.{identifier(n)}" if n.lower() in present else "NULL" for n, _ in self.columns]
-            names = ", ".join(own) or "NULL"
+            cells = [f"{identifier(self.table)}.{identifier(n)}" if n.lower() in present else "NULL" for n, _ in self.columns]
+            names = ", ".join(cells) or "NULL"
             cursor = connection.execute(f"SELECT {names} FROM {identifier(self.table)}{where}", values)
             while rows := cursor.fetchmany(FETCH_ROWS):
                 arrays = [self._array(i, cells) for i, cells in enumerate(zip(*rows))]
@@ -315,6 +395,7 @@ class SqliteWriter(DataSourceArrowWriter):
         self.columns = [(field.name, sqlite_type(field.dataType)) for field in schema]
         self.folder = local_path(options["path"])
         self.table = options["table"]
+        self.load = options.get("load")
         self.job = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFile:
@@ -362,8 +443,11 @@ class SqliteWriter(DataSourceArrowWriter):
             connection.commit()
             connection.close()
             written = [empty]
+        if self.load:
+            for path in glob.glob(os.path.join(glob.escape(self.folder), f"part-{self.load}.*.db")):
+                os.remove(path)
         for path in written:
-            os.replace(path, path.replace("_attempt-", "part-") + ".db")
+            os.replace(path, path.replace("_attempt-", f"part-{self.load}." if self.load else "part-") + ".db")
         self._remove_attempts()
 
     def abort(self, messages: list[WrittenFile | None]) -> None:
@@ -420,6 +504,12 @@ def declared_columns(connection: sqlite3.Connection, table: str) -> list[tuple[s
     return found
 
 
+def primary_key(connection: sqlite3.Connection, table: str) -> tuple[str, ...]:
+    """The columns of the table's primary key, in their order in it."""
+    found = [(row[5], row[1]) for row in connection.execute(f"PRAGMA table_info({identifier(table)})") if row[5]]
+    return tuple(name for _, name in sorted(found))
+
+
 def declared_in(path: str, table: str) -> tuple[str, list[tuple[str, str]]]:
     with connect(path) as connection:
         return path, declared_columns(connection, table)

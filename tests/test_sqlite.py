@@ -324,3 +324,48 @@ def test_a_limit_reaches_the_file(spark, tmp_path):
     assert read_sqlite(spark, folder, "t", limit=0).collect() == []
     with pytest.raises(ValueError, match="unknown typing"):
         read_sqlite(spark, folder, "t", typing="other")
+
+
+@pytest.mark.parametrize("rows", [90_000, 400_000])
+@pytest.mark.parametrize("kind", ["text", "pair", "blob"])
+def test_tables_without_row_ids_are_split_evenly(spark, make, rows, kind):
+    """Half of the keys lie close together; keys of any type."""
+    values = {
+        "text": lambda i: (f"a{i:09d}" if i % 2 else f"é{i * 977 % rows}", None),
+        "pair": lambda i: (i % 3 if i % 2 else f"k{i % 5}", i),
+        "blob": lambda i: (i.to_bytes(4, "little"), None),
+    }[kind]
+    key = "a, b" if kind == "pair" else "a"
+    path = make(f"CREATE TABLE t (a NOT NULL, b, v INTEGER, PRIMARY KEY ({key})) WITHOUT ROWID", rows=[(*values(i), i) for i in range(rows)])
+    df = read_sqlite(spark, path, "t", ["v"], num_partitions=4)
+    sizes = df.rdd.glom().map(lambda part: (len(part), sum(r.v for r in part))).collect()
+    assert len(sizes) == 4 and max(n for n, _ in sizes) <= 1.7 * rows / 4
+    assert sum(n for n, _ in sizes) == rows and sum(v for _, v in sizes) == rows * (rows - 1) // 2
+
+
+def test_views_are_split_by_the_columns_given(spark, make, monkeypatch):
+    from rowmill.sources import sqlite as source
+
+    monkeypatch.setattr(source, "KEYS_PER_STEP", 50)
+    rows = [(i % 40 if i % 9 else None, None if i % 11 == 0 else str(i % 7), i) for i in range(1000)]
+    path = make("CREATE TABLE t (a, b, v INTEGER)", "CREATE VIEW w AS SELECT a, b, v FROM t WHERE v >= 100", rows=None)
+    with closing(sqlite3.connect(path)) as db:
+        db.executemany("INSERT INTO t VALUES (?, ?, ?)", rows)
+        db.commit()
+    whole = read_sqlite(spark, path, "w", ["v"], num_partitions=5)
+    assert whole.rdd.getNumPartitions() == 1
+    for by in (["a"], ["a", "b"], ["b", "v"]):
+        df = read_sqlite(spark, path, "w", ["v"], num_partitions=5, split_by=by)
+        assert df.rdd.getNumPartitions() > 3
+        assert sorted(r.v for r in df.collect()) == list(range(100, 1000)), by
+
+
+def test_a_named_load_takes_the_place_of_an_earlier_one(spark, tmp_path):
+    folder = str(tmp_path / "files")
+    write_sqlite(spark.range(5), folder, "t")
+    assert write_sqlite(spark.range(100, 110).repartition(3), folder, "t", load="day-1") == 10
+    assert write_sqlite(spark.range(100, 120).repartition(2), folder, "t", load="day-1") == 20
+    assert write_sqlite(spark.range(200, 201), folder, "t", load="day-10") == 1
+    assert sorted(r.id for r in read_sqlite(spark, folder, "t").collect()) == [*range(5), *range(100, 120), 200]
+    with pytest.raises(ValueError, match="load's name"):
+        write_sqlite(spark.range(1), folder, "t", load="../x")
