@@ -64,31 +64,50 @@ def infer_types(
 
     ``loose`` takes any text that can be read as a number for one, also where the number would not give it back. A column without non-null values gets the first type of the ladder.
     """
+    names = list(columns or df.columns)
+    cells = cells_of(df, names, ladder, loose)
+    every_column = df.sparkSession.range(len(names)).select(F.col("id").cast("int"), F.lit(None).cast("int"))
+    ends = cells.select("column", "rank").union(every_column).groupBy("column").agg(*state_of("rank"))
+    name = F.get(F.array(*[F.lit(name) for name in names]), F.col("column"))
+    return ends.select(name.alias("column_name"), kind_of(ladder).alias("type"))
+
+
+def cells_of(df: DataFrame, names: list[str], ladder: str, loose: bool, *more: Column) -> DataFrame:
+    """``(more.., column, rank)`` for every value.
+
+    One small expression over (column, value) rows instead of one per column: its generated code stays compilable
+    however many columns there are, and states are combined before the few groups are shuffled.
+    """
     if ladder not in _TYPES_BY_RANK:
         raise ValueError(f"unknown ladder {ladder!r}, expected one of {sorted(_TYPES_BY_RANK)}")
-    names = list(columns or df.columns)
     values = F.array(*[_source(df, name, ladder) for name in names])
-    # One small expression over (column, value) rows instead of one per column: its generated code stays compilable
-    # however many columns there are, and min and max are combined before the few groups are shuffled.
-    cells = df.select(F.posexplode(values).alias("column", "value"))
+    cells = df.select(*more, F.posexplode(values).alias("column", "value"))
     ranked = {"input": _json_rank, "stored": _stored_rank}.get(ladder, lambda value: _text_rank(value, loose))
-    rank = ranked(F.col("value"))
-    every_column = df.sparkSession.range(len(names)).select(F.col("id").cast("int"), F.lit(None).cast("int"))
-    ranks = cells.select("column", rank.alias("rank")).union(every_column)
-    seen = F.coalesce(F.bit_or(F.expr("shiftleft(1, rank)")), F.lit(1))
-    ends = ranks.groupBy("column").agg(
-        F.min("rank").alias("low"), F.coalesce(F.max("rank"), F.lit(0)).alias("high"), seen.alias("seen")
-    )
-    kind = F.get(F.array(*[F.lit(kind) for kind in _TYPES_BY_RANK[ladder]]), F.col("high"))
+    return cells.withColumn("rank", ranked(F.col("value"))).drop("value")
+
+
+def state_of(rank: str) -> list[Column]:
+    """What is known of a column after some of its values; states of parts are merged by :func:`merged_states`."""
+    seen = F.bit_or(F.expr(f"shiftleft(1, {rank})"))
+    return [F.min(rank).alias("low"), F.max(rank).alias("high"), seen.alias("seen")]
+
+
+def merged_states() -> list[Column]:
+    return [F.min("low").alias("low"), F.max("high").alias("high"), F.bit_or("seen").alias("seen")]
+
+
+def kind_of(ladder: str) -> Column:
+    """The type for a state; of a column without values the first one."""
+    high = F.coalesce("high", F.lit(0))
+    kind = F.get(F.array(*[F.lit(kind) for kind in _TYPES_BY_RANK[ladder]]), high)
     if ladder == "mssql":
-        flags_only = (F.col("low") == _BOOLEAN_RANK) & (F.col("high") == _BOOLEAN_RANK)
-        kind = F.when(flags_only, F.lit("boolean")).otherwise(kind)
+        return F.when((F.col("low") == _BOOLEAN_RANK) & (high == _BOOLEAN_RANK), F.lit("boolean")).otherwise(kind)
     if ladder == "stored":
-        both = lambda *ranks: F.col("seen").bitwiseAND(sum(1 << r for r in ranks)) == sum(1 << r for r in ranks)
-        mixed = (F.col("high") == _BYTES) & (F.col("low") < _BYTES)
-        kind = F.when(mixed, F.lit("variant")).when((F.col("high") == _REAL) & both(_WIDE, _REAL), F.lit("string")).otherwise(kind)
-    name = F.get(F.array(*[F.lit(name) for name in names]), F.col("column"))
-    return ends.select(name.alias("column_name"), kind.alias("type"))
+        wide_and_real = (1 << _WIDE) | (1 << _REAL)
+        both = F.col("seen").bitwiseAND(F.lit(wide_and_real)) == wide_and_real
+        mixed = (high == _BYTES) & (F.col("low") < _BYTES)
+        return F.when(mixed, F.lit("variant")).when((high == _REAL) & both, F.lit("string")).otherwise(kind)
+    return kind
 
 
 def apply_types(df: DataFrame, types: DataFrame | dict[str, str], ladder: str = "sqlite") -> DataFrame:

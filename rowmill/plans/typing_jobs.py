@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import apply_types, infer_types, map_types
+from ..functions import apply_types, infer_types, infer_types_of_files, map_types
+from ..shared import run_folder
 from .tables import load
 
 QUERIES = {}
@@ -57,6 +58,19 @@ QUERIES["infer_mssql"] = lambda spark, folder: infer_types(_line_text(spark, fol
 ORACLES["infer_mssql"] = _ladder_oracle(["int", "bigint", "double", "boolean"])
 
 
+def infer_added(spark: SparkSession, folder: str) -> DataFrame:
+    """Types over files that come in one after the other; each is read once."""
+    path, state, text = run_folder(spark, "typed-files"), run_folder(spark, "typing-state"), _line_text(spark, folder)
+    for part in ("linenumber < 4", "linenumber BETWEEN 4 AND 6", "linenumber = 7"):
+        text.where(part.replace("linenumber", "CAST(linenumber AS int)")).write.mode("append").parquet(path)
+        types = infer_types_of_files(spark, path, state)
+    return types
+
+
+QUERIES["infer_added"] = infer_added
+ORACLES["infer_added"] = ORACLES["infer_sqlite"]
+
+
 def apply_inferred(spark: SparkSession, folder: str) -> DataFrame:
     text = _line_text(spark, folder).select("orderkey", "linenumber", "price", "flag", "big_on_return", "mixed", "padded")
     return apply_types(text, infer_types(text, "sqlite"))
