@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowmill.llm.common import written
@@ -15,18 +17,20 @@ BLOCK_ROWS = 4096
 SCORES_AT_ONCE = 1 << 18
 #: From this share of a term's weights on, its postings are added as a whole instead of one by one.
 DENSE = 0.2
-#: Larger weights would make inexact or overflowing scores.
-LARGEST_WEIGHT = 1 << 26
+#: What a block pair gives: query, key of its weights, row, score, and its order among scores that no long holds.
+FOUND = ["query_id", "query_key", "id", "score", "beyond"]
+_NINES = str.maketrans("0123456789", "9876543210")
 
 
 def whole_weights(vector: str, scale: int = 64) -> Column:
-    """Components scaled and rounded down, as longs; null for a vector that is null or holds null or non-finite values.
-
-    So are vectors with a component beyond ``LARGEST_WEIGHT`` after scaling, whose products would not stay exact.
-    """
-    doubles = F.transform(F.col(f"`{vector}`"), lambda x: F.lit(float(scale)) * x.cast("double"))
-    fit = F.forall(doubles, lambda x: F.coalesce(F.abs(x) <= LARGEST_WEIGHT, F.lit(False)) & ~F.isnan(x))
-    return F.when(fit, F.transform(doubles, lambda x: F.floor(x).cast("long")))
+    """Components scaled and rounded down, as doubles that hold whole numbers; null for a vector that is null or holds
+    null or non-finite values. A finite component whose product with ``scale`` is beyond all doubles fails the job."""
+    scaled = lambda x: F.lit(float(scale)) * x.cast("double")
+    fit = F.forall(F.col(f"`{vector}`"), lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
+    beyond = F.raise_error(F.lit(f"a component times {scale} is beyond all doubles")).cast("double")
+    # from 2^52 on doubles are whole
+    floor = lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).when(F.abs(x) < float("inf"), x).otherwise(beyond)
+    return F.when(fit, F.transform(F.col(f"`{vector}`"), lambda x: floor(scaled(x))))
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int, id_column: str, weights: str) -> DataFrame:
@@ -40,6 +44,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, id_column: str, weights:
     Both sides are cut into blocks of bounded size; every block of queries meets every block of rows in a task of its
     own. There each query scatters its weighted postings, one term after the other, into dense arrays of scores, and a
     partition selection keeps what can still be among the first ``k``. The selections are merged per query.
+
+    Scores are exact. Vectors with weights so large that a score might leave 64 bits are scored with whole numbers of any
+    size, which is slower; ranks follow these, and a score that no long holds is given as the nearest long.
     """
     side = lambda df: df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{weights}`").alias("w")).where(
         "id is not null and w is not null"
@@ -58,11 +65,11 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, id_column: str, weights:
         if queries.num_rows and rows.num_rows:
             return _select(queries, rows, k)
         nothing = pa.array([], "int64")
-        return pa.table([queries["id"][:0], nothing, rows["id"][:0], nothing], names=["query_id", "query_key", "id", "score"])
+        return pa.table([queries["id"][:0], nothing, rows["id"][:0], nothing, pa.array([], "string")], names=FOUND)
 
     cells = left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb"))
-    found = cells.applyInArrow(select, f"query_id {id_type}, query_key long, id {id_type}, score long")
-    best = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), F.asc("id"))
+    found = cells.applyInArrow(select, f"query_id {id_type}, query_key long, id {id_type}, score long, beyond string")
+    best = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), F.desc("beyond"), F.asc("id"))
     return (
         found.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
@@ -71,19 +78,58 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, id_column: str, weights:
 
 
 def _select(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
-    """The best ``k`` rows of one block for each query of one block."""
+    """The best ``k`` rows of one block for each query of one block, or some more."""
     ids = rows["id"].to_numpy()
     order = np.argsort(ids, kind="stable")
-    ids = ids[order]
+    ids, vectors = ids[order], _dense(rows["w"])[order]
     query_ids, terms = queries["id"].to_numpy(), _dense(queries["w"])
-    vectors = _dense(rows["w"])[order]
+    keys = np.array([xxhash.xxh64_intdigest(row.tobytes()) for row in terms], dtype=np.uint64).view(np.int64)
     width = min(terms.shape[1], vectors.shape[1])
-    # scores in 32 bits where none can overflow
+    terms, vectors = terms[:, :width], vectors[:, :width]
+    # of these weights no score leaves 64 bits
+    limit = float(isqrt(((1 << 63) - 1) // max(1, width)))
+    small = lambda w: np.abs(w.astype(np.float64)).max(axis=1, initial=0) <= limit
+    few, many = small(terms), small(vectors)
+    found = []
+    if few.any() and many.any():
+        found.append(_select_small(query_ids[few], keys[few], terms[few], ids[many], vectors[many], k))
+    if few.any() and not many.all():
+        found.append(_select_large(query_ids[few], keys[few], terms[few], ids[~many], vectors[~many], k))
+    if not few.all():
+        found.append(_select_large(query_ids[~few], keys[~few], terms[~few], ids, vectors, k))
+    return pa.concat_tables(found)
+
+
+def _select_large(query_ids: np.ndarray, keys: np.ndarray, terms: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> pa.Table:
+    """The same with whole numbers of any size."""
+    whole = np.vectorize(int, otypes=[object])
+    vectors = whole(vectors)
+    out = []
+    for own, key, weights in zip(query_ids, keys, terms):
+        scores = vectors @ whole(weights)
+        others = [i for i in range(len(ids)) if ids[i] != own]
+        out += [(own, key, ids[i], int(scores[i])) for i in sorted(others, key=lambda i: (-scores[i], i))[:k]]
+    clipped = [max(-(1 << 63), min((1 << 63) - 1, score)) for *_, score in out]
+    beyond = [None if held == score > -(1 << 63) else _sortable(score) for held, (*_, score) in zip(clipped, out)]
+    kind = pa.array(ids).type
+    columns = [pa.array([r[0] for r in out], kind), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], kind)]
+    return pa.table([*columns, pa.array(clipped, pa.int64()), pa.array(beyond, pa.string())], names=FOUND)
+
+
+def _sortable(score: int) -> str:
+    """A text that orders numbers beyond a long like the numbers themselves, among those of one sign."""
+    digits = str(abs(score))
+    text = f"{len(digits):05d}{digits}"
+    return text if score > 0 else text.translate(_NINES)
+
+
+def _select_small(query_ids: np.ndarray, keys: np.ndarray, terms: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> pa.Table:
+    """The same where all scores stay within 64 bits, and in 32 bits where they fit."""
+    width = terms.shape[1]
     largest = int(np.abs(terms).max(initial=0)) * int(np.abs(vectors).max(initial=0)) * width
-    kind = np.int32 if largest < 1 << 31 else np.int64
-    keys = np.array([hash(row.tobytes()) for row in terms], dtype=np.int64)
-    postings = _postings(vectors[:, :width].astype(kind))
-    terms = np.ascontiguousarray(terms[:, :width].T.astype(kind))
+    kind = np.int32 if largest < 1 << 31 and max(np.abs(terms).max(initial=0), np.abs(vectors).max(initial=0)) < 1 << 31 else np.int64
+    postings = _postings(vectors.astype(kind))
+    terms = np.ascontiguousarray(terms.T.astype(kind))
     step = max(1, SCORES_AT_ONCE // max(1, len(ids)))
     scores, scratch = np.zeros((step, len(ids)), dtype=kind), np.zeros((step, len(ids)), dtype=kind)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -102,19 +148,17 @@ def _select(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
             where, best = _best(found[row], ids, own, k)
             out.append((np.full(len(where), start + row), where, best))
     owners, where, best = (np.concatenate(x) for x in zip(*out))
-    return pa.table(
-        [pa.array(query_ids[owners]), pa.array(keys[owners]), pa.array(ids[where]), pa.array(best.astype(np.int64))],
-        names=["query_id", "query_key", "id", "score"],
-    )
+    columns = [pa.array(query_ids[owners]), pa.array(keys[owners]), pa.array(ids[where]), pa.array(best.astype(np.int64))]
+    return pa.table([*columns, pa.nulls(len(best), pa.string())], names=FOUND)
 
 
 def _dense(weights: pa.ChunkedArray) -> np.ndarray:
     """Arrays of weights as one matrix; terms that an array does not have weigh 0."""
     vectors = weights.combine_chunks()
-    lengths = np.diff(vectors.offsets.to_numpy())
-    dense = np.zeros((len(vectors), int(lengths.max(initial=0))), dtype=np.int64)
-    dense[np.arange(dense.shape[1])[None, :] < lengths[:, None]] = vectors.flatten().to_numpy()
-    return dense
+    lengths, values = np.diff(vectors.offsets.to_numpy()), vectors.flatten().to_numpy()
+    dense = np.zeros((len(vectors), int(lengths.max(initial=0))), dtype=values.dtype)
+    dense[np.arange(dense.shape[1])[None, :] < lengths[:, None]] = values
+    return dense + dense.dtype.type(0)  # no negative zeros
 
 
 def _postings(vectors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -128,7 +172,7 @@ def _postings(vectors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndar
 
 def _best(scores: np.ndarray, ids: np.ndarray, own, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and scores of the ``k`` best rows with another id; positions follow the ids, so ties go to the smaller."""
-    low, high = np.searchsorted(ids, [own, own + 1]) if len(ids) else (0, 0)
+    low, high = (int(np.searchsorted(ids, own, side)) for side in ("left", "right"))
     where = np.arange(len(ids)) if low == high else np.r_[0:low, high : len(ids)]
     own = scores[where] if len(where) < len(ids) else scores
     if len(where) <= k:

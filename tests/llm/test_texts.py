@@ -231,3 +231,26 @@ def test_top_k_by_brute_force(spark):
     assert found == sorted(expected)
     large = spark.createDataFrame([(0, [1 << 26, 1 << 26]), (1, [1 << 26, 1 << 26])], "vec long, w array<long>")
     assert [r["score"] for r in top_k(large, large, 5, "vec", "w").collect()] == [1 << 53] * 2
+
+
+def test_top_k_keeps_every_finite_vector(spark):
+    """Components of a million and of 1e30 beside small ones, ids at the ends of a long, ids of text."""
+    from rowmill.llm.topk import whole_weights
+
+    rng = random.Random(17)
+    scales = [1.0, 1.0, 2e6, 1e12, 1e30, -1e30, 3e38]
+    rows = [(k, [rng.choice(scales) * rng.random() for _ in range(3)]) for k in range(40)]
+    rows += [(2**63 - 1, [1.0, 2.0, 3.0]), (-(2**63), [1e30, 0.0, -0.01]), (50, []), (51, [float("nan")] * 3), (52, None)]
+    scaled = {i: [int(64 * x // 1) if abs(64 * x) < 2**52 else int(64 * x) for x in v] for i, v in rows if i not in (51, 52)}
+    expected = set()
+    for q in scaled:
+        scores = sorted((-sum(a * b for a, b in zip(scaled[q], w)), i) for i, w in scaled.items() if i != q)
+        clip = lambda s: max(-(2**63), min(2**63 - 1, s))
+        expected |= {(q, rank + 1, i, clip(-s)) for rank, (s, i) in enumerate(scores[:9])}
+    df = spark.createDataFrame(rows, "vec long, e array<double>").select("vec", whole_weights("e").alias("w"))
+    assert {tuple(r) for r in top_k(df, df, 9, "vec", "w").collect()} == expected
+    texts = df.selectExpr("concat('id', vec) AS vec", "w")
+    named = {(r["query_id"], r["vec"]) for r in top_k(texts, texts, 9, "vec", "w").where("rank = 1").collect()}
+    assert len(named) == len(scaled) and all(a != b for a, b in named)
+    with pytest.raises(Exception, match="beyond all doubles"):
+        spark.createDataFrame([([1e308],)], "e array<double>").select(whole_weights("e")).collect()
