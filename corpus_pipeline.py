@@ -22,25 +22,37 @@ MIX_SHARE, MIX_EPOCHS = 0.9, 1
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that importance resampling rejects: those that good text does not explain."""
-    return resample(docs, good_labels(spark, sf_dir)).where("kept").select(*_columns(docs))
+    """Drop the documents that importance resampling rejects: those that good text does not explain.
+
+    Null and empty texts stay, repeated rows share one fate. No other column of ``docs`` is looked at or changed.
+    """
+    whole = docs.select(F.struct("*").alias("document"), "doc_id", "text")
+    return resample(whole, good_labels(spark, sf_dir)).where("kept").select("document.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of copies and near-copies (five-word shingles, similarity 0.8)."""
-    return without_near_duplicates(docs, words=5, similarity=0.8)
+    """Keep one document of each group whose fingerprints link (three-word shingles, three bits), the smallest id.
+
+    Of repeated rows one stays; documents without words are one group; a null id is kept only where no other is.
+    """
+    return without_near_duplicates(docs, words=3, threshold=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold a passage of the benchmark."""
+    """Drop the documents that hold a passage of the benchmark; null and empty texts hold none."""
     return docs.where(F.size(overlaps(docs, table(spark, sf_dir, "benchmark"))) == 0)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the part of each source that brings domains, languages and sources closest to their target weights."""
-    tokens, key = token_estimate(F.col("text")), F.col("doc_id")
-    mixed = mix(docs, mix_levels(), MIX_WEIGHTS, tokens, key, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
-    return mixed.select(*_columns(docs))
+    """Keep the part of each source that brings domains, languages and sources closest to their target weights.
+
+    Null languages and sources are leaves of their own, texts without bytes cost nothing and stay where their leaf
+    gives anything; rows of one id follow one another. No column of ``docs`` is changed.
+    """
+    whole = docs.select(F.struct("*").alias("document"))
+    tokens, key = token_estimate(F.col("document.text")), F.col("document.doc_id")
+    mixed = mix(whole, mix_levels("document."), MIX_WEIGHTS, tokens, key, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+    return mixed.select("document.*")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,10 +61,6 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shard_by_bytes(docs, SHARDS, row_bytes(text), [F.col("doc_id"), F.xxhash64(text)])
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{name}`") for name in docs.columns]
-
-
 STAGES = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),

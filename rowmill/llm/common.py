@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowmill.shared import run_folder
 
-#: Rows handed to Python at once, and bytes of text put together before they are worked on.
-PYTHON_BATCH_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,10 +34,3 @@ def unpacked(df: DataFrame, names: list[str], **extra) -> DataFrame:
 def utf8(column) -> F.Column:
     """The bytes of a text for Python, which then need not be valid UTF-8."""
     return F.col(column).cast("string").cast("binary") if isinstance(column, str) else column.cast("binary")
-
-
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, for work whose memory grows with the rows in hand."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)

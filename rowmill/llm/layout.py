@@ -14,17 +14,25 @@ def laid_out(rows: DataFrame, order: list[str]) -> DataFrame:
     """``rows`` in a global order by the columns ``order``, which are dropped, written once with column ``at``.
 
     ``at`` grows along the order: range partition in the upper bits, position in it in the lower ones. Rows that tie
-    are spread over partitions by a tie-breaker, so a key that holds a third of all rows is no hot partition; ``order``
-    should therefore tell rows apart that differ, else their order is any.
+    are spread over partitions by the column ``tie``, so a key that holds a third of all rows is no hot partition;
+    ``order`` should therefore tell rows apart that differ, else their order is any. Rows that come out of a shuffle
+    should bring a ``tie`` of their own, taken before it (see :func:`tie`): when a task runs again it must find each row
+    with the same one, or ranges of two attempts could overlap.
     """
-    keep = [name for name in rows.columns if name not in order]
+    rows = rows if "tie" in rows.columns else rows.withColumn("tie", tie())
+    keep = [name for name in rows.columns if name not in (*order, "tie")]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [*order, "tie"]
-    ranged = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(parts, *keys)
+    ranged = rows.repartitionByRange(parts, *keys)
     placed = ranged.sortWithinPartitions(*keys).select(*keep, F.monotonically_increasing_id().alias("at"))
     return written(placed, "layout")
 
 
+def tie() -> Column:
+    """A number that tells rows apart, the same for a row whenever it is read from a table again."""
+    return F.monotonically_increasing_id()
+
+
 def partition_of(at: str) -> Column:
     return F.shiftright(at, ROW_BITS)
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowmill.llm.common import packed, unpacked, written
-from rowmill.llm.layout import laid_out, partition_totals, running
+from rowmill.llm.layout import laid_out, partition_totals, running, tie
 from rowmill.shared import settle
 
 #: Bytes that one token is counted as.
@@ -125,7 +125,7 @@ def mix(
     rest = F.when(F.col("whole") < epochs, F.col("budget") - F.col("whole") * F.col("supply")).otherwise(0)
     plan = plan.select(_leaf(F.col(n) for n in names).alias("of"), "whole", rest.cast("long").alias("rest"))
     plan, _ = settle(plan)
-    tagged = packed(df, leaf=_leaf(levels.values()), size=size, key=F.coalesce(key.cast("string"), F.lit("")))
+    tagged = packed(df, leaf=_leaf(levels.values()), size=size, key=F.coalesce(key.cast("string"), F.lit("")), tie=tie())
     tagged = tagged.join(plan, F.col("leaf") == F.col("of"))
     shuffled = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), "key").cast("binary"))
     rows = laid_out(tagged.withColumns({"shuffled": shuffled, "by": F.col("leaf")}).drop("key", "of"), ["by", "shuffled"])

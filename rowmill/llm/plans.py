@@ -163,11 +163,12 @@ MIX_SEED = 20
 MIX_SHARE, MIX_EPOCHS = 0.75, 2
 
 
-def mix_levels() -> dict:
-    """Domain, language and source of a document; the domain follows the number of the source."""
-    number = F.expr("try_cast(substr(source, 4) as int)")
+def mix_levels(document: str = "") -> dict:
+    """Domain, language and source of a document (with a prefix: a struct); the domain follows the source's number."""
+    source = F.col(f"{document}source")
+    number = F.substr(source, F.lit(4)).try_cast("int")
     domain = F.when(number < 10, "web").when(number < 15, "books").when(number >= 15, "papers").otherwise("other")
-    return {"domain": domain, "language": F.col("lang"), "origin": F.col("source")}
+    return {"domain": domain, "language": F.col(f"{document}lang"), "origin": source}
 
 
 def mix_oracle(share: float, epochs: int) -> str:

@@ -1,40 +1,22 @@
-"""Near-duplicate documents: SimHash fingerprints compared at the anchors of covering codes, and similar shingle sets
-proposed by MinHash and verified."""
+"""Near-duplicate documents: SimHash fingerprints compared at the anchors of covering codes."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
-from math import acos, pi
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.llm.common import packed, slices, unpacked, utf8, written
+from rowmill.llm.common import packed, unpacked, utf8, written
 from rowmill.llm.components import connected_components
 
 SEED = 42
-#: Homes of one anchor that are compared in one piece; a hotter anchor is cut into pieces of about this size.
-HOMES_PER_PIECE = 4096
-#: 64-bit words of a fingerprint that stands for a similarity, and the bit samples that it is looked up by.
-WIDE, SAMPLES, SAMPLE_BITS = 4, 16, 23
-#: Bits beyond the expected distance at which two wide fingerprints still link (half a standard deviation).
-SLACK = 3
-#: MinHash values of a shingle set are looked up in bands; texts meet when all values of one band agree.
-BANDS, BAND_VALUES = 32, 5
-#: Members of a cell that are compared with as many others in one piece.
-MEMBERS_PER_PIECE = 512
-#: Texts whose shingle sets are in a Python worker's memory at once.
-SETS_AT_ONCE = 100
-#: Most bits of the map of the texts that need their shingle sets.
-MAP_BITS = 1 << 25
+#: Homes of one anchor, and rows that come to it, in one piece; a hotter anchor is cut into pieces of about this size.
+HOMES_PER_PIECE, ROWS_PER_PIECE = 4096, 65536
 
 _U = np.uint64
-_choose = np.random.default_rng(SEED)
-_FACTORS = _choose.integers(0, 1 << 63, (BANDS * BAND_VALUES, 1), dtype=_U) * _U(2) + _U(1)
-_OFFSETS = _choose.integers(0, 1 << 63, (BANDS * BAND_VALUES, 1), dtype=_U)
 
 
 def shingle_hashes(text: bytes | None, words: int) -> Iterator[np.ndarray]:
@@ -59,41 +41,6 @@ def fingerprint_of(text: bytes | None, words: int = 3) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view(_U)[0])
 
 
-def shingle_set(text: bytes | None, words: int = 5) -> np.ndarray:
-    """The distinct shingle hashes of a text, sorted."""
-    pieces = [np.unique(h) for h in shingle_hashes(text, words)]
-    return np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, dtype=_U)
-
-
-def bands_of(hashes: np.ndarray) -> list[int]:
-    """One signed 64-bit key per band of MinHash values; none for an empty set."""
-    if not len(hashes):
-        return []
-    least = np.full(BANDS * BAND_VALUES, ~_U(0))
-    for start in range(0, len(hashes), 1024):
-        np.minimum(least, (_FACTORS * hashes[None, start : start + 1024] + _OFFSETS).min(axis=1), out=least)
-    bands = least.reshape(BANDS, BAND_VALUES)
-    keys = [xxhash.xxh64_intdigest(band.tobytes(), number) for number, band in enumerate(bands)]
-    return np.array(keys, dtype=_U).view(np.int64).tolist()
-
-
-def wide_fingerprint_of(text: bytes | None, words: int = 5) -> np.ndarray:
-    """``WIDE`` words of SimHash over the distinct shingles, each from its own mix of the shingle hashes."""
-    pieces = [np.unique(h) for h in shingle_hashes(text, words)]
-    if not pieces:
-        return np.zeros(WIDE, dtype=_U)
-    hashes = np.unique(np.concatenate(pieces))
-    out = []
-    for k in range(WIDE):
-        x = hashes + _U((k * 0x9E3779B97F4A7C15) % (1 << 64))
-        x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-        x ^= x >> _U(31)
-        ones = sum((_ones(x[i : i + 65536]) for i in range(0, len(x), 65536)), np.zeros(64, dtype=np.int64))
-        out.append(np.packbits(2 * ones > len(x), bitorder="little").view(_U)[0])
-    return np.array(out, dtype=_U)
-
-
 def _ones(hashes: np.ndarray) -> np.ndarray:
     """How many of the hashes have each bit."""
     return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -146,70 +93,6 @@ class HammingHalves:
             yield np.full(len(prints), home), others
 
 
-class GolaySamples:
-    """Anchors for wide fingerprints that stand for a similarity of shingle sets.
-
-    Each sample takes 23 bits of the fingerprint; its anchors are the words of the Golay code, whose covering radius is
-    three: every sample is within three bits of exactly one, its home. A sample is replicated to all anchors within
-    radius plus one (6 at most), so texts meet when some sample differs in at most one bit. For a similarity of 0.8 that
-    happens with a probability of 0.87, for 0.85 with 0.96, for 0.9 with 0.996. Whether they link is decided on all bits.
-    """
-
-    words, generator = WIDE, 0xAE3  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
-
-    def __init__(self, similarity: float):
-        cosine = 2 * similarity / (1 + similarity)  # of two sets of one size
-        self.threshold = int(64 * WIDE * acos(cosine) / pi) + SLACK
-        choose = np.random.default_rng(SEED)
-        self.bits = [np.sort(choose.permutation(64 * WIDE)[:SAMPLE_BITS]) for _ in range(SAMPLES)]
-        single = []
-        for p in range(SAMPLE_BITS):
-            value = 1 << p
-            for k in range(SAMPLE_BITS - 1, 10, -1):
-                if value >> k & 1:
-                    value ^= self.generator << (k - 11)
-            single.append(value)
-        leaders, self.others = np.zeros(2048, dtype=_U), np.zeros((2048, 5), dtype=_U)
-        self.weight, filled = np.zeros(2048, dtype=np.int64), np.zeros(2048, dtype=np.int64)
-        for size in range(1, 5):
-            for places in combinations(range(SAMPLE_BITS), size):
-                syndrome, pattern = 0, 0
-                for p in places:
-                    syndrome ^= single[p]
-                    pattern |= 1 << p
-                if size < 4:
-                    leaders[syndrome], self.weight[syndrome] = pattern, size
-                else:
-                    self.others[syndrome, filled[syndrome]] = pattern
-                    filled[syndrome] += 1
-        self.leaders, self.single = leaders, np.array(single, dtype=np.int64)
-
-    def anchors(self, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Per sample: anchors, the rows that they belong to, and whether they are the rows' homes."""
-        bits = _bits_of(prints)
-        for number, places in enumerate(self.bits):
-            own = bits[:, places].astype(np.int64)
-            word = (own << np.arange(SAMPLE_BITS)).sum(axis=1).astype(_U)
-            syndrome = np.bitwise_xor.reduce(own * self.single, axis=1)
-            far = np.flatnonzero(self.weight[syndrome] == 3)
-            found = [word ^ self.leaders[syndrome], (word[far, None] ^ self.others[syndrome[far]]).ravel()]
-            anchors = np.concatenate(found) | _U(number << SAMPLE_BITS)
-            yield anchors, np.concatenate([np.arange(len(word)), np.repeat(far, 5)]), np.arange(len(anchors)) < len(word)
-
-    def pairs(self, anchor: int, prints: np.ndarray, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Each home of an anchor with what came there and differs in one bit of the sample at most, by binary search."""
-        places = self.bits[anchor >> SAMPLE_BITS]
-        words = (_bits_of(prints)[:, places].astype(np.int64) << np.arange(SAMPLE_BITS)).sum(axis=1)
-        order = np.argsort(words, kind="stable")
-        ranked = words[order]
-        wanted = words[own, None] ^ np.concatenate([[0], 1 << np.arange(SAMPLE_BITS)])[None, :]
-        low, high = np.searchsorted(ranked, wanted, "left"), np.searchsorted(ranked, wanted, "right")
-        for home, starts, ends in zip(own, low, high):
-            found = np.flatnonzero(ends > starts)
-            others = np.concatenate([order[starts[k] : ends[k]] for k in found])
-            yield np.full(len(others), home), others
-
-
 def _bits_of(prints: np.ndarray) -> np.ndarray:
     return np.unpackbits(np.ascontiguousarray(prints).view(np.uint8).reshape(len(prints), -1), axis=1, bitorder="little")
 
@@ -225,49 +108,6 @@ def simhash(text: Column, words: int = 3) -> Column:
     return fingerprints(utf8(text))
 
 
-def wide_simhash(text: Column, words: int = 5) -> Column:
-    """The wide fingerprint of a text as a struct of longs."""
-    names = [f"f{k}" for k in range(WIDE)]
-
-    @F.arrow_udf(f"struct<{','.join(f'{name}:long' for name in names)}>")
-    def fingerprints(texts: pa.Array) -> pa.Array:
-        prints = np.array([wide_fingerprint_of(t.as_py(), words) for t in texts], dtype=_U).reshape(-1, WIDE)
-        return pa.StructArray.from_arrays([pa.array(prints[:, k].copy().view(np.int64)) for k in range(WIDE)], names)
-
-    return fingerprints(utf8(text))
-
-
-def shingle_sketch(text: Column, words: int = 5) -> Column:
-    """``k0, k1``, the 128-bit hash of a text's set of shingles, the set's ``size`` and the keys of its ``bands``."""
-    kind = pa.struct([("k0", pa.int64()), ("k1", pa.int64()), ("size", pa.int32()), ("bands", pa.list_(pa.int64()))])
-
-    @F.arrow_udf("struct<k0:long,k1:long,size:int,bands:array<long>>")
-    def sketches(texts: pa.Array) -> pa.Array:
-        keys, sizes = np.zeros((len(texts), 2), dtype=np.int64), np.zeros(len(texts), dtype=np.int32)
-        ends, bands = np.zeros(len(texts) + 1, dtype=np.int32), np.zeros((len(texts), BANDS), dtype=np.int64)
-        for k, text in enumerate(texts):
-            hashes = shingle_set(text.as_py(), words)
-            keys[k], sizes[k] = np.frombuffer(xxhash.xxh128_digest(hashes.tobytes()), dtype=np.int64), len(hashes)
-            ends[k + 1] = ends[k] + (BANDS if len(hashes) else 0)
-            if len(hashes):
-                bands[k] = bands_of(hashes)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[sizes > 0].ravel()))
-        return pa.StructArray.from_arrays([pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()), pa.array(sizes), lists], fields=list(kind))
-
-    return sketches(utf8(text))
-
-
-def shingle_sets(texts: DataFrame, words: int = 5) -> DataFrame:
-    """``(node, set)`` for ``texts(node, text)``: the distinct shingle hashes, handed back for few texts at once."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, SETS_AT_ONCE):
-            found = [shingle_set(t.as_py(), words).view(np.int64) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "set"])
-
-    return texts.select("node", utf8("text").alias("text")).mapInArrow(sets, "node long, set array<long>")
-
-
 def near_duplicates(
     df: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3, threshold: int = 3
 ) -> DataFrame:
@@ -288,144 +128,23 @@ def near_duplicates(
 
 
 def without_near_duplicates(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, similarity: float = 0.8
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3, threshold: int = 3
 ) -> DataFrame:
-    """``df`` with one row of each group of near-duplicates: the one with the smallest id (null ids last).
+    """``df`` with one row of each component of :func:`near_duplicates`: the one with the smallest id (null ids last).
 
-    Texts link when their sets of ``words``-word shingles (by 64-bit hashes) have a Jaccard similarity of at least
-    ``similarity``, and groups are what links reach. Every link is verified on the sets. Pairs are proposed by ``BANDS``
-    bands of ``BAND_VALUES`` MinHash values: a pair of similarity s is missed with a probability of (1 - s^5)^32, which
-    is 3e-6 at 0.8 and less above. Texts with equal sets always meet; texts without words are copies of each other. Of
-    repeated rows one stays, an empty table gives none. Rows are written once with their texts.
+    Of rows that share that id one stays. Texts without words are copies of each other. An empty table gives no rows.
+    All columns of ``df`` are kept; rows are written once with their texts, and only numbers are compared.
     """
-    rows = packed(
-        df,
-        id=F.col(f"`{id_column}`"),
-        fp=shingle_sketch(F.col(f"`{text_column}`"), words),
-        at=F.monotonically_increasing_id(),
-    )
+    rows = packed(df, id=F.col(f"`{id_column}`"), f0=simhash(F.col(f"`{text_column}`"), words), at=F.monotonically_increasing_id())
     rows = written(rows, "rows")
-    ids = rows.select(F.struct(F.col("id").isNull(), "id", "at").alias("id"), "at", "fp.*")
-    classes = ids.groupBy("k0", "k1").agg(F.min("id").alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    classes = written(classes.withColumn("node", F.col("least.at")), "classes")
-    texts = rows.select(F.col("at").alias("node"), F.col(f"row.`{text_column}`").alias("text"))
-    links = similar_links(classes.select("node", "size", "bands"), texts, words, similarity)
-    settled = components_of(ids.drop("size", "bands"), classes.drop("size", "bands"), ["k0", "k1"], links)
-    # all but the first row of each group; `at` tells repeated rows apart
+    # `at` tells repeated rows apart
+    prints = rows.select(F.struct(F.col("id").isNull(), "id", "at").alias("id"), "f0")
+    settled = grouped(prints, HammingHalves(threshold))
     others = settled.where(F.col("id") != F.col("component")).select(F.col("id.at").alias("at"))
     return unpacked(rows.join(others, "at", "left_anti"), df.columns)
 
 
-def similar_links(classes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links ``(a, b)`` between nodes of ``classes(node, size, bands)`` whose sets of shingles are similar.
-
-    Nodes with the same band key share a cell. First the smallest node of each cell is verified against the others, by a
-    join with the sets of ``texts(node, text)``. What this leaves apart in a cell is then compared each with each, in
-    pieces of bounded size that give a forest of links, so near-copies do not multiply.
-    """
-    cells = classes.select("node", "size", F.explode("bands").alias("cell"))
-    first = Window.partitionBy("cell").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
-    cells = cells.withColumn("hub", F.first(F.struct("node", "size")).over(first)).where("node <> hub.node")
-    cells = written(cells.select("cell", "node", "size", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size")), "cells")
-    wanted = cells.select("node").union(cells.select("hub")).distinct()
-    sets = written(shingle_sets(marked(texts, wanted), words), "sets")
-
-    fits = F.least("size", "hub_size") / F.greatest("size", "hub_size") >= similarity
-    pairs = cells.where(fits).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("own")), "b")
-    pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("other")), "a")
-    common = F.size(F.array_intersect("own", "other"))
-    alike = common / (F.size("own") + F.size("other") - common)
-    links = written(pairs.where(alike >= similarity).select("a", "b"), "alike")
-
-    group = F.coalesce("root", "node").alias("group")
-    members = cells.select("cell", "node").join(connected_components(links), "node", "left").select("cell", "node", group)
-    apart = members.groupBy("cell").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("count"))
-    parts = F.ceil(F.col("count") / MEMBERS_PER_PIECE).cast("int").alias("parts")
-    members = written(members.join(apart.where("low < high").select("cell", parts), "cell"), "apart")
-    if members.isEmpty():
-        return links
-    block = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    spread = members.join(sets, "node").withColumn("block", block)
-    spread = spread.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    order = ["cell", "low", "high"]
-    spread = spread.select(
-        "cell", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node", "group", "set"
-    )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, rows = None, []
-        for batch in batches:
-            cell, low, high, block, node, group = (batch.column(k).to_numpy() for k in range(6))
-            sets = batch.column(6)
-            ends, values = sets.offsets.to_numpy(), sets.values.to_numpy()
-            for k in range(batch.num_rows):
-                now = (int(cell[k]), int(low[k]), int(high[k]))
-                if now != piece:
-                    if rows:
-                        yield _similar_forest(piece, rows, similarity)
-                    piece, rows = now, []
-                rows.append((int(block[k]), int(node[k]), int(group[k]), values[ends[k] : ends[k + 1]].copy()))
-        if rows:
-            yield _similar_forest(piece, rows, similarity)
-
-    found = spread.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, "a long, b long")
-    return links.union(written(found, "alike"))
-
-
-def _similar_forest(piece: tuple[int, int, int], rows: list[tuple[int, int, int, np.ndarray]], similarity: float) -> pa.RecordBatch:
-    """A forest with the groups that links between the two blocks of a piece join; sets are intersected by an index."""
-    _, low, high = piece
-    homes, others = [r for r in rows if r[0] == low], [r for r in rows if r[0] == high]
-    links: list[tuple[int, int]] = []
-    if homes and others:
-        owners = np.repeat(np.arange(len(homes)), [len(r[3]) for r in homes])
-        index = np.concatenate([r[3] for r in homes])
-        order = np.argsort(index, kind="stable")
-        index, owners = index[order], owners[order]
-        sizes = np.array([len(r[3]) for r in homes])
-        nodes, root = [r[1] for r in homes], {r[2]: r[2] for r in rows}
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        for _, node, group, own in others:
-            starts, ends = np.searchsorted(index, own, "left"), np.searchsorted(index, own, "right")
-            counts = ends - starts
-            at = np.repeat(starts - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
-            common = np.bincount(owners[at], minlength=len(homes))
-            for k in np.flatnonzero(common / (sizes + len(own) - common) >= similarity):
-                a, b = find(group), find(homes[k][2])
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-                    links.append((node, nodes[k]))
-    a, b = np.array(links, dtype=np.int64).reshape(-1, 2).T
-    return pa.record_batch([pa.array(a.copy()), pa.array(b.copy())], names=["a", "b"])
-
-
-def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows whose ``node`` is in ``wanted``, and few others: a map of bits is sent to the rows instead of shuffling them."""
-    wanted = written(wanted, "wanted")
-    bits = 1 << 10
-    while bits < min(16 * wanted.count(), MAP_BITS):
-        bits *= 2
-    place = F.pmod(F.xxhash64("node"), F.lit(bits))
-    words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w"))
-    words = words.agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits")).collect()  # MAP_BITS / 64 at most
-    known = np.zeros(bits // 64, dtype=np.int64)
-    known[[r["w"] for r in words]] = [r["bits"] for r in words]
-    sent = rows.sparkSession.sparkContext.broadcast(np.unpackbits(known.view(np.uint8), bitorder="little"))
-
-    @F.arrow_udf("boolean")
-    def is_marked(places: pa.Array) -> pa.Array:
-        return pa.array(sent.value[places.to_numpy()].astype(bool))
-
-    return rows.where(is_marked(place))
-
-
-def grouped(prints: DataFrame, code: HammingHalves | GolaySamples) -> DataFrame:
+def grouped(prints: DataFrame, code: HammingHalves) -> DataFrame:
     """``prints(id, f0..)`` with ``component``, the smallest id of the row's group."""
     names = [f"f{k}" for k in range(code.words)]
     node = F.monotonically_increasing_id() if code.words > 1 else F.col("f0")
@@ -444,12 +163,13 @@ def components_of(prints: DataFrame, classes: DataFrame, names: list[str], links
     return prints.join(settled, names)
 
 
-def fingerprint_links(prints: DataFrame, code: HammingHalves | GolaySamples) -> DataFrame:
+def fingerprint_links(prints: DataFrame, code: HammingHalves) -> DataFrame:
     """Links ``(a, b)`` between nodes of ``prints(node, f0..)``, distinct fingerprints, by comparison at the anchors.
 
     Every fingerprint goes to its anchors as ``code`` says, and each anchor compares the ones whose home it is with what
     came there. An anchor gives at most as many links as it holds fingerprints (a forest), so near-copies do not
-    multiply. Anchors that are home to many fingerprints are cut into pieces, each of which meets all that came there.
+    multiply. Where an anchor is home to many, its homes and the rows that come there are both cut into parts, and each
+    part of the one meets each part of the other in a piece of its own.
     """
     words = code.words
     prints = prints.select("node", *(f"f{k}" for k in range(words)))
@@ -473,42 +193,52 @@ def fingerprint_links(prints: DataFrame, code: HammingHalves | GolaySamples) ->
                 yield pa.record_batch([pa.array(anchors[home].view(np.int64))], names=["anchor"])
 
     homes = prints.mapInArrow(count_homes, "anchor long").groupBy("anchor").count()
-    hot = written(homes.where(F.col("count") > HOMES_PER_PIECE), "hot")
-    if hot.isEmpty():
-        cells = spread.withColumn("piece", F.lit(0))
+    if homes.where(F.col("count") > HOMES_PER_PIECE).isEmpty():
+        cells = spread.withColumn("piece", F.lit(0).cast("long"))
     else:
-        marked = spread.join(hot, "anchor", "left").withColumn(
-            "parts", F.ceil(F.coalesce("count", F.lit(1)) / HOMES_PER_PIECE).cast("int")
-        )
-        own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-        cells = (
-            marked.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .withColumn("home", F.col("home") & (F.col("piece") == own))
-            .drop("count", "parts")
+        met = spread.groupBy("anchor").agg(F.count("*").alias("n"), F.count_if("home").alias("homes"))
+        hot = written(met.where((F.col("homes") > HOMES_PER_PIECE) | (F.col("n") > ROWS_PER_PIECE)), "hot")
+        parts = lambda count, size: F.ceil(F.coalesce(count, F.lit(1)) / size).cast("long")
+        marked = spread.join(hot, "anchor", "left").withColumns(
+            {"for_homes": parts("homes", HOMES_PER_PIECE), "for_rows": parts("n", ROWS_PER_PIECE)}
         )
+        place = lambda parts: F.pmod(F.xxhash64("node"), F.col(parts))
+        every = lambda parts: F.sequence(F.lit(0).cast("long"), F.col(parts) - 1)
+        cell = lambda mine, other, home: F.struct((mine * F.col("for_rows") + other).alias("piece"), F.lit(home).alias("at_home"))
+        at_home = F.when(F.col("home"), F.transform(every("for_rows"), lambda q: cell(place("for_homes"), q, True))).otherwise(F.array())
+        # a home lies in its own part of the rows as well, but not beside itself
+        come = F.transform(every("for_homes"), lambda p: cell(p, place("for_rows"), False))
+        come = F.filter(come, lambda c: ~F.col("home") | (F.floor(c["piece"] / F.col("for_rows")) != place("for_homes")))
+        both = marked.withColumn("cell", F.explode(F.concat(at_home, come)))
+        cells = both.select("anchor", F.col("cell.piece").alias("piece"), F.col("cell.at_home").alias("home"), "node", *(f"f{k}" for k in range(words)))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        held: list[list[np.ndarray]] = []  # what has come of the cell that is open; rows are sorted by cell
+
+        def whole() -> pa.RecordBatch:
+            return _links_of([np.concatenate(parts) for parts in zip(*held)], code)
+
         for batch in batches:
             columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(words + 4)]
-            if rest is not None:
-                columns = [np.concatenate(pair) for pair in zip(rest, columns)]
             if not len(columns[0]):
                 continue
-            open_cell = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1])
-            cut = int(np.argmax(open_cell))  # rows are sorted, so the last cell begins at its first row
-            rest = [c[cut:] for c in columns]
+            last = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1])
+            cut = int(np.argmax(last))
             if cut:
-                yield _links_of([c[:cut] for c in columns], code)
-        if rest is not None:
-            yield _links_of(rest, code)
+                held.append([c[:cut] for c in columns])
+            if held and (held[-1][0][-1], held[-1][1][-1]) != (columns[0][-1], columns[1][-1]):
+                yield whole()
+                held = []
+            held.append([c[cut:] for c in columns])
+        if held:
+            yield whole()
 
     order = ["anchor", "piece"]
     cells = cells.select(*order, "home", "node", *(f"f{k}" for k in range(words)))
     return cells.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, "a long, b long")
 
 
-def _links_of(columns: list[np.ndarray], code: HammingHalves | GolaySamples) -> pa.RecordBatch:
+def _links_of(columns: list[np.ndarray], code: HammingHalves) -> pa.RecordBatch:
     """Links of complete cells, whose rows lie together."""
     anchor, piece, home, node = columns[:4]
     prints = np.stack(columns[4:], axis=1).view(_U)
@@ -525,7 +255,7 @@ def _links_of(columns: list[np.ndarray], code: HammingHalves | GolaySamples) ->
 
 
 def _forest(
-    anchor: int, node: np.ndarray, prints: np.ndarray, home: np.ndarray, code: HammingHalves | GolaySamples
+    anchor: int, node: np.ndarray, prints: np.ndarray, home: np.ndarray, code: HammingHalves
 ) -> list[tuple[int, int]]:
     """A forest with the components that the homes and all others of a cell have by their links, home by home."""
     links: list[tuple[int, int]] = []
