@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowmill.shared import run_folder
@@ -31,6 +34,19 @@ def unpacked(df: DataFrame, names: list[str], **extra) -> DataFrame:
     return df.select(*kept, *(column.alias(name) for name, column in extra.items()))
 
 
+def remembered(function: Callable) -> Callable:
+    """``function`` with its results kept, for few different arguments; travels by value, unlike those of functools."""
+    known = {}
+
+    @wraps(function)
+    def looked_up(*arguments):
+        if arguments not in known:
+            known[arguments] = function(*arguments)
+        return known[arguments]
+
+    return looked_up
+
+
 def utf8(column) -> F.Column:
     """The bytes of a text for Python, which then need not be valid UTF-8."""
     return F.col(column).cast("string").cast("binary") if isinstance(column, str) else column.cast("binary")

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 from math import isqrt
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.llm.common import written
+from rowmill.llm.common import remembered, written
 
 #: White space: a text of nothing else is blank, and it does not count at a text's end.
 BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -143,7 +142,7 @@ def _edits(code: int, state: int) -> list[tuple[str, int, int]]:
     return found
 
 
-@lru_cache(1 << 16)
+@remembered
 def before(code: int, after: tuple[int, ...]) -> tuple[tuple[int, ...], int]:
     """The costs before a row from those after it, less their minimum, which comes beside them."""
     costs = _closed([min(cost + after[to] for _, cost, to in _edits(code, state)) for state in range(4)])
@@ -151,7 +150,7 @@ def before(code: int, after: tuple[int, ...]) -> tuple[tuple[int, ...], int]:
     return tuple(c - least for c in costs), least
 
 
-@lru_cache(1 << 16)
+@remembered
 def walk(code: int, after: tuple[int, ...]) -> tuple[tuple[str, int], ...]:
     """For each state before a row the ASCII-least tight edits up to and with it, and the state after it."""
     costs, least = before(code, after)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from itertools import combinations
 
@@ -9,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.llm.common import utf8
+from rowmill.llm.common import remembered, utf8
 from rowmill.llm.sharding import shard_by_bytes
 
 #: Tokens of the shortest overlap, the share of them that must be equal, and the shortest item that is looked for.
@@ -26,14 +27,34 @@ FILTER_BITS = 20
 
 # letters and digits are kept and lower-cased, other ASCII characters separate tokens
 _SEPARATE = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256)).lower()
+
+
+@remembered
+def _instead(character: str) -> str | None:
+    """What stands for a character beyond ASCII: a blank for punctuation, symbols and blanks of all scripts, a token of
+    its own for writing without blanks between words; None for the others, which stay."""
+    if unicodedata.category(character)[0] in "PSZC":
+        return " "
+    return f" {character} " if unicodedata.name(character, "").startswith(_UNSPACED) else None
+
+
+#: How the names of characters begin in writing that has no blanks between words.
+_UNSPACED = ("CJK UNIFIED", "CJK COMPAT", "HIRAGANA", "KATAKANA", "THAI CHAR")
 _SPREAD = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(WINDOW)], dtype=np.uint64)
 
 
 def tokens_of(text: bytes | None) -> np.ndarray:
-    """Hashes of a text's lower-cased words, in order."""
+    """Hashes of a text's lower-cased words, in order; of Chinese, Japanese and Thai writing each character is one."""
     text = text or b""
     if not text.isascii():
-        text = text.decode("utf-8", "replace").lower().encode()
+        decoded = text.decode("utf-8", "replace").lower()
+        others = {c: new for c in set(decoded) if c > "\x7f" and (new := _instead(c))}
+        if len(others) < 20:
+            for character, new in others.items():
+                decoded = decoded.replace(character, new)
+        else:
+            decoded = decoded.translate(str.maketrans(others))
+        text = decoded.encode()
     words = text.translate(_SEPARATE).split()
     return np.fromiter(map(zlib.crc32, words), dtype=np.uint64, count=len(words))
 
@@ -93,15 +114,13 @@ class Slice:
         return np.unique(np.concatenate(found), axis=0)
 
     def overlaps(self, tokens: np.ndarray, hits: np.ndarray) -> list[tuple]:
-        """Verified overlaps ``(id, doc_start, item_start, n_tokens, n_equal)`` of one document, one per alignment."""
+        """Verified overlaps ``(id, doc_start, item_start, n_tokens, n_equal)`` of one document."""
         out = []
         for shift, item in hits.tolist():
             first, length = max(0, -shift), int(self.lengths[item])
             last = min(length, len(tokens) - shift)
             own = self.tokens[self.starts[item] + first : self.starts[item] + last]
-            best = best_overlap(tokens[shift + first : shift + last] == own)
-            if best:
-                start, size, equal = best
+            for start, size, equal in all_overlaps(tokens[shift + first : shift + last] == own):
                 out.append((self.ids[item], shift + first + start, first + start, size, equal))
         for length, sequences in self.short.items():
             if len(tokens) >= length:
@@ -133,6 +152,19 @@ def best_overlap(equal: np.ndarray) -> tuple[int, int, int] | None:
     return start, end + WINDOW - start, int(equal[start : end + WINDOW].sum())
 
 
+def all_overlaps(equal: np.ndarray) -> list[tuple[int, int, int]]:
+    """All stretches of an alignment, in order: the best one, and those of what lies before and behind it."""
+    found, open_parts = [], [(0, len(equal))]
+    while open_parts:
+        low, high = open_parts.pop()
+        best = best_overlap(equal[low:high])
+        if best:
+            start, size, same = best
+            found.append((low + start, size, same))
+            open_parts += [(low, low + start), (low + start + size, high)]
+    return sorted(found)
+
+
 def overlaps_in(text: Column, piece: Slice, item_type: str) -> Column:
     """The verified overlaps of a text with a slice of the benchmark, as an array of structs."""
     fields = ("item_id", "doc_start", "item_start", "n_tokens", "n_equal")
@@ -204,12 +236,14 @@ def overlaps(
     """A column for ``df``: all overlaps of its text with benchmark items, an array of
     ``(item_id, doc_start, item_start, n_tokens, n_equal)`` with positions in tokens.
 
-    Both sides' texts are lower-cased and cut into words at everything but letters and digits. Every window of 13 tokens
+    Both sides' texts are lower-cased and cut into words at everything but letters and digits, in all scripts; where
+    words are written without blanks between them, each character is one. Every window of 13 tokens
     gives a seed per mask, a hash that ignores two of the window's five blocks; documents and benchmark are joined on
     them. Around a hit the two are aligned and compared token by token: an overlap is an aligned stretch of at least 13
     tokens of which 80 % are equal. So every overlap in which some 13 tokens have at most two substitutions is found.
-    Items of 5 to 12 tokens are found as a whole, shorter ones say too little and are not looked for. Of each alignment
-    (a document may hold an item more than once) the best stretch is given.
+    Items of 5 to 12 tokens are found as a whole, shorter ones say too little and are not looked for. A document may hold
+    an item more than once and in parts: of each alignment the best stretch is given, then the best of what lies before
+    and behind it, and so on.
 
     Null and empty texts have no overlaps, null items none either; repeated items are found under each of their ids.
     The benchmark is sent to the executors in slices of bounded size, so documents are never shuffled.

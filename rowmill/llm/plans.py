@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowmill.llm.common import table
+from rowmill.llm.common import table, written
 from rowmill.llm.conversation_repair import damaged, repaired_conversations
 from rowmill.llm.decontaminate import overlaps
 from rowmill.llm.html_text import extracted
@@ -15,7 +15,7 @@ from rowmill.llm.licences import licences_in
 from rowmill.llm.line_dedup import drop_shared_lines
 from rowmill.llm.mixing import mix, token_estimate
 from rowmill.llm.prefix_trie import ended_at, prefix_trie, rebuilt
-from rowmill.llm.secrets import candidates, labelled_by_rules, scan
+from rowmill.llm.secrets import candidates, judge, labelled_by_rules
 from rowmill.llm.sharding import row_bytes, shard_by_bytes
 from rowmill.llm.simhash import near_duplicates
 from rowmill.llm.topk import top_k, whole_weights
@@ -270,8 +270,8 @@ def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    labelled = labelled_by_rules(candidates(documents, "doc_id", "text", F.col("source")))
-    return scan(documents, labelled, F.col("source")).select(
+    found = written(candidates(documents, "doc_id", "text", F.col("source")), "candidates")
+    return judge(found, labelled_by_rules(found)).withColumnRenamed("id", "doc_id").select(
         "doc_id", "word_at", "nth", F.md5("value").alias("value_md5"), F.round("probability", 6).alias("probability"), "secret"
     )
 
