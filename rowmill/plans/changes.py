@@ -12,23 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import BUCKET, check_constraints, delete, execute, execute_many, insert, update
 from ..shared import run_folder
-from .tables import load
+from .tables import load, registry
 
-QUERIES = {}
-ORACLES = {}
+QUERIES, ORACLES, query = registry()
 
 _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 
-def query(name: str, oracle: str):
-    def register(function):
-        QUERIES[name] = function
-        ORACLES[name] = oracle
-        return function
-
-    return register
-
-
 def fresh_table(df: DataFrame, partition_by: Sequence[str] = (), key: Sequence[str] = (), buckets: int | None = None) -> str:
     """A new Spark table with the rows of ``df``, its files in the shared folder."""
     name = f"changes_{uuid.uuid4().hex}"

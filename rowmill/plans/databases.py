@@ -25,10 +25,9 @@ from ..sources import (
     write_sqlite,
     write_table,
 )
-from .tables import load
+from .tables import load, registry
 
-QUERIES = {}
-ORACLES = {}
+QUERIES, ORACLES, query = registry()
 
 JDBC_URL = "spark.rowmill.jdbc.url"
 _TEXT_COLUMNS = {
@@ -37,15 +36,6 @@ _TEXT_COLUMNS = {
 }
 
 
-def query(name: str, oracle: str):
-    def register(function):
-        QUERIES[name] = function
-        ORACLES[name] = oracle
-        return function
-
-    return register
-
-
 def jdbc_options(spark: SparkSession) -> dict[str, str]:
     url = spark.conf.get(JDBC_URL, None)
     if not url:

@@ -6,19 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import json_contains
 from ..operators import execute, recent, ranked, running_total, select
-from .tables import load, load_views
+from .tables import load, load_views, registry
 
-QUERIES = {}
-ORACLES = {}
-
-
-def query(name: str, oracle: str):
-    def register(function):
-        QUERIES[name] = function
-        ORACLES[name] = oracle
-        return function
-
-    return register
+QUERIES, ORACLES, query = registry()
 
 
 def same_sql(name: str, sql: str, *tables: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 NAMES = (
@@ -16,3 +18,17 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def load_views(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
     return {name: load(spark, folder, name) for name in names}
+
+
+def registry() -> tuple[dict, dict, Callable]:
+    """Queries and their SQL by name, both empty, and a decorator that adds to them."""
+    queries, oracles = {}, {}
+
+    def query(name: str, oracle: str) -> Callable:
+        def register(function: Callable) -> Callable:
+            queries[name], oracles[name] = function, oracle
+            return function
+
+        return register
+
+    return queries, oracles, query

@@ -17,6 +17,11 @@ EMPLOYEES = [
 ]
 
 
+# The other rows that expected results are known for.
+USERS = [(1, "Alice"), (2, "Bob"), (3, "Charlie")]
+PRODUCTS = [(1, "Widget", 9.99), (2, "Gadget", 19.99)]
+
+
 @pytest.fixture
 def employees(spark, table):
     name = table()
@@ -27,7 +32,7 @@ def employees(spark, table):
 
 def test_users(spark, table):
     users = table()
-    df = spark.createDataFrame([(1, "Alice"), (2, "Bob"), (3, "Charlie")], "id int, name string")
+    df = spark.createDataFrame(USERS, "id int, name string")
     assert insert(users, df, create=True) == 3
     rows = select(spark.table(users))
     assert rows.count() == 3 and "name" in rows.columns
@@ -38,8 +43,8 @@ def test_users(spark, table):
 def test_products(spark, table):
     products = table()
     execute(spark, f"CREATE TABLE {products} (id INT, name STRING, price DOUBLE) USING parquet")
-    execute(spark, f"INSERT INTO {products} VALUES (1, 'Widget', 9.99)")
-    execute(spark, f"INSERT INTO {products} VALUES (2, 'Gadget', 19.99)")
+    for row in PRODUCTS:
+        execute(spark, f"INSERT INTO {products} VALUES (?, ?, ?)", params=list(row))
     assert [r.name for r in execute(spark, f"SELECT * FROM {products} WHERE price > 10").collect()] == ["Gadget"]
 
 
@@ -47,7 +52,7 @@ def test_products_in_a_sqlite_file(spark, tmp_path):
     path = str(tmp_path / "shop.db")
     with sqlite3.connect(path) as db:
         db.execute("CREATE TABLE products (id INTEGER, name TEXT, price REAL)")
-        db.executemany("INSERT INTO products VALUES (?, ?, ?)", [(1, "Widget", 9.99), (2, "Gadget", 19.99)])
+        db.executemany("INSERT INTO products VALUES (?, ?, ?)", PRODUCTS)
     products = read_sqlite(spark, path, "products")
     assert products.dtypes == [("id", "bigint"), ("name", "string"), ("price", "double")]
     assert [r.name for r in select(products, where="price > 10").collect()] == ["Gadget"]
