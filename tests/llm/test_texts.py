@@ -106,6 +106,20 @@ def test_repeated_and_mixed_licences():
     assert [m[:2] for m in known.matches(whole.encode())] == [("MIT", 1.0)] * 5
 
 
+def test_near_equal_licences_are_told_apart():
+    """Real headers with names and small changes, and whole texts with other holders."""
+    known = Templates(TEMPLATES, LEAST_DICE)
+    rng = random.Random(23)
+    for name, text in TEMPLATES.items():
+        own = text.replace("This program", "Frobnicate").replace("COPYRIGHT HOLDERS AND CONTRIBUTORS", "REGENTS AND CONTRIBUTORS")
+        found = known.matches(" ".join([*words(rng, 12), *own.split(), *words(rng, 12)]).encode())
+        assert [m[0] for m in found] == [name], name
+    gnu = "/* Foo is free software; you can redistribute it and/or\n * modify it under the terms of the GNU {} License as published by the Free Software Foundation; either version 2{} of\n * the License, or (at your option) any later version. */"
+    rest = " This {} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {} License for more details."
+    assert [m[0] for m in known.matches((gnu.format("General Public", "") + rest.format("program", "General Public")).encode())] == ["GPL-2.0-header"]
+    assert [m[0] for m in known.matches((gnu.format("Lesser General Public", ".1") + rest.format("library", "Lesser General Public")).encode())] == ["LGPL-2.1-header"]
+
+
 def test_licence_column(spark):
     rows = spark.createDataFrame([(1, "x\nReleased under the MIT License.\ny"), (2, None), (3, "")], "id long, text string")
     found = {r["id"]: r["m"] for r in rows.select("id", licences_in(F.col("text")).alias("m")).collect()}
