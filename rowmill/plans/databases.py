@@ -136,6 +136,20 @@ def scan_sqlite_inferred(spark: SparkSession, folder: str) -> DataFrame:
     return apply_types(text, infer_types(text, "sqlite"))
 
 
+@query(
+    "scan_sqlite_keyed",
+    """SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders
+    WHERE o_orderpriority >= '2-HIGH' AND o_orderpriority < '5-LOW'""",
+)
+def scan_sqlite_keyed(spark: SparkSession, folder: str) -> DataFrame:
+    """Files without row ids, in the order of a key of text and number, cut into tasks by it."""
+    path, key = run_folder(spark, "sqlite-keyed"), ["o_orderpriority", "o_orderkey"]
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    write_sqlite(orders, path, "orders", key=key)
+    where = "o_orderpriority >= ? AND o_orderpriority < ?"
+    return read_sqlite(spark, path, "orders", where=where, params=["2-HIGH", "5-LOW"], num_partitions=8)
+
+
 @query(
     "scan_sqlite_merged",
     """SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_name END AS c_name, c_acctbal,

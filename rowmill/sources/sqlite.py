@@ -143,11 +143,12 @@ def _as_variant(name: str) -> Column:
     return F.coalesce(*(cell[kind].cast("variant") for kind in STORED.names)).alias(name)
 
 
-def write_sqlite(df: DataFrame, path: str, table: str, load: str | None = None) -> int:
+def write_sqlite(df: DataFrame, path: str, table: str, load: str | None = None, key: list[str] | None = None) -> int:
     """Append ``df`` to the folder ``path``, one new database file per task; returns the number of rows written.
 
     With ``load``, a word, the files are named by it, and those of an earlier call with the same one give way: a load
-    that may have broken off can be repeated.
+    that may have broken off can be repeated. With ``key`` each file keeps its rows in the order of these columns, as a
+    table without row ids that looks them up at once; a key that is NULL or repeated in a task's rows fails the job.
 
     A VARIANT column is declared without a type, and each of its values stored in its own class: numbers as whole ones
     or reals, truth values as 0 and 1, bytes as bytes, objects, arrays and the rest as text. Refused if the folder's
@@ -164,7 +165,8 @@ def write_sqlite(df: DataFrame, path: str, table: str, load: str | None = None)
     if load is not None and not load.replace("-", "").replace("_", "").isalnum():
         raise ValueError(f"a load's name is letters, digits, - and _, not {load!r}")
     writer = rows.write.format("sqlite").mode("append").option("path", path).option("table", table)
-    (writer.option("load", load) if load else writer).save()
+    writer = writer.option("load", load) if load else writer
+    (writer.option("key", json.dumps(list(key))) if key else writer).save()
     return counted.get["rows"]
 
 
@@ -396,6 +398,7 @@ class SqliteWriter(DataSourceArrowWriter):
         self.folder = local_path(options["path"])
         self.table = options["table"]
         self.load = options.get("load")
+        self.key = json.loads(options.get("key", "[]"))
         self.job = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFile:
@@ -427,7 +430,9 @@ class SqliteWriter(DataSourceArrowWriter):
         connection.execute("PRAGMA journal_mode = OFF")
         connection.execute("PRAGMA synchronous = OFF")
         columns = ", ".join(f"{identifier(name)} {kind}" for name, kind in self.columns)
-        connection.execute(f"CREATE TABLE {identifier(self.table)} ({columns})")
+        if self.key:
+            columns += f", PRIMARY KEY ({', '.join(identifier(name) for name in self.key)})) WITHOUT ROWID"
+        connection.execute(f"CREATE TABLE {identifier(self.table)} ({columns}" + ("" if self.key else ")"))
         return connection
 
     def _insert(self) -> str:

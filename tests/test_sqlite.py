@@ -369,3 +369,18 @@ def test_a_named_load_takes_the_place_of_an_earlier_one(spark, tmp_path):
     assert sorted(r.id for r in read_sqlite(spark, folder, "t").collect()) == [*range(5), *range(100, 120), 200]
     with pytest.raises(ValueError, match="load's name"):
         write_sqlite(spark.range(1), folder, "t", load="../x")
+
+
+def test_keyed_files(spark, tmp_path, monkeypatch):
+    from rowmill.sources import sqlite as source
+
+    folder = str(tmp_path / "files")
+    rows = spark.range(1000).selectExpr("concat('k', id % 9) AS k", "id", "id * 2 AS n")
+    assert write_sqlite(rows.coalesce(1), folder, "t", key=["k", "id"]) == 1000
+    monkeypatch.setattr(source, "KEYS_PER_STEP", 20)
+    df = read_sqlite(spark, folder, "t", num_partitions=4)
+    sizes = df.rdd.glom().map(len).collect()
+    assert len(sizes) == 4 and max(sizes) <= 300
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, rows.collect()))
+    with pytest.raises(Exception, match="UNIQUE|NOT NULL"):
+        write_sqlite(rows.coalesce(1), str(tmp_path / "bad"), "t", key=["k"])
