@@ -271,7 +271,8 @@ def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     found = written(candidates(documents, "doc_id", "text", F.col("source")), "candidates")
-    return judge(found, labelled_by_rules(found)).withColumnRenamed("id", "doc_id").select(
+    judged = judge(found, labelled_by_rules(found), texts=documents).withColumnRenamed("id", "doc_id")
+    return judged.select(
         "doc_id", "word_at", "nth", F.md5("value").alias("value_md5"), F.round("probability", 6).alias("probability"), "secret"
     )
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from math import log
+from dataclasses import dataclass, field
+from math import inf, isqrt, log
 
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,11 +16,13 @@ from rowmill.llm.common import written
 CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 #: Characters before a candidate in its word that are looked at.
 GLUED = 64
-#: Most labelled findings that the forest is fitted on, those with the smallest hashes.
-TRAINING_ROWS = 20_000
-#: Words that the dictionary holds: the most frequent ones beside the training findings.
+#: Words that the dictionary holds: the most frequent ones of all texts.
 DICTIONARY_WORDS = 150
 TREES, DEPTH, SEED = 20, 6, 11
+#: Thresholds of a feature lie at this many quantiles of the findings and of the different values, told apart to 1/GRID.
+QUANTILES, GRID = 32, 1000
+# Findings of a task when the forest is fitted.
+ROWS_PER_TASK = 50_000
 
 # Words that name a secret, and words that name an example.
 NAMES = "password passwd pwd passphrase secret token apikey api_key api-key access_key auth bearer credential private".split()
@@ -125,10 +127,11 @@ def measured(found: DataFrame, model: Model | None = None) -> DataFrame:
 
 @dataclass
 class Model:
-    """What is learned from labelled findings: letter pairs and words of the text around them, and the forest."""
+    """What is learned: letter pairs and words of the texts; from labelled findings the forest and its thresholds."""
 
     pairs: dict[str, float]
     words: list[str]
+    cuts: dict[str, list[float]] = field(default_factory=dict)
     forest: object | None = None
     constant: float | None = None
 
@@ -149,45 +152,85 @@ class Model:
         """``found`` with ``probability`` of being a secret; null if nothing was learned."""
         if self.forest is None:
             return found.withColumn("probability", F.lit(self.constant).cast("double"))
-        rows = VectorAssembler(inputCols=[f"f_{name}" for name in FEATURES], outputCol="features").transform(
-            found.select("*", *_numbers())
-        )
-        scored = self.forest.transform(rows).withColumn("probability", vector_to_array("probability")[1])
-        return scored.select(*found.columns, "probability")
+        scored = self.forest.transform(self.vectors(found.select("*", *_numbers())))
+        return scored.withColumn("probability", vector_to_array("probability")[1]).select(*found.columns, "probability")
+
+    def vectors(self, numbers: DataFrame) -> DataFrame:
+        """With the vector of all features, each as the number of its thresholds that it reaches."""
+        given, bins = [f"f_{name}" for name in FEATURES], [f"bin_{name}" for name in FEATURES]
+        splits = [[-inf, *self.cuts[name], inf] for name in FEATURES]
+        binned = Bucketizer(splitsArray=splits, inputCols=given, outputCols=bins).transform(numbers)
+        # without the metadata of the Bucketizer, by which trees would take the numbers for unordered categories
+        ordered = binned.select(*numbers.columns, *(F.col(name).alias(name, metadata={}) for name in bins))
+        return VectorAssembler(inputCols=bins, outputCol="features").transform(ordered)
 
 
 def _numbers() -> list[Column]:
     return [F.col(name).cast("double").alias(f"f_{name}") for name in FEATURES]
 
 
-def fit(labelled: DataFrame) -> Model:
+def _words(text: Column, texts: DataFrame) -> DataFrame:
+    """``(w, count)``: the words of three letters on in all ``texts``, without candidates and words with digits."""
+    near = texts.select(F.explode(F.split(F.lower(text), r"\s+")).alias("near"))
+    # no shorter one holds a candidate
+    plain = F.when(F.length("near") < 16, F.col("near")).otherwise(F.regexp_replace("near", CANDIDATE, " "))
+    counted = near.groupBy(plain.alias("near")).count()
+    words = counted.select(F.explode(F.split("near", r"[^\p{L}\p{N}]+")).alias("w"), "count")
+    return words.where(F.col("w").rlike(r"^\p{L}{3,}$")).groupBy("w").agg(F.sum("count").alias("count"))
+
+
+def _cuts(numbers: DataFrame) -> dict[str, list[float]]:
+    """Thresholds of every feature over all rows: quantiles of its rows and, for its rare values, of its different values.
+
+    Both are exact to ``1 / GRID``; up to ``QUANTILES`` different values are all told apart.
+    """
+    value = lambda name: F.floor(F.col(f"f_{name}") * GRID) / GRID
+    each = F.array(*(F.struct(F.lit(name).alias("name"), value(name).alias("value")) for name in FEATURES))
+    counted = numbers.select(F.explode(each).alias("x")).groupBy("x.name", "x.value").count()
+    places = [k / QUANTILES for k in range(QUANTILES + 1)]
+    both = F.concat(F.percentile("value", places, F.col("count")), F.percentile("value", places))
+    found = counted.groupBy("name").agg(F.array_sort(F.array_distinct(both)).alias("cuts")).collect()
+    return {r["name"]: r["cuts"] for r in found}
+
+
+def fit(labelled: DataFrame, texts: DataFrame | None = None, text_column: str = "text") -> Model:
     """Learn from candidates with a boolean column ``secret``; null labels say nothing.
 
-    At most ``TRAINING_ROWS`` are taken, those with the smallest hashes, so their order in the table does not matter.
-    Letter pairs and the dictionary come from the words beside them. Findings of one kind only give its constant.
+    Letter pairs and the dictionary are counted over all words of ``texts``, without it over those beside the labelled
+    findings. The forest is fitted on every labelled finding, and its thresholds come from all of them; neither their
+    order in the table nor its partitions matter. Findings of one kind only give its constant.
     """
-    rows = labelled.where("secret is not null").orderBy(
-        F.xxhash64("id", "word_at", "nth", "value"), "id", "word_at", "nth", "value"
-    )
-    rows = written(rows.limit(TRAINING_ROWS), "findings")
-    kinds = sorted(r["secret"] for r in rows.select("secret").distinct().collect())  # two rows at most
-    text = rows.select(F.explode(F.split(F.lower(F.concat_ws(" ", "before2", "before", "after")), r"[^\p{L}]+")).alias("w"))
-    text = text.where(F.length("w") >= 3)
-    counted = text.groupBy("w").count()
+    rows = labelled.where("secret is not null")
+    if texts is None:
+        counted = _words(F.concat_ws(" ", "before2", "before", "after"), rows)
+    else:
+        counted = _words(F.col(f"`{text_column}`"), texts)
+    counted = written(counted, "words")
     words = [r["w"] for r in counted.orderBy(F.desc("count"), "w").limit(DICTIONARY_WORDS).collect()]
-    pairs = text.select(
-        F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substr("w", i, F.lit(2)))).alias("pair")
+    pairs = counted.select(
+        F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substr("w", i, F.lit(2)))).alias("pair"), "count"
     ).where(F.col("pair").rlike("^[a-z]{2}$"))  # 676 different ones at most
-    seen = {r["pair"]: r["count"] for r in pairs.groupBy("pair").count().collect()}
+    seen = {r["pair"]: r["n"] for r in pairs.groupBy("pair").agg(F.sum("count").alias("n")).collect()}
     total = sum(seen.values())
     model = Model({pair: log(n / total) for pair, n in sorted(seen.items())}, sorted(words, key=lambda w: (-len(w), w)))
+    place = F.xxhash64("id", "word_at", "nth", "value").alias("place")
+    training = measured(rows, model).select(place, *_numbers(), F.col("secret").cast("double").alias("label"))
+    training = written(training, "findings")
+    kinds = {r["label"]: r["count"] for r in training.groupBy("label").count().collect()}  # two rows at most
     if len(kinds) < 2:
-        model.constant = float(kinds[0]) if kinds else None
+        model.constant = next(iter(kinds), None)
         return model
-    training = measured(rows, model).select(*_numbers(), F.col("secret").cast("double").alias("label"))
-    vectors = VectorAssembler(inputCols=[f"f_{name}" for name in FEATURES], outputCol="features").transform(training)
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
-    model.forest = forest.fit(vectors.coalesce(1))
+    n = sum(kinds.values())
+    model.cuts = _cuts(training)
+    # the rows of each partition and their order decide what each tree draws
+    training = training.repartition(max(8, -(-n // ROWS_PER_TASK)), "place")
+    training = training.sortWithinPartitions("place", *(f"f_{name}" for name in FEATURES), "label")
+    # Spark looks for the values of a feature in a sample of maxBins * maxBins rows (an int): here all
+    bins = min(46_340, max(2 * QUANTILES + 3, isqrt(n) + 1))
+    forest = RandomForestClassifier(
+        numTrees=TREES, maxDepth=DEPTH, maxBins=bins, seed=SEED, featuresCol="features", labelCol="label"
+    )
+    model.forest = forest.fit(model.vectors(training))
     return model
 
 
@@ -198,15 +241,19 @@ def scan(
 
     ``labelled`` holds findings, candidates (see ``candidates``) with a label ``secret``; a random forest over length,
     character transitions, dictionary coverage, path and neighbouring words learns from them which candidates are false
-    positives. ``secret`` is whether the probability is at least ``least``; without any labelled finding both are null
-    and no candidate is taken away. Repeated rows give repeated findings; an empty table gives none.
+    positives. Letter transitions and dictionary are those of all texts of ``df``. ``secret`` is whether the probability
+    is at least ``least``; without any labelled finding both are null and no candidate is taken away. Repeated rows give
+    repeated findings; an empty table gives none.
     """
-    return judge(candidates(df, id_column, text_column, path), labelled, least).withColumnRenamed("id", id_column)
+    found = candidates(df, id_column, text_column, path)
+    return judge(found, labelled, least, df, text_column).withColumnRenamed("id", id_column)
 
 
-def judge(found: DataFrame, labelled: DataFrame, least: float = 0.5) -> DataFrame:
-    """:func:`scan` for candidates that are there already."""
-    model = fit(labelled)
+def judge(
+    found: DataFrame, labelled: DataFrame, least: float = 0.5, texts: DataFrame | None = None, text_column: str = "text"
+) -> DataFrame:
+    """:func:`scan` for candidates that are there already; ``texts`` are counted as in :func:`fit`."""
+    model = fit(labelled, texts, text_column)
     return model.judged(measured(found, model)).select(
         "id", "word_at", "nth", "value", "probability", (F.col("probability") >= least).alias("secret")
     )

@@ -231,6 +231,39 @@ def test_candidates_and_models_of_nothing(spark):
     assert measured(found, fit(found.withColumn("secret", F.lit(False)))).count() == 2
 
 
+def test_models_of_all_findings_and_texts(spark):
+    """Rare pairs of letters, a rare kind and a rare value of a feature among many findings, and words far from any."""
+    rng = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = spark.createDataFrame(
+        [
+            (k, "a/b" if k in (5, 23_000) else "b", 0, 0, f"{rng.getrandbits(128):032x}", "", "", "", letters[k // 26] + letters[k % 26] * 2 if k < 676 else "end")
+            for k in range(24_000)
+        ],
+        "id long, path string, word_at int, nth int, value string, glued string, before string, before2 string, after string",
+    )
+    last = rows.orderBy(F.xxhash64("id", "word_at", "nth", "value").desc()).first()["id"]
+    labelled = rows.withColumn("secret", F.col("id") == last)
+    model = fit(labelled)
+    assert set(model.pairs) == {x + y for x in letters for y in letters}
+    assert model.constant is None and any(0 < cut <= 1 for cut in model.cuts["path_depth"])
+    again = fit(labelled.repartition(13, "value"))
+    assert again.cuts == model.cuts
+    assert again.forest.toDebugString.split("\n")[1:] == model.forest.toDebugString.split("\n")[1:]
+    texts = spark.createDataFrame([("Größe größe api_token=abcdefghijklmnopqrstuvwxyz b2b",), (None,), ("",)], "text string")
+    over = fit(labelled.limit(0), texts)
+    assert over.words == ["größe", "token", "api"] and set(over.pairs) == {"gr", "to", "ok", "ke", "en", "ap", "pi"}
+
+
+def test_trees_cut_features_in_their_order(spark):
+    rows = spark.range(200).selectExpr(
+        "id", "'b' AS path", "0 AS word_at", "0 AS nth", "repeat('a', cast(16 + id % 40 AS int)) AS value", "'' AS glued",
+        "'' AS before", "'' AS before2", "'end' AS after", "id % 40 > 20 AS secret",
+    )
+    trees = fit(rows).forest.toDebugString
+    assert "(feature 0 <= " in trees and " in {" not in trees
+
+
 def test_top_k_by_brute_force(spark):
     rng = random.Random(11)
     rows = [(rng.randrange(200), [rng.choice([0, 0, 1, -2, 3]) for _ in range(rng.choice([3, 5]))]) for _ in range(250)]
